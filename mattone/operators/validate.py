@@ -85,7 +85,11 @@ def split_rejects(df: DataFrame, reason: str) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
 
 
-def write_with_quarantine(df: DataFrame, reason: str, path: str) -> None:
-    """One pass: good and rejected rows side by side under ``rejected=false`` and ``rejected=true``."""
-    marked = df.withColumn("rejected", F.col(reason).isNotNull())
-    marked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+def stage_checked(df: DataFrame, reason: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write checked rows once and read them back as (good, rejected).
+
+    A filter on the reason of an unwritten plan is pushed below the parsing, which
+    then happens twice.  From the written table both sides only read.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return split_rejects(df.sparkSession.read.schema(df.schema).parquet(path), reason)

@@ -1,9 +1,12 @@
-"""The three staged jobs, each reading only what the stage before has and the next one lacks."""
+"""The three staged jobs, each reading only what the stage before has and the next one lacks.
+
+Every job writes what it parsed once, rejected rows included, to a work folder.
+The good rows go to the layer's table, the others to ``rejected/<layer>``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mattone.functions import html as H
 from mattone.functions.urls import LISTING_PREFIX
@@ -11,26 +14,27 @@ from mattone.operators.details import build_details
 from mattone.operators.harvest import harvest_cards, ids_of, read_listing_pages
 from mattone.operators.joins import pending, sample_n
 from mattone.operators.records import normalise
-from mattone.operators.validate import split_rejects
+from mattone.operators.validate import stage_checked
 from mattone.schemas import schema_of, table_for
+from mattone.session import work_folder
 from mattone.sources.tables import InsertCounts, insert_ignore, read_layer_table
 
 
 def store_ids(result_pages: DataFrame, root: str, as_of: Column, page_order: list[str]) -> InsertCounts:
-    """Result pages to ``ids``: the first card of an id wins."""
-    cards = harvest_cards(result_pages)
-    ids = ids_of(cards, as_of, keep=[*page_order, "position"])
-    return _insert(ids, root, "ids", [*page_order, "position"])
+    """Result pages to ``ids``: the first card of an id wins, skipped cards are kept with their reason."""
+    good, skipped = stage_checked(harvest_cards(result_pages), "skip_reason", work_folder(result_pages.sparkSession, "cards"))
+    skipped.write.mode("append").parquet(f"{root}/rejected/ids")
+    order = [*page_order, "position"]
+    return _insert(ids_of(good, as_of, keep=order), root, "ids", order)
 
 
 def store_listings(listing_pages: DataFrame, root: str, as_of: Column, layout: H.PageLayout = H.LISTING_PAGE) -> InsertCounts:
     """Saved pages of ids without a listing to ``listings``; pages are matched by url."""
     spark = listing_pages.sparkSession
     todo = pending_ids(spark, root)
-    pages = listing_pages.select(F.col("url").alias("_page_url"), "html")
-    matched = pages.join(todo, pages["_page_url"] == todo["url"]).drop("_page_url")
-    good, _ = split_rejects(build_details(read_listing_pages(matched, layout=layout), as_of, LISTING_PREFIX), "reject_reason")
-    return _insert(good, root, "listings", [F.col("url")])
+    pages = listing_pages.select("url", "html")
+    raw = read_listing_pages(todo.join(pages, "url"), layout=layout)
+    return _stage_and_insert(build_details(raw, as_of, LISTING_PREFIX), root, "listings")
 
 
 def store_records(spark: SparkSession, root: str, as_of: Column, sample: int | None = None, seed: str = "0") -> InsertCounts:
@@ -41,8 +45,7 @@ def store_records(spark: SparkSession, root: str, as_of: Column, sample: int | N
     )
     if sample is not None:
         todo = sample_n(todo, sample, seed=seed)
-    good, _ = split_rejects(normalise(todo, as_of), "reject_reason")
-    return _insert(good, root, "records", [])
+    return _stage_and_insert(normalise(todo, as_of), root, "records")
 
 
 def pending_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -53,5 +56,11 @@ def pending_ids(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _insert(rows: DataFrame, root: str, layer: str, order: list) -> InsertCounts:
+def _stage_and_insert(checked: DataFrame, root: str, layer: str) -> InsertCounts:
+    good, bad = stage_checked(checked, "reject_reason", work_folder(checked.sparkSession, layer))
+    bad.write.mode("append").parquet(f"{root}/rejected/{layer}")
+    return _insert(good, root, layer, ["url"])
+
+
+def _insert(rows: DataFrame, root: str, layer: str, order: list[str]) -> InsertCounts:
     return insert_ignore(rows, table_for(root, layer), "id", order, columns=schema_of(layer).names)

@@ -27,6 +27,9 @@ CSV = {
     "timeZone": HOME_ZONE,
 }
 
+# An unquoted empty cell reads as this marker and becomes null, a quoted one stays an empty text.
+READ = {**CSV, "nullValue": "\x00", "emptyValue": ""}
+
 
 def _is_nested(f: T.StructField) -> bool:
     return isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
@@ -52,7 +55,7 @@ def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
     schema = schema_of(layer)
     flat = T.StructType([T.StructField(f.name, T.StringType() if _is_nested(f) else f.dataType) for f in schema.fields])
     try:
-        rows = spark.read.schema(flat).options(**CSV).csv(path)
+        rows = spark.read.schema(flat).options(**READ).csv(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

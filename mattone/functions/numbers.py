@@ -21,6 +21,11 @@ FLOAT_TEXT = r"^[+-]?\d+(?:_\d+)*(?:[eE][+-]?\d+(?:_\d+)*)?$"
 HOME_ZONE = "Europe/Rome"
 
 
+def _first(c: Column, pattern: str, kind: str = "double") -> Column:
+    """First match of the pattern as a number; null without one."""
+    return F.regexp_extract(c, pattern, 0).try_cast(kind)
+
+
 def _text_value(ok: Column, text: Column, value: Column) -> Column:
     """(text, value), both null unless ``ok``."""
     return F.struct(F.when(ok, text).alias("text"), F.when(ok, value).alias("value"))
@@ -33,15 +38,14 @@ def parse_price(c: Column) -> Column:
 
 
 def parse_price_sqm(c: Column) -> Column:
-    number = F.regexp_substr(c, F.lit(GROUPED_NUMBER))
-    value = F.translate(number, ",.", ".").try_cast("double")
-    ok = F.endswith(strip(c), F.lit("€/m²")) & number.isNotNull()
+    value = F.translate(F.regexp_extract(c, GROUPED_NUMBER, 0), ",.", ".").try_cast("double")
+    ok = F.endswith(strip(c), F.lit("€/m²")) & value.isNotNull()
     return _text_value(ok, F.replace(c, F.lit("€/m²"), F.lit("EUR/sqm")), value)
 
 
 def parse_monthly_fee(c: Column) -> Column:
     """Yearly amounts become monthly ones; an unnamed period counts as monthly."""
-    amount = F.regexp_substr(c, F.lit(DIGITS)).try_cast("double")
+    amount = _first(c, DIGITS)
     low = F.lower(c)
     monthly = low.contains("mese") | low.contains("month")
     yearly = low.contains("anno") | low.contains("year")
@@ -51,7 +55,7 @@ def parse_monthly_fee(c: Column) -> Column:
 
 def parse_surface_int(c: Column) -> Column:
     """First digit run of a text ending in ``m²``."""
-    value = F.regexp_substr(c, F.lit(DIGITS)).try_cast("double")
+    value = _first(c, DIGITS)
     ok = F.endswith(strip(c), F.lit("m²")) & value.isNotNull()
     return _text_value(ok, F.replace(c, F.lit("m²"), F.lit("sqm")), value)
 
@@ -59,12 +63,12 @@ def parse_surface_int(c: Column) -> Column:
 def parse_surface_decimal(c: Column) -> Column:
     """First number, comma or dot as decimal mark, of a text ending in ``m²`` or ``sqm``."""
     bare = strip(c)
-    number = F.translate(F.regexp_substr(bare, F.lit(DECIMAL_NUMBER)), ",", ".")
+    number = F.translate(F.regexp_extract(bare, DECIMAL_NUMBER, 0), ",", ".")
     return F.when(F.endswith(bare, F.lit("m²")) | F.endswith(bare, F.lit("sqm")), number.try_cast("double"))
 
 
 def parse_first_int(c: Column) -> Column:
-    return F.regexp_substr(c, F.lit(DIGITS)).try_cast("int")
+    return _first(c, DIGITS, "int")
 
 
 def parse_yes_no(c: Column) -> Column:

@@ -30,8 +30,11 @@ def strip(c: Column) -> Column:
 
 
 def _blank_end(c: Column) -> Column:
-    blanks = list(BLANKS)
-    return F.left(c, F.lit(1)).isin(blanks) | F.right(c, F.lit(1)).isin(blanks)
+    return _is_blank_char(F.left(c, F.lit(1))) | _is_blank_char(F.right(c, F.lit(1)))
+
+
+def _is_blank_char(c: Column) -> Column:
+    return F.lit(BLANKS).contains(c)
 
 
 def strip_computed(c: Column) -> Column:
@@ -45,14 +48,16 @@ def none_if_empty(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for null, empty and white-space-only text."""
-    starts_blank = F.left(c, F.lit(1)).isin(list(BLANKS))
+    starts_blank = _is_blank_char(F.left(c, F.lit(1)))
     return c.isNull() | (c == "") | (starts_blank & (F.btrim(c, F.lit(BLANKS)) == ""))
 
 
 def normalize_text(c: Column) -> Column:
     """One line: stripped, blanks collapsed, control characters dropped, ``,`` and ``;`` turned into ``.``."""
     bare = strip_computed(c)
-    line = F.regexp_replace(F.regexp_replace(bare, f"[{BLANK_CLASS}]+", " "), f"[{CONTROL_CLASS}]", "")
+    # A single plain blank is left alone: most of them are, and each replacement costs.
+    run = f"\\x20[{BLANK_CLASS}]+|[{BLANK_CLASS}&&[^\\x20]][{BLANK_CLASS}]*"
+    line = F.regexp_replace(F.regexp_replace(bare, run, " "), f"[{CONTROL_CLASS}]", "")
     # Most short texts are one clean line already; one look spares them both replacements.
     line = F.when(c.rlike(f"[{UNCLEAN_CLASS}]|\\x20{{2}}"), line).otherwise(bare)
     return F.coalesce(F.translate(line, ",;", ".."), F.lit(""))

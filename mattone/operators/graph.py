@@ -69,10 +69,10 @@ def merge_edges(existing: DataFrame, new: DataFrame, nodes: DataFrame, order: li
 
 
 def steps(edges: DataFrame) -> DataFrame:
-    """Every edge as a step (a, b) in both directions; a loop once."""
-    there = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), "score", "src")
-    back = edges.where(F.col("src") != F.col("dst")).select(F.col("dst").alias("a"), F.col("src").alias("b"), "score", "src")
-    return there.unionByName(back)
+    """Every edge as a step (a, b) in both directions, a loop once; one pass over the edges."""
+    there = F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "score", "src")
+    back = F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), "score", "src")
+    return edges.select(F.inline(F.when(F.col("src") == F.col("dst"), F.array(there)).otherwise(F.array(there, back))))
 
 
 def hops(edges: DataFrame, starts: DataFrame) -> DataFrame:

@@ -81,15 +81,23 @@ def apply_policy(df: DataFrame, reason: str, errors: str) -> DataFrame:
 
 
 def split_rejects(df: DataFrame, reason: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the reason column, rejected rows with it)."""
-    return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
+    """(good rows without the reason column, rejected rows with it).
 
+    A row is unpacked from an array of itself, or of nothing.  A plain filter on the
+    reason would be pushed below the parsing, which Spark would then do twice.
+    """
 
-def stage_checked(df: DataFrame, reason: str, path: str) -> tuple[DataFrame, DataFrame]:
-    """Write checked rows once and read them back as (good, rejected).
+    def rows_where(kept: Column, columns: list[str]) -> DataFrame:
+        return df.select(F.inline(F.when(kept, F.array(F.struct(*columns)))))
 
-    A filter on the reason of an unwritten plan is pushed below the parsing, which
-    then happens twice.  From the written table both sides only read.
-    """
+    return (
+        rows_where(F.col(reason).isNull(), [c for c in df.columns if c != reason]),
+        rows_where(F.col(reason).isNotNull(), df.columns),
+    )
+
+
+def stage_checked(df: DataFrame, reason: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write checked rows once and read them back as (good, rejected); both sides only read."""
     df.write.mode("overwrite").parquet(path)
-    return split_rejects(df.sparkSession.read.schema(df.schema).parquet(path), reason)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.where(F.col(reason).isNull()).drop(reason), stored.where(F.col(reason).isNotNull())

@@ -12,7 +12,7 @@ from mattone.functions import html as H
 from mattone.functions.urls import LISTING_PREFIX
 from mattone.operators.details import build_details
 from mattone.operators.harvest import harvest_cards, ids_of, read_listing_pages
-from mattone.operators.joins import pending, sample_n
+from mattone.operators.joins import first_per_key, pending, sample_n
 from mattone.operators.records import normalise
 from mattone.operators.validate import stage_checked
 from mattone.schemas import schema_of, table_for
@@ -28,11 +28,22 @@ def store_ids(result_pages: DataFrame, root: str, as_of: Column, page_order: lis
     return _insert(ids_of(good, as_of, keep=order), root, "ids", order)
 
 
-def store_listings(listing_pages: DataFrame, root: str, as_of: Column, layout: H.PageLayout = H.LISTING_PAGE) -> InsertCounts:
-    """Saved pages of ids without a listing to ``listings``; pages are matched by url."""
+def store_listings(
+    listing_pages: DataFrame,
+    root: str,
+    as_of: Column,
+    prefer: list[Column] | None = None,
+    layout: H.PageLayout = H.LISTING_PAGE,
+) -> InsertCounts:
+    """Saved pages of ids without a listing to ``listings``; pages are matched by url.
+
+    Of several copies of a page the first by ``prefer`` is read.  The others are dropped
+    before anything is parsed, so a page saved over and over costs one parse.
+    """
     spark = listing_pages.sparkSession
     todo = pending_ids(spark, root)
-    pages = listing_pages.select("url", "html")
+    wanted = listing_pages.join(todo.select("url"), "url", "left_semi")
+    pages = first_per_key(wanted, "url", prefer or []).select("url", "html")
     raw = read_listing_pages(todo.join(pages, "url"), layout=layout)
     return _stage_and_insert(build_details(raw, as_of, LISTING_PREFIX), root, "listings")
 

@@ -475,7 +475,7 @@ def three_layers(spark, sf_dir):
     """Result pages to ids, pages of those ids to listings, listings to records."""
     root = work_folder(spark, "layers")
     jobs.store_ids(X.result_pages(spark, sf_dir), root, X.fetched_at(), ["k"])
-    jobs.store_listings(X.listing_pages(spark, sf_dir), root, X.fetched_at())
+    jobs.store_listings(X.listing_pages(spark, sf_dir).select("url", "html"), root, X.fetched_at())
     jobs.store_records(spark, root, X.fetched_at())
     stored = tables.read_layer_table(spark, f"{root}/records", "records")
     return stored.select("id", "url", "price_eur", "property_type", "contract_type", "surface", "zone", "address")

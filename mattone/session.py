@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,8 @@ def build_session(master: str = "local[8]", app: str = "mattone", **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        # HotSpot compiles no method above 8000 bytes; larger generated ones would be interpreted.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update(conf)
     builder = SparkSession.builder.master(master).appName(app)
@@ -43,7 +46,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith(LOCAL_MASTERS):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="mattone-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     app = spark.sparkContext.applicationId
     return f"{base.rstrip('/')}/{app}/{purpose}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="mattone-")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,7 +63,7 @@ def insert_ignore(
     total = batch.count()
     if total == 0:
         return InsertCounts(0, 0)
-    own = batch_id or uuid.uuid4().hex
+    own = batch_id or _new_batch_id()
     stored = batch.select(*(columns or batch.columns))
     known = read_table(spark, path, stored.schema).where(F.col(BATCH) != own).select(key)
     if total <= probe_rows:
@@ -77,6 +78,11 @@ def insert_ignore(
     return InsertCounts(inserted, total - inserted)
 
 
+def _new_batch_id() -> str:
+    """Unique, and later ones sort after earlier ones."""
+    return f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
 def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, out: str) -> None:
     """Rewrite a table with one row per key, the earliest batch's; a repair after two writers met."""
     merged = first_per_key(read_table(spark, path, schema), key, [F.col(BATCH)])

@@ -22,11 +22,17 @@ def stream_layer(
 
     The checkpoint remembers what was read, in place of a full anti-join per poll.
     A micro-batch that runs again after a failure rewrites its own folder.  All
-    available input is read, then the query ends.
+    available input is read, then the query ends.  The transform runs once per
+    micro-batch, into a folder beside the checkpoint that the next one overwrites;
+    counting and inserting only read that.
     """
+    staged = f"{checkpoint.rstrip('/')}-staged"
 
     def sink(rows: DataFrame, epoch: int) -> None:
-        insert_ignore(transform(rows), path, key, order, batch_id=f"{epoch:012d}")
+        parsed = transform(rows)
+        parsed.write.mode("overwrite").parquet(staged)
+        ready = parsed.sparkSession.read.schema(parsed.schema).parquet(staged)
+        insert_ignore(ready, path, key, order, batch_id=f"{epoch:012d}")
 
     return (
         source.writeStream.foreachBatch(sink)

@@ -142,7 +142,9 @@ def test_three_jobs_chain_and_run_again(spark):
     as_of = X.fetched_at()
     first = jobs.store_ids(X.result_pages(spark, SMALL), root, as_of, ["k"])
     assert first.inserted > 0 and jobs.store_ids(X.result_pages(spark, SMALL), root, as_of, ["k"]).inserted == 0
-    listings = jobs.store_listings(X.listing_pages(spark, SMALL), root, as_of)
+    saved = X.listing_pages(spark, SMALL).select("url", "html")
+    copies = saved.withColumn("age", F.lit(1)).unionByName(saved.withColumns({"age": F.lit(2), "html": F.lit("stale")}))
+    listings = jobs.store_listings(copies, root, as_of, prefer=[F.col("age")])
     assert 0 < listings.inserted < first.inserted
     drawn = jobs.store_records(spark, root, as_of, sample=100)
     rest = jobs.store_records(spark, root, as_of)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mattone.functions.text import none_if_empty, normalize_text, strip_computed
+from mattone.functions.text import none_if_empty, normalize_text, strip, strip_computed
 
 # The named character references that occur in page text.
 ENTITIES = [
@@ -121,7 +121,7 @@ def unescape(c: Column) -> Column:
 def visible_text(c: Column) -> Column:
     """Text of a fragment: tags dropped, character references resolved, stripped."""
     shown = unescape(F.regexp_replace(c, "<[^>]*>", ""))
-    return strip_computed(F.when(c.contains("<") | c.contains("&"), shown).otherwise(c))
+    return F.when(c.contains("<") | c.contains("&"), strip_computed(shown)).otherwise(strip(c))
 
 
 def _element(path: Path) -> str:
@@ -129,14 +129,24 @@ def _element(path: Path) -> str:
     return "(?s)" + ".*?".join(node.opening() for node in path) + rf"(.*?)</{path[-1].tag}>"
 
 
+def fragment(html: Column, path: Path) -> Column:
+    """Inside of the first such element, markup included; empty when there is none."""
+    return F.regexp_extract(html, _element(path), 1)
+
+
+def fragments(html: Column, path: Path) -> Column:
+    """Insides of all such elements, in page order."""
+    return F.regexp_extract_all(html, F.lit(_element(path)), F.lit(1))
+
+
 def first_text(html: Column, path: Path) -> Column:
     """Text of the first such element; null when there is none or it is empty."""
-    return none_if_empty(visible_text(F.regexp_extract(html, _element(path), 1)))
+    return none_if_empty(visible_text(fragment(html, path)))
 
 
 def all_texts(html: Column, path: Path) -> Column:
     """Texts of all such elements, in page order, empty ones included."""
-    return F.transform(F.regexp_extract_all(html, F.lit(_element(path)), F.lit(1)), visible_text)
+    return F.transform(fragments(html, path), visible_text)
 
 
 def chunks(html: Column, node: Node) -> Column:
@@ -154,11 +164,17 @@ def section(html: Column, node: Node) -> Column:
     return none_if_empty(F.split_part(after, F.lit(f"{node.attr}="), F.lit(1)))
 
 
+def labelled_fragment(scope: Column, label: str) -> Column:
+    """Inside of the first ``dd`` that follows a ``dt`` holding the label; null without the label."""
+    pattern = rf"(?s){DT.opening()}[^<]*{re.escape(label)}.*?{DD.opening()}(.*?)</dd>"
+    # Plain search first: a scope without the label needs no matching.
+    return F.when(scope.contains(label), F.regexp_extract(scope, pattern, 1))
+
+
 def labelled_value(html: Column, label: str, where: Node | None = None) -> Column:
     """Normalised text of the first ``dd`` that follows a ``dt`` holding the label."""
     scope = section(html, where) if where else html
-    pattern = rf"(?s){DT.opening()}[^<]*{re.escape(label)}.*?{DD.opening()}(.*?)</dd>"
-    return none_if_empty(normalize_text(visible_text(F.regexp_extract(scope, pattern, 1))))
+    return none_if_empty(normalize_text(visible_text(labelled_fragment(scope, label))))
 
 
 def with_characteristics(
@@ -222,10 +238,11 @@ def energy_attr(html: Column, attr: str = LISTING_PAGE.energy_attr) -> Column:
 
 def luxury_flag(html: Column, layout: PageLayout = LISTING_PAGE) -> Column:
     """True when the diamond icon and the word stand in the main features, else null - never false."""
-    features = F.regexp_extract(html, rf"(?s){layout.features.opening()}(.*)$", 1)
     icon = rf'<use[^>]*\shref="{re.escape(layout.luxury_icon)}"'
     word = rf"<span(?=[\s>])[^>]*>[^<]*{LUXURY_WORD}"
-    return F.when(features.rlike(icon) & features.rlike(word), True)
+    features = F.regexp_extract(html, rf"(?s){layout.features.opening()}(.*)$", 1)
+    # Plain search first: few pages show the icon at all.
+    return F.when(html.contains(layout.luxury_icon) & features.rlike(icon) & features.rlike(word), True)
 
 
 def is_auction(text: Column) -> Column:

@@ -54,13 +54,12 @@ def is_blank(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """One line: stripped, blanks collapsed, control characters dropped, ``,`` and ``;`` turned into ``.``."""
-    bare = strip_computed(c)
     # A single plain blank is left alone: most of them are, and each replacement costs.
     run = f"\\x20[{BLANK_CLASS}]+|[{BLANK_CLASS}&&[^\\x20]][{BLANK_CLASS}]*"
-    line = F.regexp_replace(F.regexp_replace(bare, run, " "), f"[{CONTROL_CLASS}]", "")
-    # Most short texts are one clean line already; one look spares them both replacements.
-    line = F.when(c.rlike(f"[{UNCLEAN_CLASS}]|\\x20{{2}}"), line).otherwise(bare)
-    return F.coalesce(F.translate(line, ",;", ".."), F.lit(""))
+    line = F.regexp_replace(F.regexp_replace(strip_computed(c), run, " "), f"[{CONTROL_CLASS}]", "")
+    # Most short texts are one clean line already; one look spares them all of this.
+    unclean = c.rlike(f"[{UNCLEAN_CLASS}]|\\x20\\x20|^\\x20|\\x20\\z")
+    return F.coalesce(F.translate(F.when(unclean, line).otherwise(c), ",;", ".."), F.lit(""))
 
 
 def split_composite(c: Column, sep: str = " | ") -> Column:

@@ -69,26 +69,30 @@ def ids_of(cards: DataFrame, as_of: Column, keep: list[str] | None = None) -> Da
     )
 
 
-def page_fields(html: Column, layout: H.PageLayout = H.LISTING_PAGE) -> dict[str, Column]:
-    """The raw texts of a listing page, by name."""
-    section = H.section(html, layout.description)
+# Texts of a listing page that become one normalised line.
+ONE_LINE = ("description", "description_title", "fee_text", "price_sqm_text")
+
+
+def page_fragments(html: str, layout: H.PageLayout) -> dict[str, Column]:
+    """Markup around each field; the three tracked sections are columns of their own."""
+    page = F.col(html)
     return {
-        "page_title": H.first_text(html, layout.title),
-        "price_text": H.first_text(html, layout.price),
-        "location_parts": H.all_texts(html, layout.location),
-        "description_title": H.first_text(section, layout.description_title),
-        "description": H.first_text(section, layout.description_text),
-        "update_text": H.first_text(html, layout.update),
-        "badges": H.badges(html, layout.badge),
-        "energy_text": H.energy_attr(html, layout.energy_attr),
-        "fee_text": H.labelled_value(html, H.FEE_LABEL, layout.costs),
-        "price_sqm_text": H.labelled_value(html, H.SQM_LABEL, layout.price_info),
-        "luxury": H.luxury_flag(html, layout),
+        "page_title": H.fragment(page, layout.title),
+        "price_text": H.fragment(page, layout.price),
+        "location_parts": H.fragments(page, layout.location),
+        "description_title": H.fragment(F.col("_description"), layout.description_title),
+        "description": H.fragment(F.col("_description"), layout.description_text),
+        "update_text": H.fragment(page, layout.update),
+        "badges": H.fragments(page, layout.badge),
+        "energy_text": H.energy_attr(page, layout.energy_attr),
+        "fee_text": H.labelled_fragment(F.col("_costs"), H.FEE_LABEL),
+        "price_sqm_text": H.labelled_fragment(F.col("_price_info"), H.SQM_LABEL),
+        "luxury": H.luxury_flag(page, layout),
     }
 
 
 def page_problem() -> Column:
-    """Why a page cannot become a listing, or null; reads the columns of ``page_fields``."""
+    """Why a page cannot become a listing, or null; reads the columns of ``read_listing_pages``."""
     return (
         F.when(F.col("page_title").isNull(), "no_title")
         .when(is_blank(F.col("price_text")), "no_price")
@@ -97,16 +101,37 @@ def page_problem() -> Column:
 
 
 def read_listing_pages(pages: DataFrame, html: str = "html", layout: H.PageLayout = H.LISTING_PAGE) -> DataFrame:
-    """Listing pages to raw fields: the input of ``build_details``, in one narrow pass."""
+    """Listing pages to raw fields: the input of ``build_details``, in narrow steps without a shuffle.
+
+    Sections, markup, visible text and normalised text are four projections, so that
+    each step names a finished column instead of computing it anew.
+    """
     keep = [c for c in pages.columns if c != html]
     mapped = H.with_characteristics(pages, html, "characteristics", layout.characteristic)
-    fields = mapped.select(*keep, "characteristics", *[c.alias(n) for n, c in page_fields(F.col(html), layout).items()])
-    # Without a description text the heading is not read either.
-    heading = F.when(F.col("description").isNotNull() & F.col("description_title").isNotNull(), normalize_text(F.col("description_title")))
-    return fields.withColumns(
+    sections = mapped.withColumns(
+        {
+            "_description": H.section(F.col(html), layout.description),
+            "_costs": H.section(F.col(html), layout.costs),
+            "_price_info": H.section(F.col(html), layout.price_info),
+        }
+    )
+    marked = page_fragments(html, layout)
+    found = sections.select(*keep, "characteristics", *[c.alias(n) for n, c in marked.items()])
+    plain = ("page_title", "price_text", "update_text", *ONE_LINE)
+    shown = found.withColumns(
+        {c: H.visible_text(F.col(c)) for c in plain}
+        | {c: F.transform(c, H.visible_text) for c in ("location_parts", "badges")}
+    )
+    lines = shown.withColumns(
+        {c: none_if_empty(F.col(c)) for c in plain if c not in ONE_LINE}
+        | {c: none_if_empty(normalize_text(F.col(c))) for c in ONE_LINE}
+        | {"badges": F.filter(F.transform("badges", normalize_text), lambda b: b != "")}
+    )
+    return lines.withColumns(
         {
-            "description": normalize_text(F.col("description")),
-            "description_title": heading,
+            # Without a description text the heading is not read either.
+            "description_title": F.when(F.col("description").isNotNull(), F.col("description_title")),
+            "description": F.coalesce("description", F.lit("")),
             "last_updated": last_update(F.col("update_text")),
             "page_problem": page_problem(),
         }

@@ -25,17 +25,19 @@ def harvest_cards(
     """
     keep = [c for c in pages.columns if c != html]
     cards = pages.select(*keep, F.posexplode(H.chunks(F.col(html), layout.card)).alias("position", "_rest"))
-    card = F.substring_index("_rest", "</li>", 1)
-    anchor = rf'(?s)(<a(?=\s)[^>]*\shref="([^"]*{re.escape(layout.href_word)}[^"]*)"[^>]*>)(.*?)</a>'
-    opening = F.regexp_extract("_card", anchor, 1)
-    title_attr = H.unescape(F.regexp_extract(opening, r'\stitle="([^"]*)"', 1))
-    read = cards.withColumn("_card", card).select(
+    anchor = rf'(?s)<a(?=\s)[^>]*\shref="[^"]*{re.escape(layout.href_word)}[^"]*"[^>]*>.*?</a>'
+    # Cut, match and read in steps that name finished columns.
+    cut = cards.select(*keep, "position", F.substring_index("_rest", "</li>", 1).alias("_card"))
+    matched = cut.withColumn("_anchor", F.regexp_extract("_card", anchor, 0))
+
+    def attribute(name: str) -> Column:
+        return none_if_empty(H.unescape(F.regexp_extract("_anchor", rf'^<a[^>]*\s{name}="([^"]*)"', 1)))
+
+    read = matched.select(
         *keep,
         "position",
-        none_if_empty(H.unescape(F.regexp_extract("_card", anchor, 2))).alias("link"),
-        F.coalesce(
-            none_if_empty(title_attr), none_if_empty(H.visible_text(F.regexp_extract("_card", anchor, 3)))
-        ).alias("title"),
+        attribute("href").alias("link"),
+        F.coalesce(attribute("title"), none_if_empty(H.visible_text(F.col("_anchor")))).alias("title"),
         H.is_auction(H.visible_text(F.col("_card"))).alias("auction"),
     )
     source_id = listing_id(F.col("link"))

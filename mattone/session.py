@@ -26,6 +26,8 @@ def build_session(master: str = "local[8]", app: str = "mattone", **conf: str) -
         "spark.driver.memory": "8g",
         # HotSpot compiles no method above 8000 bytes; larger generated ones would be interpreted.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Recording the Python call site of every column expression costs more than planning them.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.master(master).appName(app)

@@ -17,6 +17,8 @@ SLICE_BYTES = 1 << 21
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NEWLINE = np.zeros(256, dtype=bool)
+NEWLINE[0x0A] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -80,12 +82,13 @@ class Words:
     first: np.ndarray
 
     @classmethod
-    def of(cls, texts: pa.Array, lower: bool) -> Words:
+    def of(cls, texts: pa.Array, lower: bool, apart: np.ndarray = _SPACE) -> Words:
+        """``apart`` flags the bytes that stand between words."""
         data, offsets = flat(texts)
         if lower:
             data = _LOWER[data]
         inside = np.zeros(len(data) + 2, dtype=bool)
-        inside[1:-1] = ~_SPACE[data]
+        inside[1:-1] = ~apart[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[offsets] = True
         here = inside[1:-1]

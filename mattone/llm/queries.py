@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mattone.llm import decontamination, languages, mixing, personal_data, pieces, quality, rules, wavelet, wrappers
 from mattone.llm import near_duplicates as nd
+from mattone.llm.scratch import fold
+from mattone.session import work_folder
+
+# Vocabularies of public tokenizers, read on the driver.
+TOKENIZERS = "/opt/tokenizers"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +28,148 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "shards")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", path)
+    return wavelet.documents_of(wavelet.read_shards(spark, path))
+
+
+@query
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 1
+    scores = mixing.text_scores(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+@query
+def op3_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _rules_sql() -> str:
+    """The rules in SQL. Exact quantiles stand for the sketches: equal as long as no group has more rows than a sketch holds."""
+    shares = {
+        "word_chars_mean": "word_chars::DOUBLE / n_words",
+        "symbol_share": "n_symbols::DOUBLE / word_chars",
+        "upper_share": "n_upper::DOUBLE / word_chars",
+        "dup_line_share": "n_dup_lines::DOUBLE / n_lines",
+        "repeat_share": "n_repeat_words::DOUBLE / n_words",
+    }
+    levels = {"g": "lang, source", "l": "lang", "a": "1"}
+    ranked, limits, tests = [], [], []
+    for rule, slack in rules.SLACK.items():
+        ranked += [f"row_number() OVER (PARTITION BY {by} ORDER BY {rule}) AS {k}_{rule}" for k, by in levels.items()]
+    for rule, slack in rules.SLACK.items():
+        q = {p: f"min({rule}) FILTER (WHERE at_{rule} >= ceil({p} * n))" for p in (0.1, 0.5, 0.9)}
+        limits.append(f"{q[0.5]} - {rules.FENCE} * greatest({q[0.5]} - {q[0.1]}, {slack}) AS low_{rule}, {q[0.5]} + {rules.FENCE} * greatest({q[0.9]} - {q[0.5]}, {slack}) AS high_{rule}")
+        tests.append(f"{rule} BETWEEN low_{rule} AND high_{rule}")
+    at = lambda k: ", ".join(f"{k}_{r} AS at_{r}" for r in rules.SLACK)
+    names = ", ".join(rules.SLACK)
+    return rf"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM documents),
+g AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
+r AS (SELECT doc_id, count(DISTINCT p + o) AS n FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g), (SELECT unnest(range(0, 8)) AS o) WHERE c > 1 GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+         length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper
+  FROM d LEFT JOIN r ON r.doc_id = d.doc_id),
+b AS MATERIALIZED (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {", ".join(f"CASE WHEN n_words > 0 THEN {e} ELSE 0 END AS {r}" for r, e in shares.items())} FROM m),
+k AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY lang, source) AS gn, count(*) OVER (PARTITION BY lang) AS ln, count(*) OVER () AS an, {", ".join(ranked)}
+  FROM b WHERE NOT base_failed),
+p AS (SELECT DISTINCT lang, source, gn, ln FROM k),
+x AS (
+  SELECT p.lang, p.source, gn AS n, {names}, {at("g")} FROM p JOIN k USING (lang, source, gn, ln) WHERE p.gn >= {rules.LEAST}
+  UNION ALL
+  SELECT p.lang, p.source, p.ln AS n, {names}, {at("l")} FROM p JOIN k ON k.lang = p.lang WHERE p.gn < {rules.LEAST} AND p.ln >= {rules.LEAST}
+  UNION ALL
+  SELECT p.lang, p.source, an AS n, {names}, {at("a")} FROM p, k WHERE p.gn < {rules.LEAST} AND p.ln < {rules.LEAST}),
+t AS (SELECT lang, source, {", ".join(limits)} FROM x GROUP BY lang, source)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND {" AND ".join(tests)} AS kept
+FROM b LEFT JOIN t USING (lang, source)
+"""
+
+
+ORACLE["op3_adaptive_rules"] = _rules_sql()
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op5_benchmark_decontamination"] = r"""
+WITH i AS MATERIALIZED (
+  SELECT item_id, w, len(w) AS len, least(len(w), 5) AS width, len(w) - least(len(w), 5) + 1 AS m
+  FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark) WHERE len(w) > 0),
+ig AS MATERIALIZED (
+  SELECT item_id, len, width, m, g, count(*) AS c
+  FROM (SELECT item_id, len, width, m, array_to_string(w[p:p + width - 1], ' ') AS g FROM (SELECT *, unnest(range(1, m + 1)) AS p FROM i))
+  GROUP BY ALL),
+d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+dg AS MATERIALIZED (
+  SELECT doc_id, n, width, p, array_to_string(w[p + 1:p + width], ' ') AS g
+  FROM (SELECT doc_id, w, len(w) AS n, width, unnest(range(0, len(w) - width + 1)) AS p FROM d, (SELECT DISTINCT width FROM i) WHERE len(w) >= width)),
+h AS MATERIALIZED (
+  SELECT dg.doc_id, ig.item_id, ig.m, ig.c, dg.p, dg.g, dg.n - ig.len AS last
+  FROM dg JOIN ig ON ig.g = dg.g AND ig.width = dg.width WHERE dg.n >= ig.len),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, item_id, m, start
+  FROM (SELECT doc_id, item_id, m, unnest(range(greatest(p - m + 1, 0), least(p, last) + 1)) AS start FROM h)),
+b AS (
+  SELECT s.doc_id, s.item_id, s.m, s.start, least(count(*), h.c) AS c
+  FROM s JOIN h ON h.doc_id = s.doc_id AND h.item_id = s.item_id AND h.p BETWEEN s.start AND s.start + s.m - 1
+  GROUP BY s.doc_id, s.item_id, s.m, s.start, h.g, h.c),
+j AS (SELECT doc_id, item_id, start, sum(c)::DOUBLE / (2 * m - sum(c)) AS similarity FROM b GROUP BY doc_id, item_id, m, start)
+SELECT doc_id, item_id, max(similarity) AS similarity FROM j WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+"""
+
+
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query
+def op7_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = languages.fit_languages(docs.where(~held_out))
+    return languages.language_mixtures(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+    def listed(column: str) -> Column:
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nd.near_duplicates(table(spark, sf_dir, "documents"))

@@ -1,0 +1,166 @@
+"""Queries against their SQL; near copies, passages, pages and the pipeline against brute force and planted cases."""
+
+import os
+import random
+import re
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from mattone.llm import decontamination, near_duplicates, rules, wrappers
+from mattone.llm.queries import ORACLE, QUERIES
+import corpus_pipeline
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+from compare import connect, difference  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert difference(QUERIES[name](spark, SMALL), ORACLE[name], connect(SMALL)) == ""
+
+
+@pytest.mark.parametrize("name", ["op3_adaptive_rules", "op5_benchmark_decontamination"])
+def test_native_queries_run_no_python(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def vocabulary(seed, n=4000):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)], rng
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_by_brute_force(spark, percent):
+    """Chains of small changes around the threshold, and a large group of copies that are near each other."""
+    words, rng = vocabulary(10)
+    rows = []
+    for base in range(12):
+        text = [rng.choice(words) for _ in range(rng.randrange(30, 160))]
+        for step in range(12):
+            rows.append((len(rows) * 7 % 1009, " ".join(text)))
+            for _ in range(rng.randrange(0, 3)):
+                text[rng.randrange(len(text))] = rng.choice(words)
+    text = [rng.choice(words) for _ in range(120)]
+    for _ in range(120):
+        near = list(text)
+        near[rng.randrange(120)] = rng.choice(words)
+        rows.append((2000 + len(rows), " ".join(near)))
+    sets = {d: shingles(t) for d, t in rows}
+    parent = {d: d for d in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.component_id, r.kept, r.n_shingles) for r in near_duplicates.near_duplicates(docs, percent).collect()}
+    assert got == {d: (root(d), root(d) == d, len(sets[d])) for d in ids}
+
+
+def test_passages_with_changes(spark):
+    """An item with a changed, a missing or an added word is found where the exact similarity says so, and nothing else is."""
+    words, rng = vocabulary(5)
+    items, rows, expected = [], [], set()
+    for i in range(30):
+        item = [rng.choice(words) for _ in range(rng.randrange(20, 70))]
+        items.append((i, " ".join(item)))
+        for kind in range(4):
+            text = list(item)
+            if kind == 1:
+                text[-2 if i % 2 else 1] = "changed"
+            elif kind == 2:
+                del text[0]
+            elif kind == 3:
+                text = text[: len(text) // 2]
+            lead, tail = ([rng.choice(words) for _ in range(rng.randrange(0, 90))] for _ in "ab")
+            rows.append((4 * i + kind, " ".join([*lead, *text, *tail])))
+    for doc, text in rows:
+        w = text.split()
+        for i, item in items:
+            v = item.split()
+            bag = [tuple(v[j : j + 5]) for j in range(len(v) - 4)]
+            best = max((len(set(bag) & {tuple(w[s + j : s + j + 5]) for j in range(len(bag))}) for s in range(len(w) - len(v) + 1)), default=0)
+            if best / (2 * len(bag) - best) >= 0.8:
+                expected.add((doc, i))
+    assert {(4 * i, i) for i in range(30)} <= expected and any(d % 4 == 2 for d, _ in expected)
+    got = decontamination.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == expected
+
+
+def test_rules_keep_clean_documents(spark):
+    """Clean labelled documents pass, whatever their source; junk beside them does not."""
+    folder = "/root/testdata/sf0.01"
+    judged = rules.judge(spark.read.parquet(f"{folder}/documents.parquet")).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("n_words >= 20").collect()
+    good, bad = [r for r in judged if r.quality == 1], [r for r in judged if r.quality == 0]
+    assert sum(r.kept for r in good) >= 0.98 * len(good)
+    assert sum(r.kept for r in bad) <= 0.5 * len(bad)
+
+
+def page(i, host, body, closed=True):
+    return (i, f"https://{host}/p/{i}", f"<html><head><title>t{i}</title><script>var a = '</p>' + {i};</script></head><body>{body}" + ("</body></html>" if closed else ""))
+
+
+def test_wrapper_induction(spark):
+    """Constant texts of a host go, varying ones stay; roles go even if they vary; an article keeps its own repeats."""
+    rows = []
+    for i in range(8):
+        rows.append(page(i, "a.example", f"<nav><a>m{i}</a></nav><div><p>All rights of this site</p><div><h2>Title {i}</h2><p>Body&nbsp;{i} &amp; <b>more</b> text<br>here</p></div><p>Powered by words</p></div><div class='comments'><p>me {i}</p></div>", i % 2))
+        rows.append(page(100 + i, "b.example", f"<header>h{i}</header><article><h1>T {i}</h1><p>Same in each<p>Own {i}</article><aside>x</aside><form><p>f{i}</form><footer>c</footer>"))
+    rows.append(page(200, "c.example", "<div><p>alone</p></div>"))
+    got = {r.page_id: r.text for r in wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for i in range(8):
+        assert got[i] == f"Title {i}\nBody {i} & more text here"
+        assert got[100 + i] == f"T {i}\nSame in each\nOwn {i}"
+    assert got[200] == "alone"
+
+
+def test_pages_of_the_table(spark):
+    """On the given pages the main text is the article's blocks."""
+    rows = QUERIES["op7_wrapper_induction"](spark, SMALL).join(spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "html"), "page_id").collect()
+    from html import unescape
+
+    for r in rows:
+        inside = re.search(r"<article>(.*?)(</article>|<footer>|$)", r.html, re.S).group(1)
+        blocks = [re.sub(r"[\x20\x09-\x0D\xa0]+", " ", unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", b)))).strip(" ") for b in re.split(r"</?(?:p|h1)>", inside)]
+        assert r.text == "\n".join(b for b in blocks if b), r.page_id
+        assert r.n_chars == len(r.text)
+
+
+def test_pipeline(spark):
+    """Stages keep what they should, each judged on its own input."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, left, SMALL).cache()
+        kept, before = {r.doc_id for r in out.collect()}, {r.doc_id: r.text for r in left.collect()}
+        assert kept <= set(before)
+        if name == "near_dedup":
+            groups = near_duplicates.near_duplicates(left, 80)
+            assert kept == {r.component_id for r in groups.collect()}
+        if name == "decontaminate":
+            items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+            assert set(before) - kept == {r.doc_id for r in decontamination.find_items(left, items).collect()}
+        if name == "redact_personal_data":
+            assert kept == set(before)
+            assert out.where(F.col("n_chars") != F.length("text")).count() == 0
+        left = out
+    encoded = corpus_pipeline.run(spark, SMALL)
+    assert {r.doc_id for r in encoded.collect()} == {r.doc_id for r in left.collect()}

@@ -22,7 +22,7 @@ FENCE, LEAST, SALTS = 4.0, 50, 32
 SKETCH = 1024
 SPACE = "[\\x20\\x09-\\x0D]+"
 # Distance to the median below which no decile counts, by rule.
-SLACK = {"word_chars_mean": 1.0, "symbol_share": 0.05, "upper_share": 0.05, "dup_line_share": 0.1, "repeat_share": 0.05}
+SLACK = {"word_chars_mean": 1.0, "symbol_share": 0.02, "upper_share": 0.05, "dup_line_share": 0.1, "repeat_share": 0.08}
 
 
 def words(text: Column) -> Column:

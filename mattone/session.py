@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
-LOCAL_MASTERS = ("local",)
-
 
 def build_session(master: str = "local[8]", app: str = "mattone", **conf: str) -> SparkSession:
     """A session with the settings the jobs are written for.
@@ -36,23 +32,35 @@ def build_session(master: str = "local[8]", app: str = "mattone", **conf: str) -
     return builder.getOrCreate()
 
 
+_base: str | None = None
+
+
+def use_work_base(path: str) -> None:
+    """Where work folders lie in sessions without ``spark.checkpoint.dir``, such as those of tests and local runs."""
+    global _base
+    _base = path
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for a table this application writes between two steps.
 
     It lies under ``spark.checkpoint.dir``, which every executor of a cluster can
-    reach, so a lost executor loses nothing.  Only a local session without that
-    setting falls back to a temporary folder; a cluster session without it is
-    refused rather than given a folder on one machine.
+    reach, so a lost executor loses nothing.  Without that setting the caller has to name a folder
+    by ``use_work_base``; none is made up on one machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _base
     if not base:
-        if not spark.sparkContext.master.startswith(LOCAL_MASTERS):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_base()
-    app = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/{app}/{purpose}-{uuid.uuid4().hex}"
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{_application_folder(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Remove the work folders of this application; tables read from them are gone."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _base
+    if base:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark, base))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-@cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="mattone-")
+def _application_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"

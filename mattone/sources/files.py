@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mattone.functions.numbers import HOME_ZONE
-from mattone.operators.validate import conform
+from mattone.operators.validate import conform, failed_rules, split_rejects
 from mattone.schemas import schema_of
+from mattone.session import work_folder
 
 # Files stay small because one with line breaks inside quotes cannot be split for reading.
 ROWS_PER_FILE = 500_000
@@ -28,7 +29,9 @@ CSV = {
 }
 
 # An unquoted empty cell reads as this marker and becomes null, a quoted one stays an empty text.
-READ = {**CSV, "nullValue": "\x00", "emptyValue": ""}
+# A file whose header names other columns, or in another order, is an error; a row that does not fit is kept.
+CORRUPT = "_corrupt"
+READ = {**CSV, "nullValue": "\x00", "emptyValue": "", "enforceSchema": "false", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def _is_nested(f: T.StructField) -> bool:
@@ -38,7 +41,10 @@ def _is_nested(f: T.StructField) -> bool:
 def append_csv(df: DataFrame, path: str, layer: str) -> int:
     """Append all rows, duplicates included, and return how many; nothing is written for none."""
     rows = conform(df, layer).select(*schema_of(layer).names)
-    n = df.count()
+    staged = work_folder(df.sparkSession, "csv-rows")
+    rows.write.parquet(staged)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(staged)
+    n = rows.count()
     if n == 0:
         return 0
 
@@ -51,17 +57,32 @@ def append_csv(df: DataFrame, path: str, layer: str) -> int:
 
 
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """A layer's CSV snapshot in its declared types; a missing path has no rows."""
+    """The good rows of a layer's CSV snapshot in their declared types; a missing path has no rows."""
+    return read_layer_checked(spark, path, layer)[0]
+
+
+def read_layer_checked(spark: SparkSession, path: str, layer: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, others with ``failed_rules``): each row is checked as it is loaded.
+
+    A row of too few cells, or with one that is not of its type, fails as ``corrupt_row``; its text is in ``_corrupt``.
+    """
+    rows = _read_rows(spark, path, layer).withColumn("failed_rules", F.when(F.col(CORRUPT).isNotNull(), "corrupt_row").otherwise(failed_rules(layer)))
+    good, bad = split_rejects(rows, "failed_rules")
+    return good.drop(CORRUPT), bad
+
+
+def _read_rows(spark: SparkSession, path: str, layer: str) -> DataFrame:
     schema = schema_of(layer)
-    flat = T.StructType([T.StructField(f.name, T.StringType() if _is_nested(f) else f.dataType) for f in schema.fields])
+    corrupt = T.StructField(CORRUPT, T.StringType())
+    flat = T.StructType([*[T.StructField(f.name, T.StringType() if _is_nested(f) else f.dataType) for f in schema.fields], corrupt])
     try:
         rows = spark.read.schema(flat).options(**READ).csv(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([*schema.fields, corrupt]))
     return rows.select(
-        *[F.from_json(f.name, f.dataType).alias(f.name) if _is_nested(f) else F.col(f.name) for f in schema.fields]
+        *[F.from_json(f.name, f.dataType).alias(f.name) if _is_nested(f) else F.col(f.name) for f in schema.fields], CORRUPT
     )
 
 
@@ -70,7 +91,7 @@ def write_paths_json(paths: DataFrame, path: str) -> None:
     paths.select("nodes", "relationships").write.mode("overwrite").json(path)
 
 
-def write_neighbours_csv(found: DataFrame, path: str) -> None:
-    """Ranked neighbours with a header; part files follow the ranking."""
-    named = found.select(F.col("text").alias("feedbackText"), "distance", "score")
+def write_neighbours_csv(found: DataFrame, path: str, one_start: bool = True) -> None:
+    """Ranked neighbours with a header; part files follow the ranking. Neighbours of several starts name theirs."""
+    named = found.select(*([] if one_start else ["start"]), F.col("text").alias("feedbackText"), "distance", "score")
     named.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -1,4 +1,8 @@
-"""Layer tables in Parquet: insert-ignore appends, whole replacements, reads."""
+"""Layer tables in Parquet: insert-ignore appends, whole replacements, reads.
+
+A table is laid out by a hash of its key, then by batch: ``bucket=<n>/batch_id=<id>``.  A
+batch reads the keys of the buckets it touches and no others.
+"""
 
 from __future__ import annotations
 
@@ -13,29 +17,38 @@ from pyspark.sql import types as T
 
 from mattone.operators.joins import first_per_key
 from mattone.schemas import schema_of
+from mattone.session import work_folder
 
-# A batch of at most this many rows is sent to the target's scan as 8-byte hashes: 16 MB of
-# hashes at the bound, whatever the keys look like.  Larger batches shuffle both sides.
-PROBE_ROWS = 2_000_000
+# Part of a table's layout: the same for as long as the table lives.
+BUCKETS = 64
 
+BUCKET = "bucket"
 BATCH = "batch_id"
 
 
 @dataclass(frozen=True)
 class InsertCounts:
+    """``rejected`` rows have no key: they could be told from no other row, and are not stored."""
+
     inserted: int
     skipped: int
+    rejected: int = 0
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by ``insert_ignore``; a missing one has no rows."""
-    with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+def read_table(spark: SparkSession, path: str, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
+    """A table written by ``insert_ignore``, or only some of its buckets; a missing one has no rows."""
+    laid_out = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.StringType())])
     try:
-        return spark.read.schema(with_batch).parquet(path)
+        rows = spark.read.schema(laid_out).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], with_batch)
+        rows = spark.createDataFrame([], laid_out)
+    return (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
 
 
 def read_layer_table(spark: SparkSession, path: str, layer: str) -> DataFrame:
@@ -49,33 +62,38 @@ def insert_ignore(
     order: list[str | Column] | None = None,
     batch_id: str | None = None,
     columns: list[str] | None = None,
-    probe_rows: int = PROBE_ROWS,
 ) -> InsertCounts:
     """Append the batch's rows whose key the table lacks; the first row of a key wins, the rest is skipped.
 
     ``columns`` names those to store when the batch carries others only for the order.
 
-    Each batch has its own folder and replaces it as a whole.  Running a batch again
-    under its ``batch_id`` compares with every other batch and writes the same rows,
+    The batch is evaluated once, into a work folder; counting, comparing and writing
+    only read that.  Each batch has folders of its own and replaces them as a whole.  Running a batch
+    again under its ``batch_id`` compares with every other batch and writes the same rows,
     so a retry adds nothing twice.  One writer per table.
     """
     spark = batch.sparkSession
-    total = batch.count()
-    if total == 0:
-        return InsertCounts(0, 0)
+    staged = work_folder(spark, "staged")
+    batch.write.parquet(staged)
+    rows = spark.read.schema(batch.schema).parquet(staged)
+    # At most BUCKETS numbers come to the driver; they prune the table's scan.
+    total, rejected, touched = rows.agg(F.count("*"), F.count_if(F.col(key).isNull()), F.collect_set(F.when(F.col(key).isNotNull(), bucket_of(key)))).first()
+    if total == rejected:
+        return InsertCounts(0, 0, rejected)
     own = batch_id or _new_batch_id()
-    stored = batch.select(*(columns or batch.columns))
-    known = read_table(spark, path, stored.schema).where(F.col(BATCH) != own).select(key)
-    if total <= probe_rows:
-        # Hashes narrow the table to rows that may match; the anti-join below stays exact.
-        probe = batch.select(F.xxhash64(key).alias("_hash")).distinct()
-        known = known.join(F.broadcast(probe), F.xxhash64(known[key]) == probe["_hash"], "left_semi")
-    firsts = first_per_key(batch, key, order or [])
-    target = f"{path}/{BATCH}={own}"
-    firsts.join(known, key, "left_anti").select(*stored.columns).write.mode("overwrite").parquet(target)
+    stored = rows.select(*(columns or batch.columns))
+    known = read_table(spark, path, stored.schema, touched).where(F.col(BATCH) != own).select(key)
+    new = first_per_key(rows.where(F.col(key).isNotNull()), key, order or []).join(known, key, "left_anti").select(*stored.columns)
+    _write(new, path, key, F.lit(own))
     # Counted from what was written, not from the plan, which would now see its own rows.
-    inserted = spark.read.schema(stored.schema).parquet(target).count()
-    return InsertCounts(inserted, total - inserted)
+    inserted = read_table(spark, path, stored.schema, touched).where(F.col(BATCH) == own).count()
+    return InsertCounts(inserted, total - rejected - inserted, rejected)
+
+
+def _write(rows: DataFrame, path: str, key: str, batch: Column) -> None:
+    """Replace the folders of these buckets and this batch; each gets one file or few."""
+    placed = rows.withColumns({BUCKET: bucket_of(key), BATCH: batch}).repartition(BUCKET)
+    placed.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(BUCKET, BATCH).parquet(path)
 
 
 def _new_batch_id() -> str:
@@ -83,10 +101,13 @@ def _new_batch_id() -> str:
     return f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, out: str) -> None:
-    """Rewrite a table with one row per key, the earliest batch's; a repair after two writers met."""
-    merged = first_per_key(read_table(spark, path, schema), key, [F.col(BATCH)])
-    merged.drop(BATCH).write.mode("overwrite").parquet(f"{out}/{BATCH}=0")
+def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, out: str, buckets: list[int] | None = None) -> None:
+    """Rewrite a table, or some of its buckets, with one row per key, the earliest batch's, as one batch.
+
+    It ends the small files of many batches, and repairs a table that had two writers.
+    """
+    merged = first_per_key(read_table(spark, path, schema, buckets), key, [F.col(BATCH)])
+    _write(merged.drop(BATCH), out, key, F.lit("0"))
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:

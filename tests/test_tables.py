@@ -24,10 +24,9 @@ def content(spark, path):
     return sorted(tuple(r) for r in tables.read_table(spark, path, schema).drop("batch_id").collect())
 
 
-@pytest.mark.parametrize("probe_rows", [0, 100])
-def test_insert_ignore(spark, probe_rows):
+def test_insert_ignore(spark):
     path = work_folder(spark, "t")
-    put = dict(order=["n"], probe_rows=probe_rows)
+    put = dict(order=["n"])
     assert tables.insert_ignore(batch(spark, ("a", 0, "old")), path, **put) == InsertCounts(1, 0)
     new = batch(spark, ("a", 1, "new"), ("b", 2, "b2"), ("b", 1, "b1"), ("c", 1, "c"))
     assert tables.insert_ignore(new, path, **put) == InsertCounts(2, 2)
@@ -36,6 +35,25 @@ def test_insert_ignore(spark, probe_rows):
     assert content(spark, path) == [("a", 0, "old"), ("b", 1, "b1"), ("c", 1, "c")]
 
 
+def test_rows_without_a_key_are_rejected(spark):
+    path = work_folder(spark, "t")
+    new = batch(spark, (None, 1, "x"), ("a", 1, "y"), (None, 2, "z"))
+    assert tables.insert_ignore(new, path) == InsertCounts(1, 0, 2)
+    assert tables.insert_ignore(new, path) == InsertCounts(0, 1, 2)
+    assert tables.insert_ignore(batch(spark, (None, 1, "x")), path) == InsertCounts(0, 0, 1)
+    assert content(spark, path) == [("a", 1, "y")]
+
+
+def test_a_batch_reads_only_the_buckets_it_touches(spark):
+    path = work_folder(spark, "t")
+    tables.insert_ignore(batch(spark, *[(str(i), i, "x") for i in range(500)]), path)
+    own = [r.b for r in batch(spark, ("7", 1, "x")).select(tables.bucket_of("id").alias("b")).collect()]
+    known = tables.read_table(spark, path, batch(spark).schema, own)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or f"(bucket#" in plan and "PartitionFilters: []" not in plan
+    assert 0 < known.count() < 100
+
+
 def test_a_batch_run_again_replaces_itself(spark):
     path = work_folder(spark, "t")
     new = batch(spark, ("a", 1, "x"), ("b", 1, "y"))
@@ -54,7 +72,7 @@ def test_equal_order_is_settled_the_same_way_however_the_rows_lie(spark):
 def test_compact(spark):
     path, out = work_folder(spark, "t"), work_folder(spark, "t2")
     for writer in ("1", "2"):
-        batch(spark, ("a", int(writer), "x")).write.parquet(f"{path}/batch_id={writer}")
+        tables._write(batch(spark, ("a", int(writer), "x")), path, "id", F.lit(writer))
     tables.compact(spark, path, batch(spark).schema, "id", out)
     assert content(spark, out) == [("a", 1, "x")]
 
@@ -137,6 +155,60 @@ def test_stream_equals_batch_and_survives_a_restart(spark):
     assert content(spark, path) == [("a", 1, "x"), ("c", 1, "z")]
 
 
+def test_streams_into_one_table_keep_their_rows(spark):
+    """Epochs of another stream, and of one with a renewed checkpoint, start at 0 and overwrite nothing."""
+    path, shape = work_folder(spark, "t"), batch(spark).schema
+
+    def poll(landing, offsets):
+        source = spark.readStream.schema(shape).parquet(landing)
+        stream_layer(source, lambda rows: rows, path, offsets, order=["n"]).awaitTermination()
+
+    lands = [work_folder(spark, "landing") for _ in "ab"]
+    for landing, name in zip(lands, ("one", "two")):
+        batch(spark, (f"{name}0", 1, "x"), (f"{name}1", 1, "x")).write.parquet(landing)
+        poll(landing, work_folder(spark, "offsets"))
+    expected = [("one0", 1, "x"), ("one1", 1, "x"), ("two0", 1, "x"), ("two1", 1, "x")]
+    assert content(spark, path) == expected
+    batch(spark, ("one2", 1, "x")).write.mode("append").parquet(lands[0])
+    poll(lands[0], work_folder(spark, "renewed"))
+    assert content(spark, path) == sorted([*expected, ("one2", 1, "x")])
+
+
+def test_rejects_are_kept_once(spark):
+    root = work_folder(spark, "layers")
+    as_of = X.fetched_at()
+    rows = X.details(spark, SMALL).limit(200)
+    tables.insert_ignore(rows, f"{root}/listings")
+    counts = []
+    for _ in range(3):
+        jobs.store_records(spark, root, as_of)
+        counts.append(spark.read.parquet(f"{root}/rejected/records").count())
+    assert counts[0] > 0 and len(set(counts)) == 1
+    done = tables.read_layer_table(spark, f"{root}/records", "records").count()
+    assert done + counts[0] == 200
+
+
+def test_csv_rows_that_do_not_fit(spark, tmp_path):
+    """A file in another column order is refused, a short row is kept apart with its reason."""
+    path = work_folder(spark, "csv")
+    rows = _ids_rows(spark)
+    assert files.append_csv(rows, path, "ids") == 3
+    names = ";".join(files.schema_of("ids").names)
+    (tmp_path / "short.csv").write_text(f"{names}\nimmobiliare;9\n")
+    good, bad = files.read_layer_checked(spark, f"file://{tmp_path}", "ids")
+    assert good.count() == 0 and [r.failed_rules for r in bad.collect()] == ["corrupt_row"]
+    swapped = tmp_path / "swapped"
+    swapped.mkdir()
+    (swapped / "a.csv").write_text(";".join(reversed(names.split(";"))) + "\n" + ";".join("x" for _ in names.split(";")) + "\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_layer(spark, f"file://{swapped}", "ids").collect()
+    assert files.read_layer(spark, path, "ids").count() == 3
+
+
+def _ids_rows(spark):
+    return jobs.ids_of(jobs.harvest_cards(X.result_pages(spark, SMALL)), X.fetched_at()).limit(3)
+
+
 def test_three_jobs_chain_and_run_again(spark):
     root = work_folder(spark, "layers")
     as_of = X.fetched_at()

@@ -1,9 +1,10 @@
 """Reading elements out of saved pages with patterns over (tag, attribute, label).
 
-Everything is a regular expression over one page's text, so a job over pages is
+Everything is an expression over one page's text, so a job over pages is
 a narrow projection: no shuffle and no Python worker.  Patterns hold single
 character classes under their loops, which Java matches without recursion, so
-the length of a page does not matter.
+the length of a page does not matter.  Where an element ends is counted, not matched: elements of
+its own tag may stand inside it.
 """
 
 from __future__ import annotations
@@ -60,11 +61,13 @@ class PageLayout:
 
     title: Path
     price: Path
+    location_box: Node
     location: Path
     description: Node
     description_title: Path
     description_text: Path
     update: Path
+    badge_box: Path
     badge: Path
     energy_attr: str
     costs: Node
@@ -86,11 +89,13 @@ class CardLayout:
 LISTING_PAGE = PageLayout(
     title=(Node("h1", "class", "styles_ld-title__title__Ww2Gb"),),
     price=(Node("div", "class", "Price_price__mzj0D"), Node("span")),
+    location_box=Node("button", "class", "styles_ld-blockTitle__link__paCwh"),
     location=(Node("span", "class", "styles_ld-blockTitle__location__n2mZJ"),),
     description=Node("div", "data-tracking-key", "description"),
     description_title=(Node("p", "class", "styles_ld-descriptionHeading__title__ifRR2"),),
     description_text=(Node("div", "class", "styles_in-readAll__04LDT"), Node("div")),
     update=(Node("div", "class", "styles_ld-lastUpdate__0G31u"), Node("span", "class", "styles_ld-lastUpdate__text__KLqrs")),
+    badge_box=(Node("div", "class", "styles_ld-featuresBadges__mJqLG"), Node("ul", "class", "styles_ld-featuresBadges__list__MGuKy")),
     badge=(Node("li", "class", "styles_ld-featuresBadges__badge___8QgZ"), Node("span", "class", "nd-badge")),
     energy_attr="data-energy-class",
     costs=Node("div", "data-tracking-key", "costs"),
@@ -118,9 +123,15 @@ def unescape(c: Column) -> Column:
     return c
 
 
+# What shows nothing, and tags that part words.
+UNSEEN = r"(?is)<!--.*?-->|<(script|style)(?=[\s>]).*?</\1\s*>"
+BREAK = r"(?i)</?(?:br|p|div|ul|ol|li|dl|dt|dd|h[1-6]|table|tr|td|th|section|article)(?=[\s>/])[^>]*>"
+
+
 def visible_text(c: Column) -> Column:
-    """Text of a fragment: tags dropped, character references resolved, stripped."""
-    shown = unescape(F.regexp_replace(c, "<[^>]*>", ""))
+    """Text of a fragment: tags dropped, those of blocks as blanks, character references resolved, stripped."""
+    seen = F.when(c.contains("<!--") | c.contains("<s"), F.regexp_replace(c, UNSEEN, "")).otherwise(c)
+    shown = unescape(F.regexp_replace(F.regexp_replace(seen, BREAK, " "), "<[^>]*>", ""))
     return F.when(c.contains("<") | c.contains("&"), strip_computed(shown)).otherwise(strip(c))
 
 
@@ -129,14 +140,49 @@ def _element(path: Path) -> str:
     return "(?s)" + ".*?".join(node.opening() for node in path) + rf"(.*?)</{path[-1].tag}>"
 
 
+def inside(rest: Column, tag: str) -> Column:
+    """What stands in an element, given the text behind its opening tag: up to its own closing tag.
+
+    An element that is never closed reaches to the end.
+    """
+    first = F.get(F.split(rest, rf"(?i)</{tag}(?=[\s>])", 2), F.lit(0))
+    # Most elements hold no other one of their tag and end at the first closing tag.
+    return F.when(first.rlike(rf"(?i)<{tag}(?=[\s>/])"), _balanced(rest, tag)).otherwise(first)
+
+
+def _balanced(rest: Column, tag: str) -> Column:
+    """The text cut before every tag of the name, and joined up to the piece that closes more than was opened."""
+    cut = F.split(F.regexp_replace(rest, rf"(?i)<(?=/?{tag}(?=[\s>/]))", "\x01<"), "\x01")
+
+    def step(state: Column, piece: Column) -> Column:
+        depth = state["depth"] + F.when(F.startswith(piece, F.lit("</")), -1).otherwise(1)
+        moved = F.struct(depth.alias("depth"), (state["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"))
+        return F.when(state["depth"] > 0, moved).otherwise(state)
+
+    def joined(pieces: Column) -> Column:
+        begin = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("n"))
+        end = F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), begin, step)
+        return F.array_join(F.slice(pieces, F.lit(1), end["n"]), "")
+
+    return F.transform(F.array(cut), joined)[0]
+
+
+def _behind(html: Column, opening: str) -> Column:
+    """Text behind the first match; empty without one."""
+    return F.regexp_extract(html, f"(?s){opening}(.*)$", 1)
+
+
 def fragment(html: Column, path: Path) -> Column:
     """Inside of the first such element, markup included; empty when there is none."""
-    return F.regexp_extract(html, _element(path), 1)
+    for node in path:
+        html = inside(_behind(html, node.opening()), node.tag)
+    return html
 
 
 def fragments(html: Column, path: Path) -> Column:
     """Insides of all such elements, in page order."""
-    return F.regexp_extract_all(html, F.lit(_element(path)), F.lit(1))
+    cut = F.split(html, "(?s)" + ".*?".join(node.opening() for node in path))
+    return F.transform(F.slice(cut, F.lit(2), F.size(cut)), lambda rest: inside(rest, path[-1].tag))
 
 
 def first_text(html: Column, path: Path) -> Column:
@@ -156,12 +202,9 @@ def chunks(html: Column, node: Node) -> Column:
 
 
 def section(html: Column, node: Node) -> Column:
-    """Page text from the element with the attribute up to the next one that has it; null when absent.
-
-    Plain text search: the attribute's spelling marks the start, its name the end.
-    """
-    after = F.split_part(html, F.lit(f'{node.attr}="{node.word}"'), F.lit(2))
-    return none_if_empty(F.split_part(after, F.lit(f"{node.attr}="), F.lit(1)))
+    """Inside of the element whose attribute is just the node's word; null when absent or empty."""
+    opening = rf'<{node.tag}(?=[\s>/])[^>]*\s{node.attr}="{node.word}"[^>]*>'
+    return none_if_empty(inside(_behind(html, opening), node.tag))
 
 
 def labelled_fragment(scope: Column, label: str) -> Column:
@@ -226,9 +269,20 @@ def definition_pairs(html: Column, container: Node | None = None) -> Column:
     return F.filter(read, lambda e: (e["k"] != "") & (e["v"] != ""))
 
 
-def badges(html: Column, path: Path = LISTING_PAGE.badge) -> Column:
+def badge_fragments(html: Column, layout: PageLayout = LISTING_PAGE) -> Column:
+    """Insides of the badges in the first list of badges."""
+    return fragments(fragment(html, layout.badge_box), layout.badge)
+
+
+def badges(html: Column, layout: PageLayout = LISTING_PAGE) -> Column:
     """Non-empty normalised badge texts, in page order."""
-    return F.filter(F.transform(all_texts(html, path), normalize_text), lambda b: b != "")
+    texts = F.transform(badge_fragments(html, layout), visible_text)
+    return F.filter(F.transform(texts, normalize_text), lambda b: b != "")
+
+
+def location_fragments(html: Column, layout: PageLayout = LISTING_PAGE) -> Column:
+    """Insides of the location parts in every box that names the place."""
+    return F.flatten(F.transform(fragments(html, (layout.location_box,)), lambda box: fragments(box, layout.location)))
 
 
 def energy_attr(html: Column, attr: str = LISTING_PAGE.energy_attr) -> Column:
@@ -237,12 +291,12 @@ def energy_attr(html: Column, attr: str = LISTING_PAGE.energy_attr) -> Column:
 
 
 def luxury_flag(html: Column, layout: PageLayout = LISTING_PAGE) -> Column:
-    """True when the diamond icon and the word stand in the main features, else null - never false."""
-    icon = rf'<use[^>]*\shref="{re.escape(layout.luxury_icon)}"'
+    """True when the icon stands in an item of the main features and the word in any span of the page, else null - never false."""
+    icon = rf'(?s)<svg(?=[\s>]).*?<use[^>]*\shref="{re.escape(layout.luxury_icon)}"'
     word = rf"<span(?=[\s>])[^>]*>[^<]*{LUXURY_WORD}"
-    features = F.regexp_extract(html, rf"(?s){layout.features.opening()}(.*)$", 1)
+    shown = F.exists(fragments(html, (layout.features,)), lambda item: item.rlike(icon))
     # Plain search first: few pages show the icon at all.
-    return F.when(html.contains(layout.luxury_icon) & features.rlike(icon) & features.rlike(word), True)
+    return F.when(html.contains(layout.luxury_icon), F.when(html.rlike(word) & shown, True))
 
 
 def is_auction(text: Column) -> Column:

@@ -20,6 +20,8 @@ DATE = r"(\d{1,2})/(\d{1,2})/(\d{4})"
 FLOAT_TEXT = r"^[+-]?\d+(?:_\d+)*(?:[eE][+-]?\d+(?:_\d+)*)?$"
 HOME_ZONE = "Europe/Rome"
 
+LARGEST = 2**31 - 1
+
 
 def _first(c: Column, pattern: str, kind: str = "double") -> Column:
     """First match of the pattern as a number; null without one."""
@@ -68,7 +70,11 @@ def parse_surface_decimal(c: Column) -> Column:
 
 
 def parse_first_int(c: Column) -> Column:
-    return _first(c, DIGITS, "int")
+    """First digit run, of any length; beyond 32 bits it is the largest whole number, which no range rule admits."""
+    digits = F.ltrim(F.regexp_extract(c, DIGITS, 0), F.lit("0"))
+    read = F.least(digits.try_cast("bigint"), F.lit(LARGEST)).cast("int")
+    found = F.when(F.length(digits) > 10, LARGEST).when(digits == "", 0).otherwise(read)
+    return F.when(c.rlike(DIGITS), found)
 
 
 def parse_yes_no(c: Column) -> Column:

@@ -17,34 +17,39 @@ def crawl_gate(
     max_pages: int = MAX_PAGES,
     min_success: float = MIN_SUCCESS,
     crawl: str = "crawl_id",
+    next_page: str | None = None,
 ) -> DataFrame:
     """Pages of each crawl up to and including the one that ends it, with running counts and the reason.
 
-    ``batches`` holds one row (crawl, page, scraped, inserted) per page.  No crawl
-    runs more than ``max_pages`` pages beyond its first, so only its lowest
-    ``max_pages + 1`` pages can matter.  Keeping those by row number lets Spark cut
-    every crawl inside each task, before the shuffle: one crawl may hold any share of the
-    table and still reaches its window as a few rows per task.
+    ``batches`` holds rows (crawl, page, scraped, inserted); several rows of a page, saved
+    or retried, are added up.  ``next_page`` names the column with the page the crawl came to from this one,
+    null if there was none; without it a crawl goes on to its next page in the table.
+
+    No crawl runs more than ``max_pages`` pages beyond its first, so a window holds at most
+    ``max_pages + 1`` rows.  Counts and first pages are aggregates with a part inside each task: one crawl may hold any
+    share of the table.
     """
+    moved = [F.max(next_page).alias("_next")] if next_page else []
+    pages = batches.groupBy(crawl, "page").agg(F.sum("scraped").alias("scraped"), F.sum("inserted").alias("inserted"), *moved)
+    ends = pages.groupBy(crawl).agg(F.min("page").alias("_start"), F.max("page").alias("_last"))
+    placed = pages.join(ends, crawl)
+    # The first page at the limit or beyond it is still read; a crawl may jump there.
+    limit = placed.where(F.col("page") >= F.col("_start") + max_pages).groupBy(crawl).agg(F.min("page").alias("_limit"))
+    reachable = placed.join(limit, crawl, "left").where(F.col("page") <= F.coalesce("_limit", "page"))
     by_page = Window.partitionBy(crawl).orderBy("page")
-    reachable = batches.withColumn("_n", F.row_number().over(by_page)).where(F.col("_n") <= max_pages + 1)
     so_far = by_page.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = reachable.select(
-        crawl,
-        "page",
-        "scraped",
-        "inserted",
-        F.sum("scraped").over(so_far).alias("total_scraped"),
-        F.sum("inserted").over(so_far).alias("total_inserted"),
-        F.first("page").over(so_far).alias("_start"),
-    )
+    running = reachable.withColumns({"total_scraped": F.sum("scraped").over(so_far), "total_inserted": F.sum("inserted").over(so_far)})
     success = F.try_divide(F.col("total_inserted").cast("double"), F.col("total_scraped").cast("double"))
+    over = F.col("_next").isNull() if next_page else F.col("page") == F.col("_last")
     reason = (
         F.when(F.col("total_scraped") >= listing_limit, "listing_limit")
         .when(F.col("page") >= F.col("_start") + max_pages, "max_pages")
         .when((F.col("total_scraped") == 0) | (F.col("success") < min_success), "low_success")
+        .when(over, "no_next_page")
     )
+    if next_page:
+        reason = reason.when(F.col("_next") == F.col("page"), "page_unchanged")
     judged = running.withColumn("success", success).withColumn("stop_reason", reason)
     earlier = by_page.rowsBetween(Window.unboundedPreceding, -1)
-    stopped_before = F.count("stop_reason").over(earlier)
-    return judged.withColumn("_stopped", stopped_before).where(F.col("_stopped") == 0).drop("_stopped", "_start")
+    kept = judged.withColumn("_stopped", F.count("stop_reason").over(earlier)).where(F.col("_stopped") == 0)
+    return kept.select(crawl, "page", "scraped", "inserted", "total_scraped", "total_inserted", "success", "stop_reason")

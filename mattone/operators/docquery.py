@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,12 @@ def count_where(df: DataFrame, field: str, value: Any) -> DataFrame:
     return count_all(find_eq(df, field, value))
 
 
+def count_questions(df: DataFrame, questions: dict[str, Column]) -> DataFrame:
+    """(question, n) for each named condition, all counted in one pass."""
+    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in questions.items()])
+    return counts.select(F.explode(F.create_map(*[c for name in questions for c in (F.lit(name), F.col(f"`{name}`"))])).alias("question", "n"))
+
+
 def find_eq(df: DataFrame, field: str, value: Any) -> DataFrame:
     """Rows whose field, nested ones by dotted name, equals the value."""
     return df.where(F.col(field) == F.lit(value))

@@ -20,14 +20,14 @@ def harvest_cards(
 ) -> DataFrame:
     """One row per listing card of each page, with the reason it is skipped or null.
 
-    A card ends at its list item's end or at the next card.  The checks run in
+    A card ends where its element does, or at the next card.  The checks run in
     order - link, title, id, auction - and the first that fails names the reason.
     """
     keep = [c for c in pages.columns if c != html]
     cards = pages.select(*keep, F.posexplode(H.chunks(F.col(html), layout.card)).alias("position", "_rest"))
     anchor = rf'(?s)<a(?=\s)[^>]*\shref="[^"]*{re.escape(layout.href_word)}[^"]*"[^>]*>.*?</a>'
     # Cut, match and read in steps that name finished columns.
-    cut = cards.select(*keep, "position", F.substring_index("_rest", "</li>", 1).alias("_card"))
+    cut = cards.select(*keep, "position", H.inside(F.col("_rest"), layout.card.tag).alias("_card"))
     matched = cut.withColumn("_anchor", F.regexp_extract("_card", anchor, 0))
 
     def attribute(name: str) -> Column:
@@ -81,11 +81,11 @@ def page_fragments(html: str, layout: H.PageLayout) -> dict[str, Column]:
     return {
         "page_title": H.fragment(page, layout.title),
         "price_text": H.fragment(page, layout.price),
-        "location_parts": H.fragments(page, layout.location),
+        "location_parts": H.location_fragments(page, layout),
         "description_title": H.fragment(F.col("_description"), layout.description_title),
         "description": H.fragment(F.col("_description"), layout.description_text),
         "update_text": H.fragment(page, layout.update),
-        "badges": H.fragments(page, layout.badge),
+        "badges": H.badge_fragments(page, layout),
         "energy_text": H.energy_attr(page, layout.energy_attr),
         "fee_text": H.labelled_fragment(F.col("_costs"), H.FEE_LABEL),
         "price_sqm_text": H.labelled_fragment(F.col("_price_info"), H.SQM_LABEL),

@@ -27,6 +27,7 @@ def test_cards(spark):
         '<a href="https://www.immobiliare.it/annunci/x/">vendita</a>',
         "<p>vuoto</p>",
         f'<a href="{URL.format(4)}" title=""><b>Quattro</b></a>',
+        f'<a href="{URL.format(5)}">Cinque</a><ul><li>x</li></ul><div><div>y</div></div><p>Da € 5</p>',
     )
     assert found == [
         ("1", "Uno & due", None),
@@ -36,6 +37,7 @@ def test_cards(spark):
         (None, "vendita", "no_id"),
         (None, None, "no_link"),
         ("4", "Quattro", None),
+        ("5", "Cinque", "auction"),
     ]
 
 
@@ -85,8 +87,39 @@ def test_flags_and_attributes(spark):
     assert one(spark, lux.replace("#diamond", "#x"), H.luxury_flag) is None
     assert one(spark, '<span data-energy-class=" a+ "></span>', H.energy_attr) == "A+"
     assert one(spark, '<span data-energy-class=""></span>', H.energy_attr) is None
+    footer = '<footer><svg><use href="#diamond"></use></svg><span>Lusso</span></footer>'
+    assert one(spark, '<div class="styles_ld-mainFeatures__item">x</div>' + footer, H.luxury_flag) is None
     badge = '<li class="styles_ld-featuresBadges__badge___8QgZ"><span class="nd-badge">{}</span></li>'
-    assert one(spark, badge.format("A, b") + badge.format(" ") + badge.format("C"), H.badges) == ["A. b", "C"]
+    box = '<div class="styles_ld-featuresBadges__mJqLG"><ul class="styles_ld-featuresBadges__list__MGuKy">{}</ul></div>'
+    inner = badge.format("A, b") + badge.format(" ") + badge.format("C")
+    assert one(spark, badge.format("fuori") + box.format(inner) + badge.format("fuori"), H.badges) == ["A. b", "C"]
+    assert one(spark, inner, H.badges) == []
+
+
+@pytest.mark.parametrize(
+    "rest, expected",
+    [
+        ("a</div>b", "a"),
+        ("a<div>b</div>c</div>d</div>", "a<div>b</div>c"),
+        ("<div><div></div></div>x</DIV >y", "<div><div></div></div>x"),
+        ("a<divider>b</divider></div>c", "a<divider>b</divider>"),
+        ("a<div>b</div>c", "a<div>b</div>c"),
+        ("never closed", "never closed"),
+        ("", ""),
+    ],
+)
+def test_inside(spark, rest, expected):
+    assert one(spark, rest, lambda c: H.inside(c, "div")) == expected
+
+
+def test_visible_text(spark):
+    assert one(spark, "prima<br>seconda <div>interno</div> <b>do</b>po<script>x</script><!-- n -->", lambda c: H.normalize_text(H.visible_text(c))) == "prima seconda interno dopo"
+
+
+def test_location_parts_stand_in_their_box(spark):
+    span = '<span class="styles_ld-blockTitle__location__n2mZJ">{}</span>'
+    page = span.format("fuori") + '<button class="styles_ld-blockTitle__link__paCwh">' + span.format("Milano") + span.format("Via") + "</button>" + span.format("fuori")
+    assert one(spark, page, H.location_fragments) == ["Milano", "Via"]
 
 
 def test_raw_rows_are_rejected_with_the_first_reason(spark):
@@ -136,4 +169,14 @@ def test_crawl_gate(spark):
     whole = [(i, 1, 1) for i in range(1, 200)]
     assert gate(spark, whole)[-1] == (81, "max_pages") and len(gate(spark, whole)) == 81
     assert gate(spark, [(1, 1, 1), (2, 1, 1), (500, 1, 1), (501, 1, 1)])[-1] == (500, "max_pages")
-    assert gate(spark, [(1, 5, 5)]) == [(1, None)]
+    assert gate(spark, [(1, 5, 5)]) == [(1, "no_next_page")]
+    twice = [(i, 1, 1) for i in range(1, 101)] * 2
+    assert gate(spark, twice, max_pages=40)[-1] == (41, "max_pages") and len(gate(spark, twice, max_pages=40)) == 41
+
+
+def test_crawl_gate_moves(spark):
+    """A crawl ends where it has no next page, or comes back to the page it is on."""
+    shape = "crawl_id int, page long, scraped long, inserted long, to long"
+    rows = [(1, 1, 1, 1, 2), (1, 2, 1, 1, 2), (1, 3, 1, 1, 4), (2, 1, 1, 1, None), (2, 2, 1, 1, 3)]
+    found = crawl.crawl_gate(spark.createDataFrame(rows, shape), next_page="to").orderBy("crawl_id", "page").collect()
+    assert [(r.crawl_id, r.page, r.stop_reason) for r in found] == [(1, 1, None), (1, 2, "page_unchanged"), (2, 1, "no_next_page")]

@@ -45,7 +45,7 @@ def test_a_long_crawl_keeps_its_first_pages(spark):
     pages = third(spark).select(
         F.col("id").alias("crawl_id"), F.col("n").alias("page"), F.lit(1).alias("scraped"), F.lit(1).alias("inserted")
     )
-    gated = crawl.crawl_gate(pages, max_pages=30)
+    gated = crawl.crawl_gate(pages.union(pages), max_pages=30)
     hot = gated.where("crawl_id = 'hot'").orderBy("page").collect()
     assert [r.page for r in hot] == list(range(0, 33, 3))[: len(hot)] and hot[-1].stop_reason == "max_pages"
     assert gated.count() == 2 * N // 3 + len(hot)

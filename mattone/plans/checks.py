@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mattone.plans.fixtures import duck_similar, duck_texts
+from mattone.plans.fixtures import CHARACTERISTICS, duck_similar, duck_texts
 from mattone.plans.queries import MAPPING_SAMPLE, SEED, START
 from mattone.vocabulary import VOCABULARY, pairs
 
@@ -24,7 +24,7 @@ def _parts(text: str, sep: str) -> str:
 
 
 def _from(*columns: str) -> str:
-    return "FROM " + duck_texts(list(columns)) + " t"
+    return "FROM " + duck_texts(list(columns) or None) + " t"
 
 
 # --- the readings of single texts --------------------------------------------------------------
@@ -40,13 +40,18 @@ def _sqm(text: str) -> tuple[str, str]:
 
 
 _DIGITS = "try_cast(nullif(regexp_extract({0}, '[0-9]+'), '') AS {1})"
+_YEAR = f"least({_DIGITS.format('year_text', 'bigint')}, 2147483647)"
 _FEE_NUMBER = _DIGITS.format("fee_text", "double")
 _FEE_TEXT = f"CASE WHEN {_FEE_NUMBER} IS NOT NULL THEN fee_text END"
 _FEE = f"CASE WHEN contains(fee_text, 'anno') THEN {_FEE_NUMBER} / 12 ELSE {_FEE_NUMBER} END"
 _SURFACE_TEXT = "CASE WHEN ends_with(surface_text, 'm²') THEN replace(surface_text, 'm²', 'sqm') END"
 _SURFACE = f"CASE WHEN ends_with(surface_text, 'm²') THEN {_DIGITS.format('surface_text', 'double')} END"
 _SURFACE_DECIMAL = "CASE WHEN ends_with(surface_text, 'm²') THEN cast(replace(regexp_extract(surface_text, '[0-9]+([.,][0-9]+)?'), ',', '.') AS double) END"
-_ANSWER = "CASE WHEN regexp_matches(lower(answer_text), 'sì|si|yes') THEN true WHEN contains(lower(answer_text), 'no') THEN false END"
+def _yes(text: str) -> str:
+    return f"CASE WHEN regexp_matches(lower({text}), 'sì|si|yes') THEN true WHEN contains(lower({text}), 'no') THEN false END"
+
+
+_ANSWER = _yes("answer_text")
 _PORTER = "CASE WHEN porter_text <> '' THEN contains(lower(porter_text), 'portiere') END"
 _ENERGY_CLASS = f"CASE WHEN energy_text IN ({_ENERGY}) THEN energy_text END"
 _DAY = "try_strptime(nullif(regexp_extract(update_text, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}'), ''), '%d/%m/%Y')"
@@ -86,11 +91,11 @@ def _glass(text: str) -> str:
     )
 
 
+_POOL = "CASE WHEN list_contains(b, 'Piscina') THEN true END AS has_pool"
 _FEATURE_TEXT = (
     f"coalesce(len(list_filter(b, lambda x: {_IS_KNOWN})), 0) = 0 AS no_features, "
     f"{_code('tv', _last('Impianto tv'))} AS tv_system, {_glass('w[1]')} AS window_glass_type, "
-    f"{_code('window_material', 'w[2]')} AS window_material, {_last('Esposizione')} AS sun_exposure, "
-    "CASE WHEN list_contains(b, 'Piscina') THEN true END AS has_pool"
+    f"{_code('window_material', 'w[2]')} AS window_material, {_last('Esposizione')} AS sun_exposure, " + _POOL
 )
 _WITH_BADGES = f"(SELECT *, {_parts(_last('Infissi esterni'), '/')} AS w FROM (SELECT *, {_BADGES} AS b FROM {{0}}) q1)"
 
@@ -109,29 +114,40 @@ def _details(page: bool) -> str:
     rooms = "CASE WHEN k % 10 = 0 THEN 9 ELSE " + _DIGITS.format("rooms_text", "bigint") + " END" if page else _DIGITS.format("rooms_text", "bigint")
     address = "coalesce(array_to_string(list_transform(string_split(address_text, '/'), lambda x: trim(x)), '/'), '')" if page else "address_text"
     city = "coalesce(string_split(address_text, '/')[1], '')" if page else "string_split(address_text, '/')[1]"
-    description = _line("description_text") if page else "trim(description_text)"
+    description = _line("shown_description") if page else "trim(description_text)"
     no_location = "" if page else "WHEN address_text IS NULL THEN 'no_location' "
-    year = _DIGITS.format("year_text", "bigint")
+    year = _YEAR
+    heading = "CASE WHEN trim(description_text) <> '' THEN 'Casa. bella' END" if page else "NULL::varchar"
+    whole = lambda text: _DIGITS.format(text, "bigint")
     return (
-        f"SELECT id, title, url, 1748772000::bigint AS fetch_epoch, {_UPDATED} AS updated_epoch, price_text AS formatted_price, {_PRICE} AS price_eur, "
+        f"SELECT id, 'immobiliare' AS source, title, url, 1748772000::bigint AS fetch_epoch, {_UPDATED} AS updated_epoch, price_text AS formatted_price, {_PRICE} AS price_eur, "
         f"{_FEE_TEXT} AS formatted_maintenance_fee, round({_FEE}, 6) AS maintenance_fee, {sqm_text} AS formatted_price_sqm, {sqm} AS price_sqm, "
         f"type_text AS type, contract_text AS contract, condition_text AS condition, CASE WHEN k % 3 = 0 THEN true END AS is_luxury, "
-        f"{_SURFACE_TEXT} AS surface_formatted, {_SURFACE} AS surface, {rooms} AS rooms, {_ANSWER} AS balcony, garden_text AS garden, "
-        f"furnished_text AS furnished, kitchen_text AS kitchen, {year} AS build_year, {_PORTER} AS concierge, {_ENERGY_CLASS} AS energy_class, "
-        f"{city} AS city, 'IT' AS country, {address} AS address, {description} AS description, badges_text AS amenities, "
+        f"{_SURFACE_TEXT} AS surface_formatted, {_SURFACE} AS surface, {rooms} AS rooms, floor_text AS floor, {whole('floors_text')} AS total_floors, "
+        f"{whole('baths_text')} AS bathrooms, {whole('beds_text')} AS bedrooms, {_ANSWER} AS balcony, {_yes('terrace_text')} AS terrace, {_yes('lift_text')} AS elevator, "
+        f"garden_text AS garden, {_yes('cellar_text')} AS cellar, NULL::boolean AS basement, "
+        f"furnished_text AS furnished, kitchen_text AS kitchen, {year} AS build_year, {_PORTER} AS concierge, {_yes('access_text')} AS is_accessible, "
+        f"heating_text AS heating_type, cooling_text AS air_conditioning, {_ENERGY_CLASS} AS energy_class, "
+        f"{city} AS city, 'IT' AS country, {address} AS address, parking_text AS parking_info, {heading} AS description_title, {description} AS description, "
+        f"replace(badges_text, ';', '|') AS other_amenities, "
         f"CASE {no_location}WHEN trim(description_text) = '' THEN 'no_description' WHEN {_PRICE} IS NULL THEN 'bad_price' "
         f"WHEN coalesce({_SURFACE}, 0) = 0 THEN 'bad_surface' WHEN {year} NOT BETWEEN 1800 AND 2100 THEN 'build_year_out_of_range' END AS reject_reason "
         f"FROM {duck_texts()} t"
     )
 
 
+_NOTHING = {"varchar": ("floor", "heating_type", "air_conditioning", "parking_info", "description_title"), "bigint": ("updated_epoch", "total_floors", "bedrooms"), "double": ("price_sqm",)}
+_UNKNOWN = ", ".join(f"NULL::{kind} AS {c}" for kind, names in _NOTHING.items() for c in names)
+_FLAGS = ", ".join(f"CASE WHEN list_contains(b, '{label}') THEN true END AS {code}" for label, code in pairs("feature"))
 _RECORDS = (
-    f"SELECT id, title, 1748772000::bigint AS etl_epoch, cast(k AS double) AS price_eur, "
+    f"SELECT id, 'immobiliare' AS source, title, url, 1748772000::bigint AS fetch_epoch, 1748772000::bigint AS etl_epoch, cast(k AS double) AS price_eur, {_UNKNOWN}, "
     f"CASE WHEN k % 4 > 0 THEN cast(k % 300 AS double) END AS maintenance_fee, {_TYPE}, {_CONTRACT}, "
     f"{_code('condition', 'condition_text')} AS condition, CASE WHEN k % 3 = 0 THEN true END AS is_luxury, {_SURFACE_DECIMAL} AS surface, "
-    f"k % 7 AS rooms, k % 2 = 0 AS has_balcony, {_code('garden', 'garden_text')} AS garden, {_code('furnished', 'furnished_text')} AS furnished, "
-    f"{_code('kitchen', 'kitchen_text')} AS kitchen, cast(year_text AS bigint) AS build_year, energy_text AS energy_class, "
-    f"{_place(2)} AS zone, {_place(3)} AS address, {_FEATURE_TEXT}, CASE WHEN list_contains(b, 'Caminetto') THEN true END AS has_fireplace, "
+    f"k % 7 AS rooms, k % 3 AS bathrooms, k % 2 = 0 AS has_balcony, "
+    + ", ".join(f"NULL::boolean AS {c}" for c in ("has_terrace", "has_elevator", "has_cellar", "has_basement", "has_concierge", "is_accessible"))
+    + f", {_code('garden', 'garden_text')} AS garden, {_code('furnished', 'furnished_text')} AS furnished, "
+    f"{_code('kitchen', 'kitchen_text')} AS kitchen, least(cast(year_text AS bigint), 2147483647) AS build_year, energy_text AS energy_class, "
+    f"'IT' AS country, 'Milano' AS city, {_place(2)} AS zone, {_place(3)} AS address, trim(description_text) AS description, {_FEATURE_TEXT.replace(_POOL, _FLAGS)}, "
     f"o_orderstatus FROM (SELECT *, {_parts('type_text', '|')} AS p FROM {_WITH_BADGES.format(duck_texts() + ' q0')} q2) t"
 )
 _RECORD_REASON = (
@@ -140,6 +156,11 @@ _RECORD_REASON = (
     f"CASE WHEN energy_class NOT IN ({_ENERGY}) THEN 'energy_class_not_allowed' END), '') END"
 )
 
+# What a record takes over from its listing as it is.
+_KEPT = (
+    "id source title url fetch_epoch updated_epoch price_eur maintenance_fee price_sqm is_luxury rooms floor total_floors bathrooms bedrooms build_year is_accessible heating_type air_conditioning energy_class country city parking_info description_title description"
+).split()
+
 # --- similarity graph -------------------------------------------------------------------------------
 
 _EDGES = (
@@ -154,6 +175,7 @@ _HOPS = (
     "hops AS (SELECT a AS start, b AS node, 1 AS distance, NULL AS mid, score AS score1, NULL AS score2, via AS via1, NULL AS via2 FROM walk WHERE a <> b "
     "UNION ALL SELECT x.a, y.b, 2, x.b, x.score, y.score, x.via, y.via FROM walk x JOIN walk y ON x.b = y.a WHERE x.a <> y.b)"
 )
+_WANTED = "(SELECT cast(doc_id AS varchar) FROM labels)"
 _NEIGHBOURS = (
     f"WITH {_EDGES}, {_HOPS} SELECT h.start, h.node, n.text, cast(h.distance AS bigint) AS distance, "
     "round(max(CASE h.distance WHEN 1 THEN score1 ELSE score1 + score2 END), 6) AS score "
@@ -168,18 +190,23 @@ _STRONG = (
 )
 
 
-def _gate(limit: int, pages: int, success: float) -> str:
+_SPARSE = ("id", "fee_text", "condition_text", "garden_text", "badges_text")
+
+
+def _gate(limit: int, pages: int, success: float, crawl: str = "floor(event_id / 5000)", page: str = "floor(event_id / 50)", over: str = "page = last_page", unchanged: str = "false") -> str:
     return (
-        "WITH batches AS (SELECT cast(floor(event_id / 5000) AS bigint) AS crawl_id, cast(floor(event_id / 50) AS bigint) AS page, count(*) AS scraped, "
-        "count(*) FILTER (WHERE event_type <> 'error') AS inserted FROM events GROUP BY ALL), "
+        f"WITH batches AS (SELECT cast({crawl} AS bigint) AS crawl_id, cast({page} AS bigint) AS page, count(*) AS scraped, "
+        "count(*) FILTER (WHERE event_type <> 'error') AS inserted FROM events GROUP BY 1, 2), "
+        f"limits AS (SELECT b.crawl_id, min(page) AS end_at FROM batches b JOIN (SELECT crawl_id, min(page) AS first FROM batches GROUP BY crawl_id) f ON f.crawl_id = b.crawl_id WHERE page >= first + {pages} GROUP BY b.crawl_id), "
         "running AS (SELECT *, cast(sum(scraped) OVER w AS bigint) AS total_scraped, cast(sum(inserted) OVER w AS bigint) AS total_inserted, "
-        "min(page) OVER (PARTITION BY crawl_id) AS first_page FROM batches WINDOW w AS (PARTITION BY crawl_id ORDER BY page)), "
+        "min(page) OVER (PARTITION BY crawl_id) AS first_page, max(page) OVER (PARTITION BY crawl_id) AS last_page FROM batches WINDOW w AS (PARTITION BY crawl_id ORDER BY page)), "
         "judged AS (SELECT *, total_inserted / total_scraped AS success, "
         f"CASE WHEN total_scraped >= {limit} THEN 'listing_limit' WHEN page >= first_page + {pages} THEN 'max_pages' "
-        f"WHEN total_inserted / total_scraped < {success} THEN 'low_success' END AS stop_reason FROM running), "
-        "ends AS (SELECT crawl_id, min(page) AS last_page FROM judged WHERE stop_reason IS NOT NULL GROUP BY crawl_id) "
-        "SELECT j.crawl_id, j.page, scraped, inserted, total_scraped, total_inserted, round(success, 6) AS success, stop_reason "
-        "FROM judged j LEFT JOIN ends e ON e.crawl_id = j.crawl_id WHERE e.last_page IS NULL OR j.page <= e.last_page"
+        f"WHEN total_inserted / total_scraped < {success} THEN 'low_success' WHEN {over} THEN 'no_next_page' WHEN {unchanged} THEN 'page_unchanged' END AS stop_reason "
+        "FROM running LEFT JOIN limits USING (crawl_id) WHERE page <= coalesce(end_at, page)), "
+        "ends AS (SELECT crawl_id, min(page) AS end_page FROM judged WHERE stop_reason IS NOT NULL GROUP BY crawl_id) "
+        "SELECT j.crawl_id, j.page, cast(scraped AS bigint) AS scraped, cast(inserted AS bigint) AS inserted, total_scraped, total_inserted, round(success, 6) AS success, stop_reason "
+        "FROM judged j LEFT JOIN ends e ON e.crawl_id = j.crawl_id WHERE e.end_page IS NULL OR j.page <= e.end_page"
     )
 
 
@@ -212,14 +239,13 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT k, 2, NULL, NULL, '', url FROM t"
     )
     source_id = "nullif(regexp_extract(link, '/annunci/([0-9]+)/?$', 1), '')"
-    flags = ", ".join(f"CASE WHEN list_contains(b, '{label}') THEN true END AS {code}" for label, code in pairs("feature"))
     return {
         "parse_price": f"SELECT k, price_text, {_PRICE} AS price_eur {_from('price_text')}",
         "parse_price_sqm": f"SELECT k, {sqm_text} AS text, {sqm} AS value {_from('price_sqm_text')}",
         "parse_monthly_fee": f"SELECT k, {_FEE_TEXT} AS text, {_FEE} AS value {_from('fee_text')}",
         "parse_surface_int": f"SELECT k, {_SURFACE_TEXT} AS text, {_SURFACE} AS value {_from('surface_text')}",
         "parse_surface_decimal": f"SELECT k, {_SURFACE_DECIMAL} AS raw_m2, {_SURFACE_DECIMAL} AS formatted_sqm {_from('surface_text')}",
-        "parse_first_int": f"SELECT k, {_DIGITS.format('rooms_text', 'bigint')} AS rooms, {_DIGITS.format('year_text', 'bigint')} AS build_year "
+        "parse_first_int": f"SELECT k, {_DIGITS.format('rooms_text', 'bigint')} AS rooms, {_YEAR} AS build_year "
         + _from("rooms_text", "year_text"),
         "parse_yes_no": f"SELECT k, {_ANSWER} AS answer {_from('answer_text')}",
         "parse_concierge": f"SELECT k, {_PORTER} AS concierge {_from('porter_text')}",
@@ -249,7 +275,7 @@ def oracle_sql() -> dict[str, str]:
         "window_pair": _VOCAB
         + f"SELECT k, badge, {_glass('w[1]')} AS window_glass_type, {_code('window_material', 'w[2]')} AS window_material FROM "
         f"(SELECT k, badge, {_parts('badge', '/')} AS w FROM (SELECT k, unnest({_BADGES}) AS badge {_from('badges_text')}) q) q2",
-        "feature_flags": f"SELECT k, {flags} FROM (SELECT k, {_BADGES} AS b {_from('badges_text')}) q",
+        "feature_flags": f"SELECT k, {_FLAGS} FROM (SELECT k, {_BADGES} AS b {_from('badges_text')}) q",
         "feature_text": _VOCAB + f"SELECT k, {_FEATURE_TEXT} FROM {_WITH_BADGES.format(duck_texts(['badges_text']) + ' q0')} t",
         "unknown_terms": _VOCAB
         + f", base AS (SELECT *, {_parts('type_text', '|')} AS p FROM {duck_texts()} q), "
@@ -267,46 +293,44 @@ def oracle_sql() -> dict[str, str]:
         f"UNION ALL SELECT 'window_glass_type', w[1] FROM pane WHERE {_glass('w[1]')} IS NULL "
         f"UNION ALL SELECT 'window_material', w[2] FROM pane WHERE w[2] IS NOT NULL AND {_code('window_material', 'w[2]')} IS NULL) "
         "SELECT field, term, count(*) AS n FROM terms GROUP BY field, term",
-        "harvest_links": "SELECT page_id, position, link, title, NULL::varchar AS source_id, 'no_id' AS skip_reason FROM (SELECT page_id, "
+        "harvest_links": "SELECT page_id, position, link, nullif(title, '') AS title, NULL::varchar AS source_id, CASE WHEN title = '' THEN 'no_title' ELSE 'no_id' END AS skip_reason FROM (SELECT page_id, "
         "unnest(range(len(links))) AS position, unnest(links) AS link, unnest(titles) AS title FROM (SELECT page_id, "
         "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 1) AS links, "
-        "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2) AS titles FROM pages) q) q2 WHERE title <> ''",
+        "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2) AS titles FROM pages) q) q2",
         "harvest_cards": f"WITH t AS (SELECT * {_from('url', 'title', 'card_text')}), cards AS ({three_cards}) SELECT k, position, link, title, {source_id} AS source_id, "
         f"CASE WHEN link IS NULL THEN 'no_link' WHEN title IS NULL THEN 'no_title' WHEN {source_id} IS NULL THEN 'no_id' "
         "WHEN contains(lower(card_text), 'da €') THEN 'auction' END AS skip_reason FROM cards",
         "auction_filter": f"SELECT k, card_text {_from('card_text')} WHERE NOT contains(lower(card_text), 'da €')",
-        "dtdd_map": "SELECT k, 7 + (condition_text IS NOT NULL)::bigint + (garden_text IS NOT NULL)::bigint + (furnished_text IS NOT NULL)::bigint "
-        "+ (kitchen_text IS NOT NULL)::bigint - (answer_text IS NULL)::bigint - (porter_text IS NULL)::bigint "
-        "- (rooms_text IS NULL AND k % 10 <> 0)::bigint AS n_pairs, type_text AS kind, contract_text AS contract, surface_text AS surface, "
-        "CASE WHEN k % 10 = 0 THEN '9 locali' ELSE rooms_text END AS rooms, garden_text AS garden "
-        + _from(
-            "condition_text", "garden_text", "furnished_text", "kitchen_text", "answer_text", "porter_text", "rooms_text", "type_text",
-            "contract_text", "surface_text",
-        ),
+        "dtdd_map": "SELECT k, " + " + ".join(f"({c} IS NOT NULL)::bigint" for c in CHARACTERISTICS.values())
+        + " + (rooms_text IS NULL AND k % 10 = 0)::bigint AS n_pairs, type_text AS kind, contract_text AS contract, surface_text AS surface, "
+        "CASE WHEN k % 10 = 0 THEN '9 locali' ELSE rooms_text END AS rooms, garden_text AS garden " + _from(*CHARACTERISTICS.values()),
         "dtdd_lookup": f"SELECT k, {_line('fee_text')} AS fee, {_line('price_sqm_text')} AS price_sqm {_from('fee_text', 'price_sqm_text')}",
         "badge_array": f"SELECT k, coalesce(len({_BADGES}), 0) AS n_badges, coalesce(array_to_string({_BADGES}, '|'), '') AS badges {_from('badges_text')}",
         "luxury_flag": f"SELECT k, CASE WHEN k % 3 = 0 THEN true END AS luxury, energy_text AS energy {_from('energy_text')}",
         "page_fields": f"SELECT k, title AS page_title, price_text, "
         "coalesce(array_to_string(list_transform(string_split(address_text, '/'), lambda x: trim(x)), '/'), '') AS location, "
-        f"CASE WHEN trim(description_text) <> '' THEN 'Casa. bella' END AS description_title, {_line('description_text')} AS description, "
-        f"NULL::varchar AS page_problem {_from('title', 'price_text', 'address_text', 'description_text')}",
+        f"CASE WHEN trim(description_text) <> '' THEN 'Casa. bella' END AS description_title, {_line('shown_description')} AS description, "
+        f"NULL::varchar AS page_problem {_from('title', 'price_text', 'address_text', 'description_text', 'shown_description')}",
         "crawl_gate": _gate(2000, 80, 0.3),
         "crawl_gate_pages": _gate(1_000_000, 30, 0.1),
         "crawl_gate_success": _gate(1_000_000, 80, 0.8),
+        "crawl_gate_moves": _gate(1_000_000, 80, 0.1, over="page % 23 = 0", unchanged="page % 17 = 0"),
+        "crawl_gate_hot": _gate(1_000_000, 1500, 0.1, "CASE WHEN event_id % 3 = 0 THEN -1 ELSE floor(event_id / 5000) END", "floor(event_id / 10)"),
         "require_fields": "SELECT id, CASE WHEN address_text IS NULL THEN 'no_location' WHEN trim(description_text) = '' THEN 'no_description' END AS reason "
         + _from("id", "address_text", "description_text"),
-        "build_details": _details(page=False).replace("badges_text AS amenities", "replace(badges_text, ';', '|') AS amenities"),
-        "page_details": _details(page=True).replace("badges_text AS amenities", "replace(badges_text, ';', '|') AS amenities"),
+        "build_details": _details(page=False),
+        "page_details": _details(page=True),
         "etl_listing_records": _VOCAB + f"SELECT * EXCLUDE (o_orderstatus) FROM ({_RECORDS}) r WHERE o_orderstatus <> 'F' AND {_RECORD_REASON} IS NULL",
-        "record_rejects": _VOCAB
-        + f"SELECT reject_reason, count(*) AS n FROM (SELECT {_RECORD_REASON} AS reject_reason FROM ({_RECORDS}) r) q WHERE reject_reason IS NOT NULL GROUP BY reject_reason",
+        "record_rejects": _VOCAB + f"SELECT * EXCLUDE (o_orderstatus), {_RECORD_REASON} AS reject_reason FROM ({_RECORDS}) r WHERE {_RECORD_REASON} IS NOT NULL",
         "validate_listings": "SELECT id, nullif(concat_ws(',', CASE WHEN k % 110 = 0 THEN 'title_missing' END, "
         "CASE WHEN k % 70 <> 0 AND (k % 75 = 0 OR k % 77 = 0) THEN 'price_eur_not_finite' END, CASE WHEN k % 70 = 0 THEN 'price_eur_negative' END, "
-        "CASE WHEN k % 30 = 0 THEN 'type_empty' END, CASE WHEN cast(year_text AS int) NOT BETWEEN 1800 AND 2100 THEN 'build_year_out_of_range' END, "
+        "CASE WHEN k % 30 = 0 THEN 'type_empty' END, CASE WHEN cast(year_text AS bigint) NOT BETWEEN 1800 AND 2100 THEN 'build_year_out_of_range' END, "
         f"CASE WHEN energy_text NOT IN ({_ENERGY}) THEN 'energy_class_not_allowed' END), '') AS failed_rules {_from('id', 'year_text', 'energy_text')}",
         "three_layers": _VOCAB
-        + f", listing AS ({_details(page=True)}), record AS ({_RECORDS.replace('o_orderstatus FROM', 'url, price_text, card_text, FROM')}) "
-        "SELECT l.id, l.url, l.price_eur, r.property_type, r.contract_type, r.surface, r.zone, r.address FROM listing l JOIN record r ON r.id = l.id "
+        + f", listing AS ({_details(page=True)}), record AS ({_RECORDS.replace('o_orderstatus FROM', 'card_text, FROM')}) "
+        f"SELECT {', '.join('l.' + c for c in _KEPT)}, l.balcony AS has_balcony, l.terrace AS has_terrace, l.elevator AS has_elevator, l.cellar AS has_cellar, "
+        f"l.basement AS has_basement, l.concierge AS has_concierge, r.* EXCLUDE ({', '.join(_KEPT)}, has_balcony, has_terrace, has_elevator, has_cellar, has_basement, has_concierge, card_text) "
+        "FROM listing l JOIN record r ON r.id = l.id "
         "WHERE l.reject_reason IS NULL AND r.property_type IS NOT NULL AND r.contract_type IS NOT NULL "
         "AND regexp_matches(l.url, '/annunci/[0-9]+/?$') AND NOT contains(lower(r.card_text), 'da €')",
         "pending_details": f"SELECT id, url {_from('id', 'url')} WHERE o_orderstatus <> 'F'",
@@ -325,14 +349,27 @@ def oracle_sql() -> dict[str, str]:
         "range_sorted": "SELECT user_id, event_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-10 00:00:00' ORDER BY user_id NULLS FIRST, event_id",
         "union_sparse": "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL::double AS balance FROM customer "
         "UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier",
-        "sparse_json": "SELECT k, 2 + (fee_text IS NOT NULL)::bigint + (condition_text IS NOT NULL)::bigint + (garden_text IS NOT NULL)::bigint "
-        "+ (badges_text IS NOT NULL)::bigint AS n_fields, garden_text " + _from("fee_text", "condition_text", "garden_text", "badges_text"),
+        "sparse_json": "SELECT '{' || concat_ws(',', '\"k\":' || k, " + ", ".join(f"'\"{c}\":\"' || {c} || '\"'" for c in _SPARSE) + ") || '}' AS json " + _from(*_SPARSE),
         "insert_ignore": f"SELECT id, {known_title}, {n_orders} - {n_finished} AS inserted, 2 * {n_orders} - ({n_orders} - {n_finished}) AS skipped, "
         f"0::bigint AS inserted_again {_from('id', 'title')}",
         "stream_insert_ignore": f"SELECT id, {known_title}, url {_from('id', 'title', 'url')}",
-        "csv_roundtrip": "SELECT id, title, 1748772000::bigint AS fetch_epoch, cast(k AS double) AS price_eur, type_text AS type, k % 7 AS rooms, "
-        "CASE WHEN k % 3 = 0 THEN true END AS is_luxury, condition_text AS condition, trim(description_text) AS description, "
-        "replace(badges_text, ';', '|') AS amenities " + _from("id", "title", "type_text", "condition_text", "description_text", "badges_text"),
+        "csv_roundtrip": "SELECT id, 'immobiliare' AS source, title, url, 1748772000::bigint AS fetch_epoch, NULL::bigint AS updated_epoch, price_text AS formatted_price, "
+        "cast(k AS double) AS price_eur, CASE WHEN k % 4 > 0 THEN cast(k % 300 AS double) END AS maintenance_fee, type_text AS type, contract_text AS contract, "
+        "condition_text AS condition, CASE WHEN k % 3 = 0 THEN true END AS is_luxury, replace(surface_text, 'm²', 'sqm') AS surface_formatted, k % 7 AS rooms, k % 3 AS bathrooms, "
+        "k % 2 = 0 AS balcony, garden_text AS garden, furnished_text AS furnished, kitchen_text AS kitchen, least(cast(year_text AS bigint), 2147483647) AS build_year, "
+        "energy_text AS energy_class, 'Milano' AS city, 'IT' AS country, address_text AS address, trim(description_text) AS description, replace(badges_text, ';', '|') AS other_amenities, "
+        + ", ".join(
+            f"NULL::{kind} AS {c}"
+            for kind, names in {
+                "varchar": "formatted_maintenance_fee formatted_price_sqm floor heating_type air_conditioning parking_info description_title",
+                "double": "price_sqm surface",
+                "bigint": "total_floors bedrooms",
+                "boolean": "terrace elevator cellar basement concierge is_accessible",
+            }.items()
+            for c in names.split()
+        )
+        + ", nullif(concat_ws(',', CASE WHEN cast(year_text AS bigint) NOT BETWEEN 1800 AND 2100 THEN 'build_year_out_of_range' END, "
+        f"CASE WHEN energy_text NOT IN ({_ENERGY}) THEN 'energy_class_not_allowed' END), '') AS failed_rules {_from()}",
         "csv_append": f"SELECT id, source_id, title, 2 * {n_orders} AS n_appended {_from('id', 'source_id', 'title')}, (VALUES (1), (2)) twice(i)",
         "wide_to_edges": f"WITH {_EDGES} SELECT src, dst, score, slot::bigint AS slot FROM slots WHERE dst IS NOT NULL",
         "merge_nodes": f"WITH {_EDGES}, named AS (SELECT doc_id, 0 AS slot, id_ref AS id, text_ref AS text FROM wide UNION ALL "
@@ -348,10 +385,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT src, dst, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY pass DESC, doc_id DESC, slot DESC) AS r "
         "FROM written) q WHERE r = 1",
         "strong_paths": _STRONG + f"SELECT * EXCLUDE (start_text) FROM best WHERE start = '{START}'",
-        "strong_paths_all": _STRONG + "SELECT * EXCLUDE (start_text) FROM best",
+        "strong_paths_all": _STRONG + f"SELECT * EXCLUDE (start_text) FROM best WHERE start IN {_WANTED}",
         "neighbourhood": _NEIGHBOURS.format(where=f"WHERE h.start = '{START}'"),
-        "neighbourhood_all": _NEIGHBOURS.format(where=""),
+        "neighbourhood_all": _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}"),
         "paths_json": _STRONG + "SELECT concat_ws('>', start, mid, node) AS walk, concat_ws('>', start_text, mid_text, node_text) AS texts, "
-        "round(score1 + coalesce(score2, 0), 6) AS score FROM best",
-        "neighbours_csv": f"SELECT text AS \"feedbackText\", distance, score FROM ({_NEIGHBOURS.format(where='')}) q",
+        f"round(score1 + coalesce(score2, 0), 6) AS score FROM best WHERE start IN {_WANTED}",
+        "neighbours_csv": "SELECT start, text AS \"feedbackText\", distance, score FROM (" + _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}") + ") q",
     }

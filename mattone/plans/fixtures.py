@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mattone.functions import html as H
-from mattone.functions.numbers import last_update
+from mattone.functions.numbers import last_update, parse_first_int
 from mattone.vocabulary import pairs
 
 
@@ -76,13 +76,29 @@ TEXTS = {
     "badges_text": "nullif(concat_ws(';', CASE WHEN k % 2 = 0 THEN 'Piscina' END, CASE WHEN k % 3 = 0 THEN 'Caminetto' END, "
     "CASE WHEN k % 5 = 0 THEN 'Esposizione sud' END, CASE WHEN k % 4 = 0 THEN 'Impianto tv singolo' END, "
     "CASE WHEN k % 8 = 0 THEN 'Impianto tv boh' END, CASE WHEN k % 6 = 0 THEN 'Infissi esterni in doppio vetro / legno' END, "
-    "CASE WHEN k % 18 = 0 THEN 'Infissi esterni in triplo vetro / Ferro' END, CASE WHEN k % 7 = 0 THEN 'Altro' END), '')",
-    "year_text": "CASE WHEN k % 60 = 0 THEN '1500' ELSE cast(1900 + k % 120 as {s}) END",
+    "CASE WHEN k % 18 = 0 THEN 'Infissi esterni in triplo vetro / Ferro' END, CASE WHEN k % 7 = 0 THEN 'Altro' END, "
+    + ", ".join(f"CASE WHEN k % {11 + i} = 0 THEN '{label}' END" for i, (label, _) in enumerate(pairs("feature")) if label not in ("Piscina", "Caminetto"))
+    + "), '')",
+    "year_text": "CASE WHEN k % 60 = 0 THEN '1500' WHEN k % 61 = 0 THEN '20240000000' ELSE cast(1900 + k % 120 as {s}) END",
     "answer_text": _by(6, ["'Sì'", "'No'", "'No. classico'", "'Nessuno'", "NULL", "'boh'"]),
     "porter_text": _by(4, ["'Portiere intera giornata'", "'No'", "NULL", "'Servizio'"]),
     "energy_text": _by(14, [*_labels("energy"), "'Z'", "NULL"]),
+    "floor_text": "CASE WHEN k % 3 > 0 THEN 'Piano ' || cast(k % 9 as {s}) END",
+    "floors_text": "CASE WHEN k % 5 > 0 THEN cast(k % 12 + 1 as {s}) || ' piani' END",
+    "baths_text": "CASE WHEN k % 8 > 0 THEN cast(k % 4 as {s}) || '+' END",
+    "beds_text": _by(4, ["'2'", "'nessuna'", "'3 (1 doppia)'"]),
+    "terrace_text": _by(3, ["'Sì'", "'No'"]),
+    "lift_text": _by(4, ["'Si'", "'No'", "'forse'"]),
+    "cellar_text": _by(5, ["'No'", "'Sì'", "'yes'"]),
+    "access_text": _by(7, ["'Sì'", "'No'"]),
+    "heating_text": _by(3, ["'Autonomo'", "'Centralizzato a metano'"]),
+    "cooling_text": _by(6, ["'Autonomo freddo'", "'Assente'"]),
+    "parking_text": _by(3, ["'1 in box privato'", "NULL", "'2 in parcheggio comune'"]),
     "rooms_text": _by(5, ["'3+'", "'5 (2 camere)'", "'molti'", "NULL", "cast(k % 10 as {s}) || ' locali'"]),
     "description_text": "CASE WHEN k % 71 = 0 THEN ' ' ELSE 'Luminoso, vicino al parco; ' || o_orderpriority END",
+    # What a page shows of it, where every other one goes on in elements of its own.
+    "shown_description": "CASE WHEN k % 71 = 0 THEN ' ' ELSE 'Luminoso, vicino al parco; ' || o_orderpriority "
+    "|| CASE WHEN k % 2 = 0 THEN ' seconda interno dopo' ELSE '' END END",
 }
 
 # Characteristic label -> text column, as a listing page shows them.
@@ -98,6 +114,17 @@ CHARACTERISTICS = {
     "Anno di costruzione": "year_text",
     "Balcone": "answer_text",
     "Servizio portineria": "porter_text",
+    "Piano": "floor_text",
+    "Piani edificio": "floors_text",
+    "Bagni": "baths_text",
+    "Camere da letto": "beds_text",
+    "Terrazzo": "terrace_text",
+    "Ascensore": "lift_text",
+    "Cantina": "cellar_text",
+    "Accesso disabili": "access_text",
+    "Riscaldamento": "heating_text",
+    "Climatizzazione": "cooling_text",
+    "Box, posti auto": "parking_text",
 }
 
 # Saved pages leave a fetch time behind; the checks use a fixed one.
@@ -193,7 +220,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("boolean").alias("basement"),
         F.col("furnished_text").alias("furnished"),
         F.col("kitchen_text").alias("kitchen"),
-        F.col("year_text").cast("int").alias("build_year"),
+        parse_first_int(F.col("year_text")).alias("build_year"),
         F.lit(None).cast("boolean").alias("concierge"),
         F.lit(None).cast("boolean").alias("is_accessible"),
         text_null.alias("heating_type"),
@@ -240,25 +267,29 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k") % 3 == 0,
         _tag(page.features, F.concat(F.lit('<svg><use href="#diamond"></use></svg>'), F.lit("<span>Lusso</span>"))),
     ).otherwise(_tag(page.features, F.lit("<span>Lusso</span>")))
+    # Elements of the same names outside their boxes, and text that goes on behind inner elements, must not mislead.
+    more = F.when((F.col("k") % 2 == 0) & (F.col("k") % 71 != 0), F.lit("<br>seconda<!-- nota --> <div>interno</div><script>var a;</script> dopo")).otherwise(F.lit(""))
+    strays = _nested(page.location, F.lit("Altrove")), _nested(page.badge, F.lit("Estraneo"))
     blocks = [
         F.lit("<html><body>"),
+        *strays,
         _nested(page.title, F.replace("title", F.lit("&"), F.lit("&amp;"))),
         _nested(page.price, F.col("price_text")),
-        F.array_join(parts, " "),
+        _tag(page.location_box, F.concat(F.lit("<span>in</span>"), F.array_join(parts, " "))),
         _nested(page.update, F.col("update_text")),
         F.when(F.col("energy_text").isNotNull(), F.concat(F.lit('<span data-energy-class=" '), F.lower("energy_text"), F.lit('"></span>'))),
         luxury,
-        F.array_join(badge, " "),
+        _nested(page.badge_box, F.array_join(badge, " ")),
         _tag(
             page.description,
-            F.concat(_nested(page.description_title, F.lit(" Casa,\n bella ")), _nested(page.description_text, F.col("description_text"))),
+            F.concat(_nested(page.description_title, F.lit(" Casa,\n bella ")), _nested(page.description_text, F.concat("description_text", more))),
         ),
         _tag(page.costs, F.concat(pair("Prezzo", F.col("price_text")), F.when(F.col("fee_text").isNotNull(), pair("Spese condominio", F.col("fee_text"))).otherwise(""))),
         _tag(page.price_info, F.when(F.col("price_sqm_text").isNotNull(), pair("Prezzo al m²", F.col("price_sqm_text"))).otherwise("")),
         F.lit("<dl>"),
         *features,
         again,
-        F.lit("</dl></body></html>"),
+        F.lit('</dl><footer><svg><use href="#diamond"></use></svg><span>Lusso</span></footer></body></html>'),
     ]
     return t.select("k", "id", F.lit("immobiliare").alias("source"), "title", "url", F.concat_ws("", *blocks).alias("html"))
 
@@ -267,7 +298,11 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result pages of three cards per order: a whole one, one without a title, one without a link."""
     t = listing_texts(spark, sf_dir, ["url", "title", "card_text"])
     open_card, href = '<li><div class="styles_in-listingCardPropertyContent__tfu8w">', '<a class="t" href="'
-    whole = F.concat(F.lit(open_card + href), "url", F.lit('" title="'), "title", F.lit('">vedi</a><p>'), "card_text", F.lit("</p></div></li>"))
+    # Lists and elements inside the card before its price; another price behind the card.
+    inner = F.when(F.col("k") % 2 == 0, F.lit("<ul><li>foto</li></ul><div><div>mappa</div></div>")).otherwise(F.lit(""))
+    whole = F.concat(
+        F.lit(open_card + href), "url", F.lit('" title="'), "title", F.lit('">vedi</a>'), inner, F.lit("<p>"), "card_text", F.lit("</p></div><p>Da € 1</p></li>")
+    )
     untitled = F.concat(F.lit(open_card + href), "url", F.lit('"> </a></div></li>'))
     unlinked = F.concat(F.lit(open_card + '<a href="/altro">'), "title", F.lit("</a></div></li>"))
     return t.select("k", F.concat(F.lit("<ul>"), whole, untitled, unlinked, F.lit("</ul>")).alias("html"))

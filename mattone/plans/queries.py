@@ -14,6 +14,7 @@ from mattone.functions import urls as U
 from mattone.operators import crawl, dedupe, details, docquery, graph, harvest, joins, records, validate
 from mattone.plans import fixtures as X
 from mattone.plans import jobs
+from mattone.schemas import schema_of
 from mattone.session import work_folder
 from mattone.sources import files, tables
 from mattone.streaming.layers import stream_layer
@@ -271,8 +272,7 @@ def unknown_terms(spark, sf_dir):
 @query
 def harvest_links(spark, sf_dir):
     cards = harvest.harvest_cards(X.load(spark, sf_dir, "pages"), LINK_LIST)
-    titled = cards.where(F.col("title").isNotNull())
-    return titled.select("page_id", F.col("position").cast("bigint").alias("position"), "link", "title", "source_id", "skip_reason")
+    return cards.select("page_id", F.col("position").cast("bigint").alias("position"), "link", "title", "source_id", "skip_reason")
 
 
 @query
@@ -349,15 +349,33 @@ def crawl_gate_success(spark, sf_dir):
     return _gate(spark, sf_dir, 1_000_000, 80, 0.8)
 
 
-def _gate(spark: SparkSession, sf_dir: str, limit: int, pages: int, success: float) -> DataFrame:
+@query
+def crawl_gate_moves(spark, sf_dir):
+    """Every 17th page stays where it is, every 23rd has no next one."""
+    page = F.col("page")
+    moved = F.when(page % 23 == 0, None).when(page % 17 == 0, page).otherwise(page + 1)
+    gated = crawl.crawl_gate(_visits(spark, sf_dir).withColumn("to", moved), 1_000_000, 80, 0.1, next_page="to")
+    return gated.withColumn("success", F.round("success", 6))
+
+
+@query
+def crawl_gate_hot(spark, sf_dir):
+    """A third of all events are one crawl of many pages, each saved many times."""
+    n = F.col("event_id")
+    hot = _visits(spark, sf_dir).withColumns({"crawl_id": F.when(n % 3 == 0, -1).otherwise(F.col("crawl_id")), "page": F.floor(n / 10)})
+    return crawl.crawl_gate(hot, 1_000_000, 1500, 0.1).withColumn("success", F.round("success", 6))
+
+
+def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fifty events make a page, a hundred pages a crawl; an event that is no error was inserted."""
     page = F.floor(F.col("event_id") / 50)
-    batches = (
-        X.load(spark, sf_dir, "events")
-        .groupBy(F.floor(page / 100).alias("crawl_id"), page.alias("page"))
-        .agg(F.count("*").alias("scraped"), F.count_if(F.col("event_type") != "error").alias("inserted"))
+    return X.load(spark, sf_dir, "events").select(
+        "event_id", F.floor(page / 100).alias("crawl_id"), page.alias("page"), F.lit(1).alias("scraped"), (F.col("event_type") != "error").cast("int").alias("inserted")
     )
-    return crawl.crawl_gate(batches, limit, pages, success).withColumn("success", F.round("success", 6))
+
+
+def _gate(spark: SparkSession, sf_dir: str, limit: int, pages: int, success: float) -> DataFrame:
+    return crawl.crawl_gate(_visits(spark, sf_dir), limit, pages, success).withColumn("success", F.round("success", 6))
 
 
 # --- the layers ------------------------------------------------------------------------------
@@ -368,40 +386,24 @@ def require_fields(spark, sf_dir):
     return X.raw_listings(spark, sf_dir).select("id", details.require_fields().alias("reason"))
 
 
+def _shown(rows: DataFrame, layer: str, *more: str) -> DataFrame:
+    """All columns of a layer, in types that any engine prints alike, and some others."""
+    out = []
+    for f in schema_of(layer).fields:
+        kind, c = f.dataType.simpleString(), F.col(f.name)
+        if kind.startswith("struct"):
+            out += [c.isNull().alias("no_features"), *[c[g.name].alias(g.name) for g in f.dataType.fields]]
+        elif kind == "timestamp":
+            out.append(_epoch(c).alias(f.name.replace("_date", "").replace("last_", "") + "_epoch"))
+        elif kind.startswith("array"):
+            out.append(F.array_join(c, "|").alias(f.name))
+        else:
+            out.append((c.cast("bigint") if kind == "int" else F.round(c, 6) if kind == "double" else c).alias(f.name))
+    return rows.select(*out, *more)
+
+
 def _details_out(built: DataFrame) -> DataFrame:
-    return built.select(
-        "id",
-        "title",
-        "url",
-        _epoch(F.col("fetch_date")).alias("fetch_epoch"),
-        _epoch(F.col("last_updated")).alias("updated_epoch"),
-        "formatted_price",
-        "price_eur",
-        "formatted_maintenance_fee",
-        F.round("maintenance_fee", 6).alias("maintenance_fee"),
-        "formatted_price_sqm",
-        "price_sqm",
-        "type",
-        "contract",
-        "condition",
-        "is_luxury",
-        "surface_formatted",
-        "surface",
-        F.col("rooms").cast("bigint").alias("rooms"),
-        "balcony",
-        "garden",
-        "furnished",
-        "kitchen",
-        F.col("build_year").cast("bigint").alias("build_year"),
-        "concierge",
-        "energy_class",
-        "city",
-        "country",
-        "address",
-        "description",
-        F.array_join("other_amenities", "|").alias("amenities"),
-        "reject_reason",
-    )
+    return _shown(built, "listings", "reject_reason")
 
 
 @query
@@ -415,50 +417,19 @@ def page_details(spark, sf_dir):
     return _details_out(details.build_details(raw, X.fetched_at()))
 
 
-def _records_out(rows: DataFrame) -> DataFrame:
-    flat = ("has_pool", "has_fireplace", "tv_system", "window_glass_type", "window_material", "sun_exposure")
-    return rows.select(
-        "id",
-        "title",
-        _epoch(F.col("etl_date")).alias("etl_epoch"),
-        "price_eur",
-        "maintenance_fee",
-        "property_type",
-        "ownership_type",
-        "property_class",
-        "contract_type",
-        "is_rent_to_own_available",
-        "current_availability",
-        "condition",
-        "is_luxury",
-        "surface",
-        F.col("rooms").cast("bigint").alias("rooms"),
-        "has_balcony",
-        "garden",
-        "furnished",
-        "kitchen",
-        F.col("build_year").cast("bigint").alias("build_year"),
-        "energy_class",
-        "zone",
-        "address",
-        F.col("other_features").isNull().alias("no_features"),
-        *[F.col(f"other_features.{c}").alias(c) for c in flat],
-    )
-
-
 @query
 def etl_listing_records(spark, sf_dir):
     """Listings without a record, normalised, checked and without the rejected ones."""
     done = X.listing_texts(spark, sf_dir, ["id"]).where("o_orderstatus = 'F'")
     todo = joins.pending(X.details(spark, sf_dir), done)
     good, _ = validate.split_rejects(records.normalise(todo, X.fetched_at()), "reject_reason")
-    return _records_out(good)
+    return _shown(good, "records")
 
 
 @query
 def record_rejects(spark, sf_dir):
     _, bad = validate.split_rejects(records.normalise(X.details(spark, sf_dir), X.fetched_at()), "reject_reason")
-    return bad.groupBy("reject_reason").agg(F.count("*").alias("n"))
+    return _shown(bad, "records", "reject_reason")
 
 
 @query
@@ -478,7 +449,7 @@ def three_layers(spark, sf_dir):
     jobs.store_listings(X.listing_pages(spark, sf_dir).select("url", "html"), root, X.fetched_at())
     jobs.store_records(spark, root, X.fetched_at())
     stored = tables.read_layer_table(spark, f"{root}/records", "records")
-    return stored.select("id", "url", "price_eur", "property_type", "contract_type", "surface", "zone", "address")
+    return _shown(stored, "records")
 
 
 # --- joins, samples, duplicates, documents ----------------------------------------------------
@@ -549,9 +520,8 @@ def replace_table(spark, sf_dir):
 
 @query
 def count_docs(spark, sf_dir):
-    documents = X.load(spark, sf_dir, "documents")
-    every = docquery.count_all(documents).select(F.lit("all").alias("question"), "n")
-    return every.unionByName(docquery.count_where(documents, "lang", "en").select(F.lit("lang=en").alias("question"), "n"))
+    counts = docquery.count_questions(X.load(spark, sf_dir, "documents"), {"all": F.lit(True), "lang=en": F.col("lang") == "en"})
+    return counts.select("question", "n")
 
 
 @query
@@ -592,12 +562,7 @@ def union_sparse(spark, sf_dir):
 @query
 def sparse_json(spark, sf_dir):
     texts = X.listing_texts(spark, sf_dir, ["id", "fee_text", "condition_text", "garden_text", "badges_text"])
-    shown = docquery.to_sparse_json(texts.drop("o_orderstatus"))
-    return shown.select(
-        F.get_json_object("json", "$.k").cast("bigint").alias("k"),
-        F.size(F.json_object_keys("json")).cast("bigint").alias("n_fields"),
-        F.get_json_object("json", "$.garden_text").alias("garden_text"),
-    )
+    return docquery.to_sparse_json(texts.drop("o_orderstatus")).select("json")
 
 
 # --- tables and files -------------------------------------------------------------------------
@@ -657,19 +622,8 @@ def stream_insert_ignore(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = work_folder(spark, "listings-csv")
     files.append_csv(X.details(spark, sf_dir), path, "listings")
-    back = files.read_layer(spark, path, "listings")
-    return back.select(
-        "id",
-        "title",
-        _epoch(F.col("fetch_date")).alias("fetch_epoch"),
-        "price_eur",
-        "type",
-        F.col("rooms").cast("bigint").alias("rooms"),
-        "is_luxury",
-        "condition",
-        "description",
-        F.array_join("other_amenities", "|").alias("amenities"),
-    )
+    good, bad = files.read_layer_checked(spark, path, "listings")
+    return _shown(good.withColumn("failed_rules", F.lit(None).cast("string")).unionByName(bad.drop(files.CORRUPT)), "listings", "failed_rules")
 
 
 @query
@@ -686,7 +640,14 @@ def csv_append(spark, sf_dir):
 def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents = X.load(spark, sf_dir, "documents")
     nodes = documents.select(F.col("doc_id").cast("string").alias("id"), F.concat_ws(" ", "lang", "source").alias("text"))
-    return nodes, graph.wide_to_edges(X.similar_wide(spark, sf_dir)).groupBy("src", "dst").agg(F.max("score").alias("score"))
+    edges = graph.wide_to_edges(X.similar_wide(spark, sf_dir)).groupBy("src", "dst").agg(F.max("score").alias("score"))
+    # Walks read the merged edges several times.
+    return nodes, tables.replace_table(edges, work_folder(spark, "edges"))
+
+
+def _wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents as a table of starts."""
+    return X.load(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id")).distinct()
 
 
 def _start(nodes: DataFrame) -> DataFrame:
@@ -737,7 +698,7 @@ def strong_paths(spark, sf_dir):
 @query
 def strong_paths_all(spark, sf_dir):
     nodes, edges = _graph(spark, sf_dir)
-    return _paths_out(graph.strong_shortest_paths(nodes, edges, nodes))
+    return _paths_out(graph.strong_shortest_paths(nodes, edges, _wanted(spark, sf_dir)))
 
 
 def _neighbours_out(found: DataFrame) -> DataFrame:
@@ -753,15 +714,15 @@ def neighbourhood(spark, sf_dir):
 @query
 def neighbourhood_all(spark, sf_dir):
     nodes, edges = _graph(spark, sf_dir)
-    return _neighbours_out(graph.neighbourhood(nodes, edges, nodes))
+    return _neighbours_out(graph.neighbourhood(nodes, edges, _wanted(spark, sf_dir)))
 
 
 @query
 def paths_json(spark, sf_dir):
-    """Strong paths of every start, written as JSON and read back."""
+    """Strong paths of the wanted starts, written as JSON and read back."""
     nodes, edges = _graph(spark, sf_dir)
     path = work_folder(spark, "paths-json")
-    files.write_paths_json(graph.as_paths(graph.strong_shortest_paths(nodes, edges, nodes)), path)
+    files.write_paths_json(graph.as_paths(graph.strong_shortest_paths(nodes, edges, _wanted(spark, sf_dir))), path)
     shape = "nodes array<struct<id string, text string>>, relationships array<struct<score double>>"
     back = spark.read.schema(shape).json(path)
     return back.select(
@@ -773,9 +734,10 @@ def paths_json(spark, sf_dir):
 
 @query
 def neighbours_csv(spark, sf_dir):
-    """Ranked neighbours of every start, written as CSV and read back."""
+    """Ranked neighbours of the wanted starts, written as CSV and read back."""
     nodes, edges = _graph(spark, sf_dir)
     path = work_folder(spark, "neighbours-csv")
-    files.write_neighbours_csv(graph.rank_neighbours(graph.neighbourhood(nodes, edges, nodes)), path)
-    back = spark.read.schema("feedbackText string, distance bigint, score double").option("header", True).csv(path)
-    return back.select("feedbackText", "distance", F.round("score", 6).alias("score"))
+    found = graph.neighbourhood(nodes, edges, _wanted(spark, sf_dir))
+    files.write_neighbours_csv(graph.rank_neighbours(found), path, one_start=False)
+    back = spark.read.schema("start string, feedbackText string, distance bigint, score double").option("header", True).csv(path)
+    return back.select("start", "feedbackText", "distance", F.round("score", 6).alias("score"))

@@ -9,7 +9,7 @@ by the gradient of the coding cost.  Every SEGMENT bytes of a text start again f
 segments, long texts' ones too, are scored side by side; contexts reach back over such a start.
 
 Counts of all training texts are gathered: each task sends its counts, which are summed by chunk of a table in two steps.
-The tables have 2 ** SLOT_BITS slots whatever the number of texts.
+The number of slots is fixed for each context, whatever the number of texts.
 """
 
 from __future__ import annotations
@@ -28,15 +28,16 @@ from pyspark.sql import functions as F
 from mattone.llm.arrays import Words, _power, flat, mix, slices
 from mattone.llm.scratch import written
 
-CONTEXTS = (1, 2, 3, 5, "word")
+# Bytes before, or the word so far, and the binary logarithm of the number of slots.
+CONTEXTS = ((2, 18), (3, 20), (5, 20), ("word", 20))
 ORDERS = len(CONTEXTS)
-SLOT_BITS = 18
-CELLS = 16 << SLOT_BITS
-CHUNK = 1 << 16
+CHUNK = 1 << 18
 PRIOR = 0.3
 STEP = 1 / 14
-START = (0.10, 0.15, 0.25, 0.40, 0.35)
-RATE = 0.004
+START = (0.20, 0.30, 0.40, 0.35)
+RATE = 0.01
+# Bits are never surer than this log odds.
+SUREST = 10.0
 BLOCK, SEGMENT = 16, 1024
 END = 0xFF
 PAD = 5
@@ -72,8 +73,8 @@ def slots(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     wide = data.astype(np.uint64)
     past = [np.concatenate([np.zeros(j, np.uint64), wide[: n - j]]) if j <= n else np.zeros(n, np.uint64) for j in range(1, PAD + 1)]
     high = (wide >> np.uint64(4)) + np.uint64(1)
-    shift = np.uint64(64 - SLOT_BITS)
-    for number, context in enumerate(CONTEXTS):
+    for number, (context, size) in enumerate(CONTEXTS):
+        shift = np.uint64(64 - size)
         if context == "word":
             before = past[0]
             fresh = (before == 0x20) | (before == 0x0A) | (before == 0)
@@ -92,7 +93,7 @@ def slots(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(context, chunk, salt, cells, counts) of a task's texts; only chunks and cells that it met."""
-    total = np.zeros((ORDERS, CELLS), np.uint32)
+    total = [np.zeros(16 << bits, np.uint32) for _, bits in CONTEXTS]
     for piece in slices(batches):
         data, begin, end = stream(piece.column("text"))
         real = np.zeros(len(data), bool)
@@ -100,12 +101,12 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             real[b:e] = True
         low, high = (data & 15).astype(np.int32)[real], (data >> 4).astype(np.int32)[real]
         for k, (first, second) in enumerate(slots(data)):
-            total[k] += np.bincount(first[real] + high, minlength=CELLS).astype(np.uint32)
-            total[k] += np.bincount(second[real] + low, minlength=CELLS).astype(np.uint32)
+            np.add.at(total[k], first[real] + high, np.uint32(1))
+            np.add.at(total[k], second[real] + low, np.uint32(1))
     salt = TaskContext.get().partitionId() % SALTS
     for k in range(ORDERS):
-        for chunk in range(CELLS // CHUNK):
-            part = total[k, chunk * CHUNK : (chunk + 1) * CHUNK].astype(np.int64)
+        for chunk in range(len(total[k]) // CHUNK):
+            part = total[k][chunk * CHUNK : (chunk + 1) * CHUNK].astype(np.int64)
             if part.any():
                 yield _packed(k, chunk, salt, part)
 
@@ -154,7 +155,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Mixer:
     """Tables of log odds, one per context; their size is fixed."""
 
-    tables: np.ndarray
+    tables: list[np.ndarray]
 
     def cost(self, texts: pa.Array) -> np.ndarray:
         """The bits that each text and its end cost: minus the log2 of their probability."""
@@ -168,7 +169,9 @@ class Mixer:
         text, first, last = text[order], first[order], last[order]
         length = last - first
         bits = np.zeros(len(text))
-        weights = np.repeat(np.array(START, np.float32)[:, None, None], 8, axis=2) * np.ones((1, len(text), 1), np.float32)
+        # Weights of quantised log odds, so that the odds need no scaling.
+        weights = np.repeat(np.array(START, np.float32)[:, None, None] * np.float32(STEP), 8, axis=2) * np.ones((1, len(text), 1), np.float32)
+        rate = np.float32(RATE * STEP * STEP)
         for at in range(0, int(length[0]) if len(length) else 0, BLOCK):
             live = int(np.searchsorted(-length, -at, side="left"))
             where = first[:live, None] + np.arange(at, at + BLOCK)
@@ -182,22 +185,24 @@ class Mixer:
                 np.add(upper[where][..., None], nodes[..., :4], out=cell[..., :4])
                 np.add(lower[where][..., None], nodes[..., 4:], out=cell[..., 4:])
                 odds[k] = self.tables[k].take(cell)
-            odds *= np.float32(STEP)
             w = weights[:, :live]
             z = odds[0] * w[0][:, None, :]
             for k in range(1, ORDERS):
                 z += odds[k] * w[k][:, None, :]
             z *= sign
-            np.clip(z, -12, 12, out=z)
-            e = np.exp(-z)
-            cost = np.log1p(e)
-            cost *= there[..., None]
-            bits[:live] += cost.sum(axis=(1, 2), dtype=np.float64)
-            e /= 1 + e
+            np.clip(z, -SUREST, SUREST, out=z)
+            np.negative(z, out=z)
+            e = np.exp(z, out=z)
+            inverse = e + 1
+            # The eight bits' inverse probabilities, multiplied, and one logarithm per byte.
+            pairs = inverse[..., 0::2] * inverse[..., 1::2]
+            bits[:live] += (np.log(pairs[..., 0] * pairs[..., 1] * pairs[..., 2] * pairs[..., 3]) * there).sum(axis=1, dtype=np.float64)
+            e /= inverse
             e *= sign
-            e *= there[..., None]
+            if not there.all():
+                e *= there[..., None]
             for k in range(ORDERS):
-                w[k] += np.float32(RATE) * np.einsum("ltb,ltb->lb", e, odds[k])
+                w[k] += rate * np.einsum("ltb,ltb->lb", e, odds[k])
         return np.bincount(text, weights=bits, minlength=len(begin)) / np.log(2)
 
 
@@ -206,9 +211,9 @@ def fit_mixer(documents: DataFrame) -> Mixer:
     parts = documents.select("text").mapInArrow(_tally, _PACKED)
     parts = parts.repartition("context", "chunk", "salt").mapInArrow(_sum_chunks, _PACKED).withColumn("salt", F.lit(0))
     summed = parts.repartition("context", "chunk").mapInArrow(_finish, "context int, chunk int, odds binary")
-    tables = np.zeros((ORDERS, CELLS), np.int8)
+    tables = [np.zeros(16 << bits, np.int8) for _, bits in CONTEXTS]
     for row in summed.toLocalIterator():
-        tables[row["context"], row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["odds"], np.int8)
+        tables[row["context"]][row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["odds"], np.int8)
     return Mixer(tables)
 
 

@@ -33,7 +33,7 @@ def slow_cost(mixer, text):
                     node = (1 << shift) | (nibble >> (4 - shift))
                     odds = np.array([mixer.tables[k][places[k][half][at] + node] * np.float32(mixing.STEP) for k in range(mixing.ORDERS)])
                     y = byte >> (7 - bit) & 1
-                    z = float(np.clip((odds * w[:, bit]).sum(), -12, 12))
+                    z = float(np.clip((odds * w[:, bit]).sum(), -mixing.SUREST, mixing.SUREST))
                     p = 1 / (1 + math.exp(-z))
                     total -= math.log2(p if y else 1 - p)
                     step[:, bit] += mixing.RATE * (y - p) * odds
@@ -60,7 +60,7 @@ def test_mixing_counts(spark, docs):
     data = b"".join(b"\0" * mixing.PAD + r.text.encode() + b"\xff" for r in some.collect())
     assert len(mixing.stream(pa.array([r.text for r in some.collect()]))[0]) == len(data)
     tables = mixing.fit_mixer(some).tables
-    counts = np.zeros(mixing.CELLS, np.int64)
+    counts = np.zeros(16 << mixing.CONTEXTS[2][1], np.int64)
     for r in some.collect():
         padded, begin, end = mixing.stream(pa.array([r.text]))
         first, second = list(mixing.slots(padded))[2]
@@ -80,7 +80,7 @@ def test_a_first_byte_has_probability_one(spark, docs):
         places = [(a[-1], b[-1]) for a, b in mixing.slots(padded)]
         for bit in range(8):
             z = sum(mixing.START[k] * mixing.STEP * mixer.tables[k][places[k][bit // 4] + mixing._NODES[byte][bit]] for k in range(mixing.ORDERS))
-            q = 1 / (1 + math.exp(-max(-12, min(12, z))))
+            q = 1 / (1 + math.exp(-max(-mixing.SUREST, min(mixing.SUREST, z))))
             p *= q if byte >> (7 - bit) & 1 else 1 - q
         total += p
     assert total == pytest.approx(1, abs=1e-6)

@@ -2,7 +2,8 @@
 
 The page of the smallest page_id of a host is its reference.  Every other page of the host is aligned with it by
 simple tree matching: two nodes match if their tags are equal, and matched children keep their order.  A
-reference text that the same words fill on most aligned pages is template, a slot whose words vary is content.
+reference text that the same words fill on most aligned pages is template, a slot whose words vary is content;
+a block with one varying slot is content as a whole.
 Only counts per reference text travel, so a host of any size is induced from all its pages, in parallel.
 
 Elements whose tag, class or id names a role that is no main text (menus, headers, footers, sidebars,
@@ -156,15 +157,18 @@ class Page:
         return [[c for c in kids if not self.role[c] and (self.tag[c] != "#text" or self.words(c))] for kids in self.children]
 
     def main_text(self, template: frozenset[int] = frozenset()) -> str:
-        """Blocks in page order, joined by a line feed; ``template`` holds texts to leave out."""
+        """Blocks in page order, joined by a line feed; those are left out whose texts are all in ``template``."""
         blocks: list[str] = []
         parts: list[str] = []
+        own = False
 
         def flush() -> None:
+            nonlocal own
             block = _SPACES.sub(" ", "".join(parts)).strip(" ")
-            if block:
+            if block and own:
                 blocks.append(block)
             parts.clear()
+            own = False
 
         open_: list[int] = []
         for node, tag in enumerate(self.tag):
@@ -172,8 +176,9 @@ class Page:
                 if self.tag[open_.pop()] not in INLINE:
                     flush()
             if tag == "#text":
-                if not self.role[node] and node not in template:
+                if not self.role[node]:
                     parts.append(self.text[node])
+                    own = own or node not in template and bool(self.words(node))
                 continue
             if tag == "br":
                 parts.append(" ")

@@ -326,6 +326,11 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN k % 70 <> 0 AND (k % 75 = 0 OR k % 77 = 0) THEN 'price_eur_not_finite' END, CASE WHEN k % 70 = 0 THEN 'price_eur_negative' END, "
         "CASE WHEN k % 30 = 0 THEN 'type_empty' END, CASE WHEN cast(year_text AS bigint) NOT BETWEEN 1800 AND 2100 THEN 'build_year_out_of_range' END, "
         f"CASE WHEN energy_text NOT IN ({_ENERGY}) THEN 'energy_class_not_allowed' END), '') AS failed_rules {_from('id', 'year_text', 'energy_text')}",
+        "validate_ids": "SELECT id, nullif(concat_ws(',', CASE WHEN k % 30 = 0 THEN 'title_missing' END, CASE WHEN k % 45 = 0 THEN 'url_missing' END), '') AS failed_rules " + _from("id"),
+        "load_or_fail": "SELECT id, title, NULL::varchar AS failed_rules " + _from("id", "title"),
+        "page_articles": "SELECT page_id, nullif(trim(replace(replace(regexp_extract(html, '<h1>([^<]*)', 1), '&quot;', '\"'), '&amp;', '&')), '') AS heading, "
+        "len(string_split(html, '<p>')) - 1 AS n_paragraphs FROM pages",
+        "head_documents": "SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 5",
         "three_layers": _VOCAB
         + f", listing AS ({_details(page=True)}), record AS ({_RECORDS.replace('o_orderstatus FROM', 'card_text, FROM')}) "
         f"SELECT {', '.join('l.' + c for c in _KEPT)}, l.balcony AS has_balcony, l.terrace AS has_terrace, l.elevator AS has_elevator, l.cellar AS has_cellar, "

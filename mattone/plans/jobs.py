@@ -17,7 +17,7 @@ from mattone.operators.details import build_details
 from mattone.operators.harvest import harvest_cards, ids_of, read_listing_pages
 from mattone.operators.joins import first_per_key, pending, row_digest, sample_n
 from mattone.operators.records import normalise
-from mattone.operators.validate import stage_checked
+from mattone.operators.validate import failed_rules, split_rejects, stage_checked
 from mattone.schemas import schema_of, table_for
 from mattone.session import work_folder
 from mattone.sources.tables import BATCH, InsertCounts, insert_ignore, read_layer_table, read_table
@@ -26,12 +26,18 @@ REJECT_KEY, DIGEST = "reject_key", "input_digest"
 
 
 def store_ids(result_pages: DataFrame, root: str, as_of: Column, page_order: list[str]) -> InsertCounts:
-    """Result pages to ``ids``: the first card of an id wins, skipped cards are kept with their reason."""
+    """Result pages to ``ids``: the first card of an id wins.
+
+    Skipped cards are kept with their reason in ``rejected/ids``, rows that break a rule of the layer in ``rejected/ids_rules``.
+    """
     good, skipped = stage_checked(harvest_cards(result_pages), "skip_reason", work_folder(result_pages.sparkSession, "cards"))
     card = F.md5(F.to_json(F.struct(*[c for c in skipped.columns])))
     insert_ignore(skipped.withColumn(REJECT_KEY, card), f"{root}/rejected/ids", REJECT_KEY)
     order = [*page_order, "position"]
-    return _insert(ids_of(good, as_of, keep=order), root, "ids", order)
+    rows = ids_of(good, as_of, keep=order)
+    sound, broken = split_rejects(rows.withColumn("failed_rules", failed_rules("ids")), "failed_rules")
+    insert_ignore(broken.withColumn(REJECT_KEY, F.md5(F.to_json(F.struct("title", "url", "failed_rules")))), f"{root}/rejected/ids_rules", REJECT_KEY)
+    return _insert(sound, root, "ids", order)
 
 
 def store_listings(

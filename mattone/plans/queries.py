@@ -275,6 +275,13 @@ def harvest_links(spark, sf_dir):
     return cards.select("page_id", F.col("position").cast("bigint").alias("position"), "link", "title", "source_id", "skip_reason")
 
 
+@query
+def page_articles(spark, sf_dir):
+    """Heading and paragraphs of the saved pages as they are."""
+    pages = tables.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", H.first_text(F.col("html"), (H.Node("h1"),)).alias("heading"), (F.size(F.split("html", "<p>")) - 1).cast("bigint").alias("n_paragraphs"))
+
+
 @query
 def harvest_cards(spark, sf_dir):
     cards = harvest.harvest_cards(X.result_pages(spark, sf_dir))
@@ -441,6 +448,26 @@ def validate_listings(spark, sf_dir):
     return checked.select("id", "failed_rules")
 
 
+@query
+def validate_ids(spark, sf_dir):
+    """Ids loaded from their table, some stored without a title or an address."""
+    k = F.substring_index("id", ":", -1).cast("bigint")
+    broken = _ids_layer(spark, sf_dir).drop("o_orderstatus").withColumns(
+        {"title": F.when(k % 30 > 0, F.col("title")), "url": F.when(k % 45 > 0, F.col("url"))}
+    )
+    path = work_folder(spark, "ids")
+    tables.insert_ignore(broken, path)
+    return tables.read_layer_table(spark, path, "ids", errors="quarantine").select("id", "failed_rules")
+
+
+@query
+def load_or_fail(spark, sf_dir):
+    """Ids that meet all rules, loaded so that the first one that did not would end the job."""
+    path = work_folder(spark, "ids")
+    tables.insert_ignore(_ids_layer(spark, sf_dir).drop("o_orderstatus"), path)
+    return tables.read_layer_table(spark, path, "ids", errors="fail").select("id", "title", "failed_rules")
+
+
 @query
 def three_layers(spark, sf_dir):
     """Result pages to ids, pages of those ids to listings, listings to records."""
@@ -552,6 +579,11 @@ def range_sorted(spark, sf_dir):
     return found.select("user_id", "event_id", "event_type", "value")
 
 
+@query
+def head_documents(spark, sf_dir):
+    return docquery.head(X.load(spark, sf_dir, "documents").orderBy("doc_id"), 5).select("doc_id", "lang", "source")
+
+
 @query
 def union_sparse(spark, sf_dir):
     customer = X.load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))

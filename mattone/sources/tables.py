@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mattone.operators.joins import first_per_key
+from mattone.operators.validate import validate
 from mattone.schemas import schema_of
 from mattone.session import work_folder
 
 # Part of a table's layout: the same for as long as the table lives.
-BUCKETS = 64
+BUCKETS = 32
 
 BUCKET = "bucket"
 BATCH = "batch_id"
@@ -51,8 +52,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, buckets: li
     return (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
 
 
-def read_layer_table(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    return read_table(spark, path, schema_of(layer)).drop(BATCH)
+def read_layer_table(spark: SparkSession, path: str, layer: str, errors: str | None = None) -> DataFrame:
+    """A layer's rows. With ``errors`` they are checked again as they are loaded: ``quarantine`` adds
+    ``failed_rules``, ``fail`` ends the job at the first row that breaks one."""
+    rows = read_table(spark, path, schema_of(layer)).drop(BATCH)
+    return rows if errors is None else validate(rows, layer, errors)
 
 
 def insert_ignore(

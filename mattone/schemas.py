@@ -15,6 +15,7 @@ def _fields(required: set[str], *typed: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, name not in required) for name, kind in typed])
 
 
+# Names, types and required columns of the layers.
 IDS = _fields(
     {"source", "source_id", "title", "url", "id"},
     ("source", _S),

@@ -9,9 +9,10 @@ both signatures share one of that chunk's five keys, each with one value left ou
 
 Steps: equal sets are one class, named by its smallest id.  Classes that share a key
 form a bucket.  In the first rounds each class is compared to one hub of its buckets, which
-merges large groups at linear cost; then every pair of a bucket whose ends still lie in different
-components is compared, so no link that could join two components is missed.
-A link is confirmed on the full sets of both texts.
+merges large groups at linear cost.  What is left are pairs of a bucket in different components.  Thousands of
+texts may share a passage and yet no link, so these pairs are not listed: of two linked sets the smaller one's
+rarest few shingles and the larger one's meet (prefix filter, without loss), and such pairs only
+are compared.  No link that joins two components is missed.  A link is confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ CHUNKS, CHUNK, ERRORS = 13, 5, 1
 VALUES = CHUNKS * CHUNK
 RADIUS = CHUNKS * (ERRORS + 1) - 1
 HUB_ROUNDS = 2
+# Counters that order shingles by how common they are; shared counters change the order, not the result.
+SLOTS = 1 << 16
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -107,6 +110,50 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([piece.column("a").filter(mask), piece.column("b").filter(mask)], ["a", "b"])
 
 
+def _commonness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, np.int64)
+    for piece in slices(batches):
+        hashes, _, _ = Words.of(piece.column("text"), lower=True).shingles(WIDTH)
+        total += np.bincount((hashes >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], ["slot", "c"])
+
+
+def _rarest(percent: int, common: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, rep, n, comp, indexed): the shingles of a set that a linked set must share one of, rarest first.
+
+    A linked pair shares at least percent * (n1 + n2) / (100 + percent) shingles.  For the smaller set that is at least
+    2 * percent * n / (100 + percent), for the larger one percent * n / 100; with the common ones left out at the
+    end of the order, the ``indexed`` ones of the smaller set and all given ones of the larger set meet.
+    """
+    for piece in slices(batches):
+        hashes, begin, end = Words.of(piece.column("text"), lower=True).shingles(WIDTH)
+        out = []
+        for i, (lo, hi) in enumerate(zip(begin.tolist(), end.tolist())):
+            items = np.unique(hashes[lo:hi])
+            n = len(items)
+            items = items[np.lexsort((items, common[(items >> np.uint64(48)).astype(np.int64)]))][: n - -(-percent * n // 100) + 1]
+            first = n - -(-2 * percent * n // (100 + percent)) + 1
+            out.append((items.view(np.int64), np.full(len(items), i), np.full(len(items), n), np.arange(len(items)) < first))
+        gram, row, size, indexed = (np.concatenate(x) for x in zip(*out))
+        row = pa.array(row)
+        yield pa.RecordBatch.from_arrays([pa.array(gram), piece.column("rep").take(row), pa.array(size), piece.column("comp").take(row), pa.array(indexed)], ["gram", "rep", "n", "comp", "indexed"])
+
+
+def _rare_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of ``members(rep, comp, text)`` in different components that share a rare shingle."""
+    counts = members.select("text").mapInArrow(_commonness, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+    common = np.zeros(SLOTS, np.int64)
+    for slot, c in counts.collect():
+        common[slot] = c
+    shared = members.sparkSession.sparkContext.broadcast(common)
+    rare = members.mapInArrow(lambda batches: _rarest(percent, shared.value, batches), "gram long, rep long, n long, comp long, indexed boolean")
+    small = rare.where("indexed").select("gram", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
+    large = rare.select("gram", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    ordered = f"comp_a <> comp_b and n_a <= n_b and (n_a < n_b or a < b) and 100 * n_a >= {percent} * n_b"
+    return small.join(large, "gram").where(ordered).select("a", "b").distinct()
+
+
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     """Group the documents whose shingle sets have a Jaccard similarity of at least ``percent`` %.
 
@@ -155,8 +202,8 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
             hub = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(salt)).alias("h"), "rep", "comp")).alias("m")).select("key", F.col("m.rep").alias("hub"), F.col("m.comp").alias("hub_comp"))
             met = open_.join(hub, "key").where("comp <> hub_comp").groupBy(F.col("rep").alias("a")).agg(F.min("hub").alias("b"))
         else:
-            other = open_.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"))
-            met = open_.join(other, "key").where(f"comp < comp_b and 100 * least(n, n_b) >= {percent} * greatest(n, n_b)").select(F.col("rep").alias("a"), "b").distinct()
+            members = open_.select("rep", "comp").distinct().join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+            met = _rare_pairs(written(members, "members"), percent)
         links = written(label.select(F.col("id").alias("a"), F.col("component").alias("b")).union(confirmed(met)), "links")
         label = written(components(links), "components")
 

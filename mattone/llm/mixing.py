@@ -29,20 +29,20 @@ from mattone.llm.arrays import Words, _power, flat, mix, slices
 from mattone.llm.scratch import written
 
 # Bytes before, or the word so far, and the binary logarithm of the number of slots.
-CONTEXTS = ((2, 18), (3, 20), (5, 20), ("word", 20))
+CONTEXTS = ((3, 19), (5, 20), ("word", 20))
 ORDERS = len(CONTEXTS)
 CHUNK = 1 << 18
 PRIOR = 0.3
 STEP = 1 / 14
-START = (0.20, 0.30, 0.40, 0.35)
+START = (0.45, 0.40, 0.35)
 RATE = 0.01
 # Bits are never surer than this log odds.
 SUREST = 10.0
-BLOCK, SEGMENT = 16, 1024
+BLOCK, SEGMENT = 32, 1024
 END = 0xFF
 PAD = 5
 # Token counts are broadcast for at most so many tokens, the most frequent ones; the others are joined.
-FREQUENT = 1 << 20
+FREQUENT = 1 << 18
 SALTS = 16
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -94,7 +94,7 @@ def slots(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(context, chunk, salt, cells, counts) of a task's texts; only chunks and cells that it met."""
     total = [np.zeros(16 << bits, np.uint32) for _, bits in CONTEXTS]
-    for piece in slices(batches):
+    for piece in slices(batches, most=1 << 20):
         data, begin, end = stream(piece.column("text"))
         real = np.zeros(len(data), bool)
         for b, e in zip(begin, end):
@@ -229,7 +229,7 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, n) of a task's texts, words and ends."""
     known, seen, docs = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-    for piece in slices(batches, most=1 << 23):
+    for piece in slices(batches):
         hashes, _ = token_hashes(piece.column("text"))
         docs += piece.num_rows
         u, c = np.unique(hashes, return_counts=True)
@@ -256,8 +256,8 @@ def frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
         if total > FREQUENT:
             bound = row["c"]
             break
-    rows = counts.where(F.col("c") > bound).toPandas()
-    tokens, c = rows["token"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+    rows = counts.where(F.col("c") > bound).toArrow()
+    tokens, c = rows["token"].to_numpy(), rows["c"].to_numpy()
     order = np.argsort(tokens)
     return tokens[order], c[order], bound
 

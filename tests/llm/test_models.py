@@ -60,14 +60,14 @@ def test_mixing_counts(spark, docs):
     data = b"".join(b"\0" * mixing.PAD + r.text.encode() + b"\xff" for r in some.collect())
     assert len(mixing.stream(pa.array([r.text for r in some.collect()]))[0]) == len(data)
     tables = mixing.fit_mixer(some).tables
-    counts = np.zeros(16 << mixing.CONTEXTS[2][1], np.int64)
+    counts = np.zeros(16 << mixing.CONTEXTS[1][1], np.int64)
     for r in some.collect():
         padded, begin, end = mixing.stream(pa.array([r.text]))
-        first, second = list(mixing.slots(padded))[2]
+        first, second = list(mixing.slots(padded))[1]
         for i in range(begin[0], end[0]):
             counts[first[i] + (padded[i] >> 4)] += 1
             counts[second[i] + (padded[i] & 15)] += 1
-    assert (mixing.log_odds(counts) == tables[2]).all()
+    assert (mixing.log_odds(counts) == tables[1]).all()
 
 
 def test_a_first_byte_has_probability_one(spark, docs):

@@ -30,23 +30,28 @@ from mattone.llm.arrays import slices
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 # Entries of a worker's stores; a full one is emptied, which costs time and changes no result.
-KEPT_WORDS, KEPT_PAIRS = 400_000, 1_000_000
+KEPT_WORDS, KEPT_PAIRS = 1_500_000, 1_000_000
 NORMAL, BYTE = 1, 6
 
 
 @dataclass
 class Machine:
-    """The compiled model; ``scores`` of normal pieces, ids, and what each id spells."""
+    """The compiled model; ``scores`` of normal pieces, ids, and what each id spells.
+
+    ``spelling`` has the pieces as a deterministic machine over characters, a dict per state; the
+    key "" of a final state names the piece.
+    """
 
     scores: dict[str, float]
     ids: dict[str, int]
     byte_ids: list[int]
     spells: list[bytes]
-    longest: int
     whole: bool
     prefix: bool
     paths: dict[str, bytes] = field(default_factory=dict)
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    pairs: dict[str, dict[str, bool]] = field(default_factory=dict)
+    n_pairs: int = 0
+    spelling: dict = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str) -> Machine:
@@ -71,10 +76,10 @@ class Machine:
             else:
                 spells.append(b"")
         whole = any(MARK in p.lstrip(MARK) for p in scores)
-        return cls(scores, ids, byte_ids, spells, max(map(len, scores)), whole, spec.add_dummy_prefix)
+        return cls(scores, ids, byte_ids, spells, whole, spec.add_dummy_prefix)
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "paths": {}, "pairs": {}}
+        return {**self.__dict__, "paths": {}, "pairs": {}, "n_pairs": 0, "spelling": {}}
 
     def merged(self, text: str) -> list[str]:
         """``text`` merged from its characters: the best-scored pair first, of equal ones the leftmost."""
@@ -92,26 +97,48 @@ class Machine:
 
     def agree(self, left: str, right: str) -> bool:
         """Whether the pair has weight 0. An empty ``left`` asks whether ``right`` is what its own spelling merges to."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
-        return known
+        if self.n_pairs >= KEPT_PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
+        weight = self.merged(left + right) == ([left, right] if left else [right])
+        self.pairs.setdefault(left, {})[right] = weight
+        self.n_pairs += 1
+        return weight
+
+    def _compile_spelling(self) -> dict:
+        for piece in self.scores:
+            state = self.spelling
+            for c in piece:
+                state = state.setdefault(c, {})
+            state[""] = piece
+        return self.spelling
 
     def path(self, unit: str) -> list[str]:
         """The pieces of the one finite path over ``unit``; a character that no piece spells stands for itself."""
-        last: list[str | None] = [""] + [None] * len(unit)
-        for end in range(1, len(unit) + 1):
-            for begin in range(max(0, end - self.longest), end):
-                before = last[begin]
-                if before is None:
-                    continue
-                piece = unit[begin:end]
-                if (piece in self.scores or end - begin == 1) and self.agree("", piece) and (not begin or self.agree(before, piece)):
-                    last[end] = piece
+        spelling, pairs, size = self.spelling or self._compile_spelling(), self.pairs, len(unit)
+        own = pairs.setdefault("", {})
+        last: list[str | None] = [None] * (size + 1)
+        for begin in range(size):
+            before = "" if not begin else last[begin]
+            if before is None:
+                continue
+            known = pairs.get(before)
+            if known is None:
+                known = pairs[before] = {}
+            state, end = spelling, begin
+            while end < size:
+                state = state.get(unit[end])
+                end += 1
+                piece = state.get("") if state is not None else None
+                if piece is None and end == begin + 1:
+                    piece = unit[begin]
+                if piece is not None and last[end] is None:
+                    weight = known.get(piece)
+                    if (self.agree(before, piece) if weight is None else weight) and (not begin or own.get(piece) or piece not in own and self.agree("", piece)):
+                        last[end] = piece
+                if state is None:
                     break
-        out, end = [], len(unit)
+        out, end = [], size
         while end:
             out.append(last[end])
             end -= len(out[-1])

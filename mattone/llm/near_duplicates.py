@@ -120,11 +120,10 @@ def _commonness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rarest(percent: int, common: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, rep, n, comp, indexed): the shingles of a set that a linked set must share one of, rarest first.
+    """(gram, rep, n, comp, place): the shingles of a set that a linked set must share one of, and their places, rarest first.
 
-    A linked pair shares at least percent * (n1 + n2) / (100 + percent) shingles.  For the smaller set that is at least
-    2 * percent * n / (100 + percent), for the larger one percent * n / 100; with the common ones left out at the
-    end of the order, the ``indexed`` ones of the smaller set and all given ones of the larger set meet.
+    Two sets that share o shingles or more meet among the first n - o + 1 of each, whatever the order that both
+    follow.  A linked pair shares at least percent * (n1 + n2) / (100 + percent); with the other set at its smallest that is percent * n / 100.
     """
     for piece in slices(batches):
         hashes, begin, end = Words.of(piece.column("text"), lower=True).shingles(WIDTH)
@@ -133,11 +132,10 @@ def _rarest(percent: int, common: np.ndarray, batches: Iterator[pa.RecordBatch])
             items = np.unique(hashes[lo:hi])
             n = len(items)
             items = items[np.lexsort((items, common[(items >> np.uint64(48)).astype(np.int64)]))][: n - -(-percent * n // 100) + 1]
-            first = n - -(-2 * percent * n // (100 + percent)) + 1
-            out.append((items.view(np.int64), np.full(len(items), i), np.full(len(items), n), np.arange(len(items)) < first))
-        gram, row, size, indexed = (np.concatenate(x) for x in zip(*out))
+            out.append((items.view(np.int64), np.full(len(items), i), np.full(len(items), n), np.arange(len(items))))
+        gram, row, size, place = (np.concatenate(x) for x in zip(*out))
         row = pa.array(row)
-        yield pa.RecordBatch.from_arrays([pa.array(gram), piece.column("rep").take(row), pa.array(size), piece.column("comp").take(row), pa.array(indexed)], ["gram", "rep", "n", "comp", "indexed"])
+        yield pa.RecordBatch.from_arrays([pa.array(gram), piece.column("rep").take(row), pa.array(size), piece.column("comp").take(row), pa.array(place)], ["gram", "rep", "n", "comp", "place"])
 
 
 def _rare_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -147,11 +145,14 @@ def _rare_pairs(members: DataFrame, percent: int) -> DataFrame:
     for slot, c in counts.collect():
         common[slot] = c
     shared = members.sparkSession.sparkContext.broadcast(common)
-    rare = members.mapInArrow(lambda batches: _rarest(percent, shared.value, batches), "gram long, rep long, n long, comp long, indexed boolean")
-    small = rare.where("indexed").select("gram", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    large = rare.select("gram", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    ordered = f"comp_a <> comp_b and n_a <= n_b and (n_a < n_b or a < b) and 100 * n_a >= {percent} * n_b"
-    return small.join(large, "gram").where(ordered).select("a", "b").distinct()
+    rare = members.mapInArrow(lambda batches: _rarest(percent, shared.value, batches), "gram long, rep long, n long, comp long, place long")
+    # The smaller set of a pair needs fewer: the larger one is at least as large as itself.
+    small = rare.where(f"(100 + {percent}) * (n - place) >= 2 * {percent} * n").select("gram", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "comp", "place")])
+    large = rare.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "comp", "place")])
+    # n - place shingles are left from a place on; they must be able to hold all that a linked pair shares.
+    enough = " and ".join(f"(100 + {percent}) * (n_{s} - place_{s}) >= {percent} * (n_a + n_b)" for s in "ab")
+    ordered = f"comp_a <> comp_b and n_a <= n_b and (n_a < n_b or rep_a < rep_b) and 100 * n_a >= {percent} * n_b and {enough}"
+    return small.join(large, "gram").where(ordered).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:

@@ -30,8 +30,10 @@ SHARD_TOKENS = 1 << 21
 END = 0
 BLOCK = 512
 MAGIC = b"WVM1"
-# Entries of a worker's store of encoded words; a full one is emptied, which changes no result.
-KEPT_WORDS = 500_000
+# Entries, of some 200 bytes, of a worker's store of encoded words; a full one is emptied, which changes no result.
+KEPT_WORDS = 1_500_000
+# New words are handed to the tokenizer in texts of so many, and its ids cut where a word begins.
+JOINED = 256
 
 
 @dataclass
@@ -152,13 +154,13 @@ class Matrix:
 class Encoder:
     """A tokenizer file's ids of whole texts; words met before are taken from the worker's store.
 
-    Byte-level tokenizers split before a single space that stands between two other characters, so the parts
-    between such spaces can be encoded one by one.  Texts with other white space runs are split only there, and texts
-    that spell a special token are not split.
+    Byte-level tokenizers split before a single space that stands between two other characters, so the words
+    between such spaces, each with the space before it, can be encoded one by one.  Texts with other runs of white space are split only
+    there, and texts that spell a special token are not split: ``heads`` keeps such parts and first words, ``kept`` the words.
     """
 
     _SPLIT = re.compile(r"(?<=\S)(?= \S)")
-    _ODD = re.compile(r"\s\s|^\s|\s$")
+    _ODD = re.compile(r"\s\s")
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -167,29 +169,56 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text; none for a null or empty one."""
-        parts: list[list[str]] = []
+        if len(self.kept) + len(self.heads) >= KEPT_WORDS:
+            self.kept.clear()
+            self.heads.clear()
+        kept, heads = self.kept, self.heads
+        cut: list[tuple[list[str], list[str], list[bytes | None]]] = []
+        new_heads: set[str] = set()
+        new: set[str] = set()
         for text in texts:
-            if not text:
-                parts.append([])
-            elif any(s in text for s in self.special):
-                parts.append([text])
-            elif self._ODD.search(text):
-                parts.append(self._SPLIT.split(text))
-            else:
-                first, *rest = text.split(" ")
-                parts.append([first, *[" " + r for r in rest]])
-        kept = self.kept
-        if len(kept) >= KEPT_WORDS:
-            kept.clear()
-        new = list({p for own in parts for p in own if p not in kept})
+            head: list[str] = []
+            words: list[str] = []
+            if text and (text[0].isspace() or text[-1].isspace() or self._ODD.search(text) or any(s in text for s in self.special)):
+                head = [text] if any(s in text for s in self.special) else self._SPLIT.split(text)
+            elif text:
+                first, *words = text.split(" ")
+                head = [first]
+            new_heads.update(h for h in head if h not in heads)
+            found = list(map(kept.get, words))
+            if None in found:
+                new.update([w for w, f in zip(words, found) if f is None])
+            cut.append((head, words, found))
+        self._encode_heads(list(new_heads))
+        self._encode_words(list(new))
+        out = []
+        for head, words, found in cut:
+            if None in found:
+                found = [kept[w] if f is None else f for w, f in zip(words, found)]
+            out.append(b"".join([heads[h] for h in head] + found))
+        return out
+
+    def _encode_heads(self, new: list[str]) -> None:
         for part, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            kept[part] = np.array(made.ids, self.kind).tobytes()
-        return [b"".join([kept[p] for p in own]) for own in parts]
+            self.heads[part] = np.array(made.ids, self.kind).tobytes()
+
+    def _encode_words(self, new: list[str]) -> None:
+        """Words that follow a space, many in one text, cut where their space is."""
+        groups = [new[i : i + JOINED] for i in range(0, len(new), JOINED)]
+        size = self.kind().itemsize
+        for group, made in zip(groups, self.tokenizer.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(made.ids, self.kind).tobytes()
+            begin = np.fromiter((o[0] for o in made.offsets), np.int64, len(made.ids))
+            first = np.concatenate([[0], np.cumsum([len(w) + 1 for w in group])])
+            cut = (np.searchsorted(begin, first) * size).tolist()
+            for word, a, b in zip(group, cut, cut[1:]):
+                self.kept[word] = ids[a:b]
 
 
 _encoders: dict[int, Encoder] = {}

@@ -29,16 +29,16 @@ from mattone.llm.arrays import Words, _power, flat, mix, slices
 from mattone.llm.scratch import written
 
 # Bytes before, or the word so far, and the binary logarithm of the number of slots.
-CONTEXTS = ((3, 19), (5, 20), ("word", 20))
+CONTEXTS = ((1, 18), (2, 18), (3, 20), (5, 20), ("word", 20))
 ORDERS = len(CONTEXTS)
 CHUNK = 1 << 18
 PRIOR = 0.3
 STEP = 1 / 14
-START = (0.45, 0.40, 0.35)
+START = (0.10, 0.15, 0.25, 0.40, 0.35)
 RATE = 0.01
 # Bits are never surer than this log odds.
 SUREST = 10.0
-BLOCK, SEGMENT = 32, 1024
+BLOCK, SEGMENT = 16, 1024
 END = 0xFF
 PAD = 5
 # Token counts are broadcast for at most so many tokens, the most frequent ones; the others are joined.
@@ -53,6 +53,8 @@ _BITS = (_BYTE[:, None] >> np.arange(7, -1, -1) & 1).astype(np.float32)
 _SIGN = 2 * _BITS - 1
 _half = lambda h: np.stack([np.ones_like(h), 2 + (h >> 3), 4 + (h >> 2), 8 + (h >> 1)], axis=1)
 _NODES = np.concatenate([_half(_BYTE >> 4), _half(_BYTE & 15)], axis=1).astype(np.int32)
+# The same in two slots of 16 cells, one after the other.
+_CELLS = _NODES.astype(np.int64) + np.repeat([0, 16], 4)
 
 
 def stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +162,8 @@ class Mixer:
     def cost(self, texts: pa.Array) -> np.ndarray:
         """The bits that each text and its end cost: minus the log2 of their probability."""
         data, begin, end = stream(texts)
-        places = list(slots(data))
+        places = [np.stack([at >> 4 for at in pair], axis=1).view(np.int64)[:, 0] for pair in slots(data)]
+        rows = [table.view(np.complex128) for table in self.tables]
         count = -(-(end - begin) // SEGMENT)
         text = np.repeat(np.arange(len(begin)), count)
         first = np.repeat(begin, count) + SEGMENT * (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count))
@@ -178,13 +181,14 @@ class Mixer:
             there = where < last[:live, None]
             where = np.minimum(where, len(data) - 1)
             byte = data[where]
-            nodes, sign = _NODES[byte], _SIGN[byte]
+            sign = _SIGN.take(byte, axis=0)
+            # A slot is taken as a whole, 16 bytes at once; the decisions' places in what is taken are those of all contexts.
+            cell = _CELLS.take(byte, axis=0)
+            cell += np.arange(0, 32 * live * BLOCK, 32).reshape(live, BLOCK, 1)
             odds = np.empty((ORDERS, live, BLOCK, 8), np.float32)
-            cell = np.empty((live, BLOCK, 8), np.int64)
-            for k, (upper, lower) in enumerate(places):
-                np.add(upper[where][..., None], nodes[..., :4], out=cell[..., :4])
-                np.add(lower[where][..., None], nodes[..., 4:], out=cell[..., 4:])
-                odds[k] = self.tables[k].take(cell)
+            for k, pair in enumerate(places):
+                taken = rows[k].take(pair.take(where).view(np.int32))
+                odds[k] = taken.view(np.int8).take(cell)
             w = weights[:, :live]
             z = odds[0] * w[0][:, None, :]
             for k in range(1, ORDERS):

@@ -70,6 +70,17 @@ def test_mixing_counts(spark, docs):
     assert (mixing.log_odds(counts) == tables[1]).all()
 
 
+def test_unmet_contexts_fall_back_on_lower_orders(spark):
+    """Random letters: no longer context of the text was met in training, but every byte and most pairs were."""
+    assert [c for c, _ in mixing.CONTEXTS] == [1, 2, 3, 5, "word"] and mixing.CONTEXTS[2][1] == 20 and mixing.BLOCK == 16
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789-_.:"))
+    text = lambda n: "".join(rng.choice(letters, n))
+    mixer = mixing.fit_mixer(spark.createDataFrame([(text(1000),) for _ in range(4)], "text string"))
+    unseen = text(1000)
+    assert mixer.cost(pa.array([unseen]))[0] / len(unseen) < 7
+
+
 def test_a_first_byte_has_probability_one(spark, docs):
     """Over all first bytes the costs of the first eight decisions sum up to one."""
     mixer = mixing.fit_mixer(docs)

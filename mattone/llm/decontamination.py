@@ -3,15 +3,18 @@
 All of it is DataFrame expressions.  A text is its lower-cased words; an item of L words is a bag of
 L - 4 five-word shingles (of the whole sequence if it has fewer words), each weighing as often as it occurs.
 A document holds an item if one of its windows of L words has a weighted Jaccard similarity, sum of the smaller
-weights over sum of the larger, of at least 0.8 with it.
+weights over sum of the larger, of at least 0.8 with it.  A text of fewer than L words is one window as a whole.
 
 1. Lossless filters choose the windows.  A similar window misses at most x of the item's m shingles, so
    looking up every g-th shingle of a document, g = m // (x + 1), meets one that the item has.  In documents so
-   found, sliding a window right until it begins with a shared shingle, or the text ends, loses nothing.
+   found, sliding a window right until it begins with a shared shingle, or the text ends, loses nothing.  A whole text
+   of n < m shingles can be similar only if n >= 0.8 m; g is the smallest that any such n needs.
 2. Each window gets a 64-bit SimHash.  Two fingerprints within RADIUS = 20 differ in at most 2 bits
    of one of 7 blocks; an item's blocks are stored with all such errors, so every pair within
    the radius meets in an equi-join on (L, block, value).  At similarity 0.8 the expected distance is 9.7
-   (standard deviation 2.9): the radius is 3.6 deviations above it.
+   (standard deviation 2.9): the radius is 3.6 deviations above it.  Bags of unequal sizes have a higher cosine at the
+   same similarity, so no larger distance, but in bags of a few shingles ties of bit counts add to it: whole texts shorter
+   than an item of at most TINY words are paired with it by any shingle they share instead.
 3. Pairs within the radius are compared by their whole bags.
 """
 
@@ -29,6 +32,7 @@ WIDTH = 5
 RADIUS = 20
 BLOCKS = (9, 9, 9, 9, 9, 9, 10)
 ERRORS = RADIUS // len(BLOCKS)
+TINY = 16
 _PAIR = 0x0000000100000001
 
 
@@ -92,17 +96,22 @@ def _shared_weight(x: Column, y: Column) -> Column:
     return F.when(plain, F.size(F.array_intersect(x, y))).otherwise(F.aggregate(each, F.lit(0), lambda total, v: total + v))
 
 
+def least_size(m: int, similarity: float) -> int:
+    """The fewest shingles a text can have that is similar to an item of m."""
+    return ceil(round(m * similarity, 9))
+
+
 def stride_for(m: int, similarity: float) -> int:
-    """The largest g for which m consecutive places always hold a multiple of g at which a similar window agrees."""
-    missed = m - ceil(round(2 * m * similarity / (1 + similarity), 9))
-    return max(1, m // (missed + 1))
+    """The largest g for which n consecutive places always hold a multiple of g at which a similar window of n agrees, n up to m."""
+    missed = lambda n: n - ceil(round((m + n) * similarity / (1 + similarity), 9))
+    return max(1, min(n // (missed(n) + 1) for n in range(max(1, least_size(m, similarity)), m + 1)))
 
 
 def find_items(documents: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(doc_id, item_id, similarity) of every document and item it holds, with the best window's similarity.
 
     Null, empty or wordless texts hold nothing and are held by nothing; a document shorter than an item
-    does not hold it.  Rows without a doc_id or item_id cannot be named and are left out.  Rows of one id count
+    is compared as a whole.  Rows without a doc_id or item_id cannot be named and are left out.  Rows of one id count
     together.  Empty tables give an empty result; other columns are ignored.
     """
     docs = documents.where("doc_id is not null").select("doc_id", "text")
@@ -126,15 +135,16 @@ def find_items(documents: DataFrame, benchmark: DataFrame, similarity: float = 0
     met = small_side(written(met.select("doc_id").distinct(), "suspect-ids"))
     suspects = written(docs.join(met, "doc_id", "left_semi").distinct(), "suspects")
 
-    # Windows that begin with a shared shingle, and the text's last one if a shared shingle lies in it.
+    # Windows that begin with a shared shingle, and the text's last one if a shared shingle lies in it; whole texts that are shorter.
     by_width = [suspects.select("doc_id", F.lit(k).alias("width"), shingles(words(F.col("text")), k).alias("all")) for k in strides]
     arrays = by_width[0]
     for more in by_width[1:]:
         arrays = arrays.union(more)
     arrays = written(arrays.withColumn("text_key", F.xxhash64("all")), "suspect-shingles")
     places = arrays.select("doc_id", "text_key", "width", F.size("all").alias("n"), F.posexplode("all").alias("pos", "gram"))
-    starts = places.join(grams, ["gram", "width"]).where("n >= m").groupBy("doc_id", "text_key", "width", "len", "m")
-    starts = starts.agg(F.collect_set(F.least(F.col("pos"), F.col("n") - F.col("m"))).alias("starts"))
+    enough = F.col("n") >= F.ceil(F.round(F.col("m") * F.lit(similarity), 9))
+    starts = places.join(grams, ["gram", "width"]).where(enough).groupBy("doc_id", "text_key", "width", "len", "m")
+    starts = starts.agg(F.collect_set(F.greatest(F.lit(0), F.least(F.col("pos"), F.col("n") - F.col("m")))).alias("starts"))
     cut = F.transform("starts", lambda s: F.struct(s.alias("start"), F.slice("all", s + 1, F.col("m")).alias("bag")))
     windows = starts.join(arrays, ["doc_id", "text_key", "width"]).select("doc_id", "text_key", "len", F.explode(cut).alias("x"))
     windows = written(windows.select("doc_id", "text_key", "len", "x.start", "x.bag").distinct(), "windows")
@@ -145,9 +155,11 @@ def find_items(documents: DataFrame, benchmark: DataFrame, similarity: float = 0
     index = prints.select("item_id", "len", "item_fp", F.explode(_block_keys(F.col("item_fp"), ERRORS)).alias("k"))
     index = small_side(written(index.select("item_id", "len", "item_fp", "k.block", "k.value"), "item-index"))
     near = probe.join(index, ["len", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-    near = near.select(*place, "item_id").distinct()
+    tiny = windows.where((F.col("len") <= TINY) & (F.size("bag") < F.col("len") - (WIDTH - 1))).select(*place, F.explode("bag").alias("gram"))
+    held = items.where(F.col("len") <= TINY).select("item_id", "len", F.explode("bag").alias("gram"))
+    near = near.select(*place, "item_id").union(tiny.join(held, ["len", "gram"]).select(*place, "item_id")).distinct()
 
     compared = near.join(windows, place).join(items.select("item_id", "len", F.col("bag").alias("item_bag"), "m"), ["item_id", "len"])
     compared = compared.withColumn("shared", _shared_weight(F.col("bag"), F.col("item_bag")))
-    score = F.col("shared") / (2 * F.col("m") - F.col("shared"))
+    score = F.col("shared") / (F.size("bag") + F.col("m") - F.col("shared"))
     return compared.select("doc_id", "item_id", score.alias("similarity")).where(F.col("similarity") >= similarity).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))

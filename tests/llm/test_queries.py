@@ -105,6 +105,25 @@ def test_passages_with_changes(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == expected
 
 
+def test_texts_shorter_than_an_item(spark):
+    """An item less some of its words is found where the similarity of the whole text says so, however small both are."""
+    words, rng = vocabulary(6)
+    items, rows, expected = [], [], {}
+    for i, size in enumerate([60, *range(5, 45)]):
+        item = [rng.choice(words) for _ in range(size)]
+        items.append((i, " ".join(item)))
+        for cut, kind in enumerate((item[:-1], item[1:], item[:-2], item[2:-2], item[: size // 2], [*item[:3], *item[4:]], [*item[:-3], "other"])):
+            rows.append((10 * i + cut, " ".join(kind)))
+    for doc, text in rows:
+        for i, item in items:
+            x, y = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (text.split(), item.split()))
+            if len(text.split()) < len(item.split()) and x and len(x & y) / len(x | y) >= 0.8:
+                expected[doc, i] = len(x & y) / len(x | y)
+    assert expected[0, 0] == 55 / 56 and len({i for _, i in expected}) > 30
+    got = decontamination.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.similarity for r in got.collect()} == pytest.approx(expected)
+
+
 def test_rules_keep_clean_documents(spark):
     """Clean labelled documents pass, whatever their source; junk beside them does not."""
     folder = "/root/testdata/sf0.01"

@@ -6,8 +6,9 @@ reference text that the same words fill on most aligned pages is template, a slo
 a block with one varying slot is content as a whole.
 Only counts per reference text travel, so a host of any size is induced from all its pages, in parallel.
 
-Elements whose tag, class or id names a role that is no main text (menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, comments) are template by that role: such a slot may vary as well.
+Elements whose tag, or a whole word of whose class, id or role, names a role that is no main text (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles, comments) are template by that role: such a slot may vary as well.
+If that leaves a page no ``article`` or ``main``, wrappers so named around one, or else around most of the words, have no role.
 Words that repeat inside an ``article`` or ``main`` element are the article's own and stay content.
 """
 
@@ -40,6 +41,8 @@ ROLE_WORDS = frozenset(
     "form search login signup newsletter subscribe comment comments disqus share sharing social related breadcrumb breadcrumbs pagination popup modal skip".split()
 )
 ARTICLE = frozenset({"article", "main"})
+# Tags that can wrap a whole page; the other tags of a role keep it whatever they hold.
+WRAPPERS = frozenset({"form", "header", "aside"})
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -55,7 +58,6 @@ P_ENDS = frozenset(
 
 _TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*+)(?:>|$)|<!--.*?(?:-->|$)|<[!?/][^>]*+(?:>|$)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_PARTS = re.compile(r"[A-Za-z]+")
 _SPACES = re.compile(r"[\x20\x09-\x0D\xa0]+")
 
 
@@ -98,14 +100,38 @@ class Page:
                 at = size if gone < 0 else gone + 1
             else:
                 open_.append(node)
+        self._settle()
+
+    def _settle(self) -> None:
+        """From the elements that a role is named for to all below them, wrappers of the main text apart."""
+
+        def reached() -> list[bool]:
+            out = list(self.role)
+            for node in range(1, len(out)):
+                out[node] = out[node] or out[self.parent[node]]
+            return out
+
+        own, role = self.role, reached()
+        fixed = [tag in ROLE_TAGS and tag not in WRAPPERS for tag in self.tag]
+        if not any(tag in ARTICLE and not role[node] for node, tag in enumerate(self.tag)) and any(r and not f for r, f in zip(own, fixed)):
+            words, articles = [len(text.split()) for text in self.text], [int(tag in ARTICLE) for tag in self.tag]
+            for node in range(len(own) - 1, 0, -1):
+                if not fixed[node]:
+                    words[self.parent[node]] += words[node]
+                    articles[self.parent[node]] += articles[node]
+            for node in range(1, len(own)):
+                if not fixed[node] and (articles[node] if articles[0] else 2 * words[node] > words[0]):
+                    own[node] = False
+            role = reached()
+        self.role = role
 
     def _add(self, parent: int, tag: str, attributes: str) -> int:
         node = len(self.tag)
-        role = self.role[parent] or tag in ROLE_TAGS
+        role = tag in ROLE_TAGS
         if not role and attributes:
             names = (a or b or c for a, b, c in _NAMES.findall(attributes))
-            role = any(part.lower() in ROLE_WORDS for value in names for part in _PARTS.findall(value))
-        if role and tag in ("html", "body") or role and tag in ARTICLE and not self.role[parent]:
+            role = any(word.lower() in ROLE_WORDS for value in names for word in value.split())
+        if tag in ("html", "body") or tag in ARTICLE:
             role = False
         self.tag.append(tag)
         self.parent.append(parent)

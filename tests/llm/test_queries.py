@@ -133,6 +133,18 @@ def test_rules_keep_clean_documents(spark):
     assert sum(r.kept for r in bad) <= 0.5 * len(bad)
 
 
+@pytest.mark.parametrize("wrapper", ["div class='page has-sidebar'", "div class=no-sidebar", "div id='search-result'", "div class='social-science'", "form action='/'", "div class='sidebar'"])
+@pytest.mark.parametrize("inner", ["div", "article"])
+def test_wrappers_named_like_roles_keep_the_main_text(wrapper, inner):
+    html = f"<html><body><nav>menu of links</nav><{wrapper}><{inner}><p>The main text has most of the words of its page</p></{inner}><div class='ad left'>buy this</div></{wrapper.split()[0]}><footer>below</footer></body></html>"
+    assert wrappers.Page(html).main_text() == "The main text has most of the words of its page"
+
+
+def test_roles_beside_an_article_stay():
+    html = "<body><article><p>Short text</p></article><aside><article>a teaser with more words than the text</article></aside><div class='comments'>me too and more and more and more</div></body>"
+    assert wrappers.Page(html).main_text() == "Short text"
+
+
 def page(i, host, body, closed=True):
     return (i, f"https://{host}/p/{i}", f"<html><head><title>t{i}</title><script>var a = '</p>' + {i};</script></head><body>{body}" + ("</body></html>" if closed else ""))
 

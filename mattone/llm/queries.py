@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mattone.llm import decontamination, languages, mixing, personal_data, pieces, quality, rules, wavelet, wrappers
+from mattone.llm import decontamination, languages, mixing, periodic_runs, personal_data, pieces, quality, rules, substrings, vector_codes, wavelet, wrappers
 from mattone.llm import near_duplicates as nd
 from mattone.llm.scratch import fold
 from mattone.session import work_folder
@@ -197,3 +197,66 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id, d.doc
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.a = d.doc_id
 GROUP BY d.doc_id, n.n
 """
+
+
+@query
+def op11_cover_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
+
+
+def _with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """Documents, those whose crc32 of the id is divisible by ten with some words from a word on repeated to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words")).withColumn("n", F.size("words"))
+    placed = split.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    period = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    made = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), F.lit(1), F.col("n")), " ")
+    return period.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_with_periodic_ends(table(spark, sf_dir, "documents")))
+    # The longest run; of equally long ones the first, then the one of the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op13_fm_substring_dedup"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (
+  SELECT doc_id, s, array_to_string(w[s + 1:s + 20], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+h AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS k FROM g) WHERE k > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM h),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM d),
+k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM x ANTI JOIN c ON c.doc_id = x.doc_id AND c.i = x.i GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

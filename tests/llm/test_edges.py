@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mattone.llm import decontamination, languages, mixing, near_duplicates, personal_data, pieces, quality, rules, wavelet, wrappers
+from mattone.llm import decontamination, languages, mixing, near_duplicates, periodic_runs, personal_data, pieces, quality, rules, substrings, vector_codes, wavelet, wrappers
 from mattone.llm.scratch import fold
 from mattone.session import work_folder
 import corpus_pipeline
@@ -56,6 +56,8 @@ OPERATORS = {
     "languages": lambda d, l, b: languages.language_mixtures(d, languages.fit_languages(d)),
     "personal_data": lambda d, l, b: personal_data.personal_data(d),
     "near_duplicates": lambda d, l, b: near_duplicates.near_duplicates(d),
+    "periodic_runs": lambda d, l, b: periodic_runs.find_runs(d),
+    "substrings": lambda d, l, b: substrings.remove_repeated(d),
 }
 
 
@@ -71,7 +73,7 @@ def test_empty_table(docs, labels, benchmark, name):
 
 
 def test_repeated_rows_have_equal_answers(docs, labels, benchmark):
-    for name in ("mixing", "rules", "quality", "pieces", "languages", "personal_data", "near_duplicates"):
+    for name in ("mixing", "rules", "quality", "pieces", "languages", "personal_data", "near_duplicates", "periodic_runs", "substrings"):
         rows = OPERATORS[name](docs, labels, benchmark).where("doc_id = 1").collect()
         assert len(rows) == 2 and rows[0] == rows[1], name
 
@@ -108,3 +110,17 @@ def test_pipeline_stages(spark, docs, labels, benchmark, tmp_path):
             out = stage(spark, rows, str(tmp_path))
             assert name == "encode" or out.columns == corpus_pipeline.COLUMNS
             assert out.count() <= rows.count()
+
+
+def test_vectors(spark):
+    odd = [None, [1.0, None, 0.0, 0.0, 0.0], [1.0, float("nan"), 0.0, 0.0, 0.0], [1.0, float("inf"), 0.0, 0.0, 0.0]]
+    good = [(1, [1.0, 2.0, 3.0, 4.0, 5.0], 7), (1, [1.0, 2.0, 3.0, 4.0, 5.0], 7), (2, [], None), (3, [3e38, -3e38], None), (None, [0.5], 7)]
+    rows = [(i, v, 0) for i, v in enumerate(odd)] + good
+    vectors = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, code string, error int")
+    codes, books = vector_codes.vector_codes(vectors)
+    got = sorted((str(r.vec_id), r.code.hex(), r.error, r.label_error) for r in vector_codes.with_label_error(codes).collect())
+    # Entries begin as the vectors themselves, by vec_id; equal parts fall to the lowest index.
+    assert got == [("1", "00000000", 0, 0), ("1", "00000000", 0, 0), ("2", "02020200", 0, 0), ("3", "03020200", 0, 0), ("None", "04020200", 0, 0)]
+    assert [len(e) for e in books.entries] == [5] * 4
+    none, empty = vector_codes.vector_codes(vectors.limit(0))
+    assert none.collect() == [] and vector_codes.with_label_error(none).collect() == [] and empty.entries == []

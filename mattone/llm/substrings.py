@@ -113,47 +113,62 @@ def _with_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 class _Shard:
-    """Pieces of whole keys, searched together."""
+    """Pieces of whole keys, searched together; equal ones are indexed and streamed once, at their first place."""
 
     def __init__(self) -> None:
-        self.words: list[list[bytes]] = []
-        self.rows: list[tuple[int | None, int, int, int]] = []
+        self.known: dict[bytes, int] = {}
+        self.rows: list[tuple[int, int | None, int, int, int]] = []
         self.size = 0
 
     def add(self, doc_id: int | None, row: int, start: int, parts: int, words: bytes) -> None:
-        cut = words.split()
-        self.words.append(cut)
-        self.rows.append((doc_id, row, start, parts))
-        self.size += len(cut)
-
-    def search(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(piece, window, repeated) of all windows of the shard; repeated ones stand earlier in some piece."""
-        known: dict[bytes, int] = {}
-        count = np.array([len(w) for w in self.words], np.int64)
+        piece = self.known.setdefault(words, len(self.known))
+        if piece == len(self.known) - 1:
+            self.size += len(words) // 6
+        self.rows.append((piece, doc_id, row, start, parts))
+
+    def search(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+        """(row, window, repeated) of all windows of the shard's rows, repeated if they stand earlier in some piece; and the words of each piece."""
+        cut = [w.split() for w in self.known]
+        numbers: dict[bytes, int] = {}
+        count = np.array([len(w) for w in cut], np.int64)
         begin = np.append(0, np.cumsum(count + 1))[:-1]
         end = begin + count
         text = np.full(int(count.sum()) + len(count), SEPARATOR, np.int64)
-        numbers = np.fromiter((known.setdefault(w, len(known) + 1) for words in self.words for w in words), np.int64, int(count.sum()))
         filled = np.ones(len(text), bool)
         filled[end] = False
-        text[filled] = numbers
+        text[filled] = np.fromiter((numbers.setdefault(w, len(numbers) + 1) for words in cut for w in words), np.int64, int(count.sum()))
         index, order = FMIndex.build(text, WINDOW)
         low, high = index.matches(text, begin, end)
+
+        own = np.array([r[0] for r in self.rows], np.int64)
+        ids = np.array([_FIRST if r[1] is None else r[1] for r in self.rows], np.int64)
+        starts = np.array([r[3] for r in self.rows], np.int64)
+        by = np.lexsort((starts, ids, own))
+        first = by[np.append(True, own[by][1:] != own[by][:-1])]
+        # Windows of the pieces at their first places, by document, then start.
         windows = np.maximum(count - WINDOW + 1, 0)
-        piece = np.repeat(np.arange(len(count)), windows)
-        window = np.arange(len(piece)) - np.repeat(np.append(0, np.cumsum(windows)[:-1]), windows)
-        # Windows by document, then start; equal places of repeated rows are one place.
-        ids = np.array([_FIRST if r[0] is None else r[0] for r in self.rows], np.int64)[piece]
-        starts = np.array([r[2] for r in self.rows], np.int64)[piece] + window
-        by = np.lexsort((starts, ids))
-        fresh = np.append(0, np.cumsum((np.diff(ids[by]) != 0) | (np.diff(starts[by]) != 0)))
-        rank = np.full(len(text) + 1, len(text), np.int64)
+        piece, window = _ranges(windows)
         at = begin[piece] + window
-        rank[at[by]] = fresh
-        # reduceat reads pairs of bounds; the pieces between pairs are left out.
+        place = np.stack([ids[first][piece], starts[first][piece] + window])
+        by = np.lexsort(place[::-1])
+        rank = np.full(len(text) + 1, len(text), np.int64)
+        rank[at[by]] = np.arange(len(by))
+        # reduceat reads pairs of bounds; what lies between pairs is left out.
         bounds = np.stack([low[at], high[at]], axis=1).reshape(-1)
-        earliest = np.minimum.reduceat(np.append(rank[order], len(text)), bounds)[::2] if len(at) else at
-        return piece, window, earliest < rank[at]
+        best = np.minimum.reduceat(np.append(rank[order], len(text)), bounds)[::2] if len(at) else at
+        earliest = place[:, by[best]] if len(at) else place
+
+        row, window = _ranges(windows[own])
+        of = (np.append(0, np.cumsum(windows)[:-1]))[own][row] + window
+        doc, start = ids[row], starts[row] + window
+        repeated = (earliest[0][of] < doc) | (earliest[0][of] == doc) & (earliest[1][of] < start)
+        return row, window, repeated, cut
+
+
+def _ranges(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, k) for every k below count[i]."""
+    which = np.repeat(np.arange(len(count)), count)
+    return which, np.arange(len(which)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
 
 
 FOUND = "doc_id long, row long, begin long, stop long, words binary"
@@ -164,19 +179,19 @@ def search(pieces: DataFrame) -> DataFrame:
     dealt in several parts, the windows that do not, with their words."""
 
     def found(shard: _Shard) -> Iterator[pa.RecordBatch]:
-        piece, window, repeated = shard.search()
-        edge = np.append(True, piece[1:] != piece[:-1]) if len(piece) else repeated
+        at, window, repeated, cut = shard.search()
+        edge = np.append(True, at[1:] != at[:-1]) if len(at) else repeated
         begins = np.flatnonzero(repeated & (edge | ~np.append(False, repeated[:-1])))
         stops = np.flatnonzero(repeated & (np.append(edge[1:], True) | ~np.append(repeated[1:], False)))
         rows = []
-        for a, b in zip(begins.tolist(), stops.tolist()):
-            doc_id, row, start, _ = shard.rows[piece[a]]
-            rows.append((doc_id, row, int(start + window[a]), int(start + window[b] + WINDOW), None))
-        dealt = np.array([r[3] > 1 for r in shard.rows], bool)[piece]
-        for k in np.flatnonzero(~repeated & dealt).tolist():
-            doc_id, row, start, _ = shard.rows[piece[k]]
-            i = int(window[k])
-            rows.append((doc_id, row, start + i, start + i + WINDOW, b" ".join(shard.words[piece[k]][i : i + WINDOW])))
+        for k, a, b in zip(at[begins].tolist(), window[begins].tolist(), window[stops].tolist()):
+            _, doc_id, row, start, _ = shard.rows[k]
+            rows.append((doc_id, row, start + a, start + b + WINDOW, None))
+        dealt = np.array([r[4] > 1 for r in shard.rows], bool)[at]
+        once = np.flatnonzero(~repeated & dealt)
+        for k, i in zip(at[once].tolist(), window[once].tolist()):
+            piece, doc_id, row, start, _ = shard.rows[k]
+            rows.append((doc_id, row, start + i, start + i + WINDOW, b" ".join(cut[piece][i : i + WINDOW])))
         columns = list(zip(*rows)) or [()] * 5
         kinds = [pa.int64()] * 4 + [pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "row", "begin", "stop", "words"])

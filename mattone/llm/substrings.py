@@ -7,6 +7,7 @@ anchors: a compressed FM-index of the shard's pieces, through which the pieces a
 the matching statistics; each window that matches with WINDOW words is compared with the earliest of the places in its
 suffix interval, and intervals of windows that stand earlier are reported.
 
+The few anchors with the most pieces are looked up by a broadcast of bounded size, not by a shuffle.
 An anchor with more than SPREAD pieces is dealt in parts of about that many, by a hash of the piece.  Windows that none of a
 part's other pieces repeats are first in their part; they, at most one per window and part, meet again in a second search,
 dealt by a hash of the whole window.  So no group grows with the copies of a passage, and no pair of copies is ever listed.
@@ -30,6 +31,8 @@ ANCHOR = 6
 # Windows of a piece; longer stretches of one anchor, as in periodic texts, are cut.
 PIECE = 16
 SPREAD = 2048
+# So many anchors at most are broadcast as hot ones.
+HOT = 1_000_000
 # A shard is closed at the first anchor behind so many words.
 SHARD_WORDS = 1 << 19
 
@@ -70,16 +73,19 @@ def _pieces(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def anchors(documents: DataFrame) -> DataFrame:
-    """(anchor, doc_id, row, start, windows, places) of every piece of ``documents(doc_id, row, text)``; ``places`` is 2 if its own windows may be equal, else 1."""
+    """(anchor, doc_id, row, place) of every piece of ``documents(doc_id, row, text)``.
+
+    ``place`` is ``start * 256 + windows * 4 + n``, where n is 2 if the piece's own windows may be equal, else 1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             text, start, windows, anchor, periodic = _pieces(Words.of(piece.column("text"), lower=False))
             own = pa.array(text, pa.int64())
-            columns = [pa.array(anchor.view(np.int64)), piece.column("doc_id").take(own), piece.column("row").take(own), pa.array(start, pa.int64()), pa.array(windows, pa.int64()), pa.array(1 + periodic, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc_id", "row", "start", "windows", "places"])
+            columns = [pa.array(anchor.view(np.int64)), piece.column("doc_id").take(own), piece.column("row").take(own), pa.array(start * 256 + windows * 4 + 1 + periodic, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc_id", "row", "place"])
 
-    return documents.select("doc_id", "row", "text").mapInArrow(run, "anchor long, doc_id long, row long, start long, windows long, places long")
+    return documents.select("doc_id", "row", "text").mapInArrow(run, "anchor long, doc_id long, row long, place long")
 
 
 PIECES = "key long, part long, parts long, doc_id long, row long, start long, words binary"
@@ -217,11 +223,16 @@ def search(pieces: DataFrame) -> DataFrame:
 def repeated_intervals(documents: DataFrame) -> DataFrame:
     """(doc_id, row, begin, stop): stretches of words of ``documents(doc_id, row, text)`` that are covered by windows that stand earlier."""
     placed = written(anchors(documents), "anchors")
-    counts = placed.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1")
+    counts = written(placed.groupBy("anchor").agg(F.sum(F.col("place") % 4).alias("n")).where("n > 1"), "anchor-counts")
+    # At most HOT anchors have so many pieces; theirs are not shuffled by anchor.
+    limit = max(SPREAD, placed.count() * 2 // HOT)
+    hot, rest = F.broadcast(counts.where(F.col("n") > limit)), counts.where(F.col("n") <= limit)
+    counted = placed.join(hot, "anchor").unionByName(placed.join(hot, "anchor", "left_anti").join(rest, "anchor"))
     parts = F.ceil(F.col("n") / SPREAD)
-    where = F.pmod(F.xxhash64("doc_id", "row", "start"), parts)
-    named = F.struct(F.col("anchor").alias("key"), where.alias("part"), parts.alias("parts"), "start", "windows")
-    wanted = placed.join(counts, "anchor").groupBy("doc_id", "row").agg(F.collect_set(named).alias("pieces"))
+    start, windows = F.shiftright("place", 8), F.shiftright("place", 2) % 64
+    where = F.pmod(F.xxhash64("doc_id", "row", "place"), parts)
+    named = F.struct(F.col("anchor").alias("key"), where.alias("part"), parts.alias("parts"), start.alias("start"), windows.alias("windows"))
+    wanted = counted.groupBy("doc_id", "row").agg(F.collect_set(named).alias("pieces"))
     once = written(search(_with_words(documents, wanted)), "first-search")
     again = once.where("words is not null").select(
         F.xxhash64("words").alias("key"), F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"), "doc_id", "row", F.col("begin").alias("start"), "words"

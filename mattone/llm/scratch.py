@@ -19,6 +19,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, purpose: str) -> DataFrame:
+    """As ``written``, for a step with much to shuffle: what it shuffled and broadcast is dropped once it has ended.
+
+    Spark removes shuffle files and broadcasts when the driver's garbage collector finds that nothing refers to them any more, and asks
+    for a collection only every half hour; a table that was just written refers to none of them.
+    """
+    table = written(df, purpose)
+    df.sparkSession._jvm.System.gc()
+    return table
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """``df``, a written table, marked for broadcast if its counted rows are few; else Spark shuffles both sides."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from mattone.llm.arrays import Words, slices
 from mattone.llm.fm_index import SEPARATOR, FMIndex
-from mattone.llm.scratch import written
+from mattone.llm.scratch import written, written_alone
 
 WINDOW = 20
 ANCHOR = 6
@@ -85,10 +85,10 @@ def anchors(documents: DataFrame) -> DataFrame:
             columns = [pa.array(anchor.view(np.int64)), piece.column("doc_id").take(own), piece.column("row").take(own), pa.array(start * 256 + windows * 4 + 1 + periodic, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc_id", "row", "place"])
 
-    return documents.select("doc_id", "row", "text").mapInArrow(run, "anchor long, doc_id long, row long, place long")
+    return documents.select("doc_id", "row", "text").mapInArrow(run, "anchor long, doc_id long, row int, place long")
 
 
-PIECES = "key long, part long, parts long, doc_id long, row long, start long, words binary"
+PIECES = "key long, part long, parts long, doc_id long, row int, start long, words binary"
 
 
 def _with_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def _ranges(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.arange(len(which)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
 
 
-FOUND = "doc_id long, row long, begin long, stop long, words binary"
+FOUND = "doc_id long, row int, begin long, stop long, words binary"
 
 
 def search(pieces: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def search(pieces: DataFrame) -> DataFrame:
             piece, doc_id, row, start, _ = shard.rows[k]
             rows.append((doc_id, row, start + i, start + i + WINDOW, b" ".join(cut[piece][i : i + WINDOW])))
         columns = list(zip(*rows)) or [()] * 5
-        kinds = [pa.int64()] * 4 + [pa.binary()]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "row", "begin", "stop", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,7 @@ def search(pieces: DataFrame) -> DataFrame:
 def repeated_intervals(documents: DataFrame) -> DataFrame:
     """(doc_id, row, begin, stop): stretches of words of ``documents(doc_id, row, text)`` that are covered by windows that stand earlier."""
     placed = written(anchors(documents), "anchors")
-    counts = written(placed.groupBy("anchor").agg(F.sum(F.col("place") % 4).alias("n")).where("n > 1"), "anchor-counts")
+    counts = written_alone(placed.groupBy("anchor").agg(F.sum(F.col("place") % 4).alias("n")).where("n > 1"), "anchor-counts")
     # At most HOT anchors have so many pieces; theirs are not shuffled by anchor.
     limit = max(SPREAD, placed.count() * 2 // HOT)
     hot, rest = F.broadcast(counts.where(F.col("n") > limit)), counts.where(F.col("n") <= limit)
@@ -232,8 +232,8 @@ def repeated_intervals(documents: DataFrame) -> DataFrame:
     start, windows = F.shiftright("place", 8), F.shiftright("place", 2) % 64
     where = F.pmod(F.xxhash64("doc_id", "row", "place"), parts)
     named = F.struct(F.col("anchor").alias("key"), where.alias("part"), parts.alias("parts"), start.alias("start"), windows.alias("windows"))
-    wanted = counted.groupBy("doc_id", "row").agg(F.collect_set(named).alias("pieces"))
-    once = written(search(_with_words(documents, wanted)), "first-search")
+    wanted = written_alone(counted.groupBy("doc_id", "row").agg(F.collect_set(named).alias("pieces")), "wanted")
+    once = written_alone(search(_with_words(documents, wanted)), "first-search")
     again = once.where("words is not null").select(
         F.xxhash64("words").alias("key"), F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"), "doc_id", "row", F.col("begin").alias("start"), "words"
     )
@@ -248,9 +248,9 @@ def remove_repeated(documents: DataFrame) -> DataFrame:
     doc_id: windows at the same start of such rows do not remove each other.  Null and empty texts have no words; an
     empty table gives an empty one; other columns are ignored, whatever their names.
     """
-    marked = documents.select("doc_id", "text", F.xxhash64("text").alias("row"))
+    marked = documents.select("doc_id", "text", F.hash("text").alias("row"))
     intervals = repeated_intervals(marked)
-    lists = written(intervals.groupBy("doc_id", "row").agg(F.collect_set(F.struct("begin", "stop")).alias("cuts")), "repeated")
+    lists = written_alone(intervals.groupBy("doc_id", "row").agg(F.collect_set(F.struct("begin", "stop")).alias("cuts")), "repeated")
     cuts = lists.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "cuts")
     joined = marked.join(cuts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left").select("doc_id", "text", "cuts")
 

@@ -145,9 +145,9 @@ def find_items(documents: DataFrame, benchmark: DataFrame, similarity: float = 0
     enough = F.col("n") >= F.ceil(F.round(F.col("m") * F.lit(similarity), 9))
     starts = places.join(grams, ["gram", "width"]).where(enough).groupBy("doc_id", "text_key", "width", "len", "m")
     starts = starts.agg(F.collect_set(F.greatest(F.lit(0), F.least(F.col("pos"), F.col("n") - F.col("m")))).alias("starts"))
-    cut = F.transform("starts", lambda s: F.struct(s.alias("start"), F.slice("all", s + 1, F.col("m")).alias("bag")))
-    windows = starts.join(arrays, ["doc_id", "text_key", "width"]).select("doc_id", "text_key", "len", F.explode(cut).alias("x"))
-    windows = written(windows.select("doc_id", "text_key", "len", "x.start", "x.bag").distinct(), "windows")
+    # One row per start before any window is cut: no row holds more than its text and one window.
+    placed = starts.join(arrays, ["doc_id", "text_key", "width"]).select("doc_id", "text_key", "len", "m", "all", F.explode("starts").alias("start"))
+    windows = written(placed.select("doc_id", "text_key", "len", "start", F.slice("all", F.col("start") + 1, F.col("m")).alias("bag")).distinct(), "windows")
 
     place = ["doc_id", "text_key", "len", "start"]
     probe = simhash(windows, place).select(*place, "fp", F.explode(_block_keys(F.col("fp"), 0)).alias("k")).select(*place, "fp", "k.block", "k.value")

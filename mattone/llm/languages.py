@@ -8,7 +8,6 @@ PENALTY * log(trigrams) / 2, the price of a proportion.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ STEPS = 12
 PENALTY = 4.0
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 0x20
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -140,7 +138,7 @@ def language_mixtures(documents: DataFrame, languages: Languages) -> DataFrame:
         for piece in slices(batches, most=1 << 19):
             texts = piece.column("text")
             share = languages.mixtures(texts) if languages.names else np.zeros((len(texts), 1))
-            known = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()]) & (share.max(axis=1) > 0)
+            known = np.array([any(map(str.isalpha, t or "")) for t in texts.to_pylist()], bool) & (share.max(axis=1) > 0)
             top = share.argmax(axis=1)
             names = [languages.names[t] if k else UNKNOWN for t, k in zip(top, known)]
             maps = [[(languages.names[j], float(row[j])) for j in np.flatnonzero(row)] if k else [] for row, k in zip(share, known)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +13,9 @@ from mattone.llm import near_duplicates as nd
 from mattone.llm.scratch import fold
 from mattone.session import work_folder
 
-# Vocabularies of public tokenizers, read on the driver.
-TOKENIZERS = "/opt/tokenizers"
+# Vocabulary files of public tokenizers, read on the driver.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "shards")
-    wavelet.write_shards(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", path)
+    wavelet.write_shards(table(spark, sf_dir, "documents"), BYTE_BPE, path)
     return wavelet.documents_of(wavelet.read_shards(spark, path))
 
 
@@ -127,23 +129,23 @@ dg AS MATERIALIZED (
   SELECT doc_id, n, width, p, array_to_string(w[p + 1:p + width], ' ') AS g
   FROM (SELECT doc_id, w, len(w) AS n, width, unnest(range(0, len(w) - width + 1)) AS p FROM d, (SELECT DISTINCT width FROM i) WHERE len(w) >= width)),
 h AS MATERIALIZED (
-  SELECT dg.doc_id, ig.item_id, ig.m, ig.c, dg.p, dg.g, dg.n - ig.len AS last
-  FROM dg JOIN ig ON ig.g = dg.g AND ig.width = dg.width WHERE dg.n >= ig.len),
+  SELECT dg.doc_id, ig.item_id, ig.m, ig.c, dg.p, dg.g, greatest(dg.n - ig.len, 0) AS last, least(dg.n - dg.width + 1, ig.m) AS own
+  FROM dg JOIN ig ON ig.g = dg.g AND ig.width = dg.width WHERE dg.n - dg.width + 1 >= ceil(round(0.8 * ig.m, 9))),
 s AS MATERIALIZED (
-  SELECT DISTINCT doc_id, item_id, m, start
-  FROM (SELECT doc_id, item_id, m, unnest(range(greatest(p - m + 1, 0), least(p, last) + 1)) AS start FROM h)),
+  SELECT DISTINCT doc_id, item_id, m, own, start
+  FROM (SELECT doc_id, item_id, m, own, unnest(range(greatest(p - m + 1, 0), least(p, last) + 1)) AS start FROM h)),
 b AS (
-  SELECT s.doc_id, s.item_id, s.m, s.start, least(count(*), h.c) AS c
+  SELECT s.doc_id, s.item_id, s.m, s.own, s.start, least(count(*), h.c) AS c
   FROM s JOIN h ON h.doc_id = s.doc_id AND h.item_id = s.item_id AND h.p BETWEEN s.start AND s.start + s.m - 1
-  GROUP BY s.doc_id, s.item_id, s.m, s.start, h.g, h.c),
-j AS (SELECT doc_id, item_id, start, sum(c)::DOUBLE / (2 * m - sum(c)) AS similarity FROM b GROUP BY doc_id, item_id, m, start)
+  GROUP BY s.doc_id, s.item_id, s.m, s.own, s.start, h.g, h.c),
+j AS (SELECT doc_id, item_id, start, sum(c)::DOUBLE / (own + m - sum(c)) AS similarity FROM b GROUP BY doc_id, item_id, m, own, start)
 SELECT doc_id, item_id, max(similarity) AS similarity FROM j WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 
 
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
 
 
 @query

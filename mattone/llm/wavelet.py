@@ -30,8 +30,8 @@ SHARD_TOKENS = 1 << 21
 END = 0
 BLOCK = 512
 MAGIC = b"WVM1"
-# Entries, of some 200 bytes, of a worker's store of encoded words; a full one is emptied, which changes no result.
-KEPT_WORDS = 1_500_000
+# Bytes of a worker's store of encoded words, each entry counted with ENTRY more; a full one is emptied, which changes no result.
+KEPT_BYTES, ENTRY = 300 << 20, 200
 # New words are handed to the tokenizer in texts of so many, and its ids cut where a word begins.
 JOINED = 256
 
@@ -170,14 +170,16 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.size = 0
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text; none for a null or empty one."""
-        if len(self.kept) + len(self.heads) >= KEPT_WORDS:
+        if self.size >= KEPT_BYTES:
             self.kept.clear()
             self.heads.clear()
+            self.size = 0
         kept, heads = self.kept, self.heads
         cut: list[tuple[list[str], list[str], list[bytes | None]]] = []
         new_heads: set[str] = set()
@@ -207,6 +209,7 @@ class Encoder:
     def _encode_heads(self, new: list[str]) -> None:
         for part, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self.heads[part] = np.array(made.ids, self.kind).tobytes()
+            self.size += ENTRY + len(part) + len(self.heads[part])
 
     def _encode_words(self, new: list[str]) -> None:
         """Words that follow a space, many in one text, cut where their space is."""
@@ -214,6 +217,7 @@ class Encoder:
         size = self.kind().itemsize
         for group, made in zip(groups, self.tokenizer.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(made.ids, self.kind).tobytes()
+            self.size += ENTRY * len(group) + int(sum(map(len, group))) + len(ids)
             begin = np.fromiter((o[0] for o in made.offsets), np.int64, len(made.ids))
             first = np.concatenate([[0], np.cumsum([len(w) + 1 for w in group])])
             cut = (np.searchsorted(begin, first) * size).tolist()

@@ -195,3 +195,24 @@ def test_pipeline(spark):
         left = out
     encoded = corpus_pipeline.run(spark, SMALL)
     assert {r.doc_id for r in encoded.collect()} == {r.doc_id for r in left.collect()}
+
+
+def test_items_and_shorter_texts_equal_sql(spark, tmp_path):
+    """Texts that are an item less some words, an item with words around it, and one changed word, beside the SQL."""
+    words, rng = vocabulary(77)
+    items = [[rng.choice(words) for _ in range(n)] for n in (4, 9, 30, 60)]
+    texts = []
+    for item in items:
+        n = len(item)
+        texts += [item, item[:-1], item[1:], item[: n - n // 10], item[: n // 2], ["before"] + item + ["after"], item[: n // 2] + ["other"] + item[n // 2 + 1 :]]
+    spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    import duckdb
+
+    duck = duckdb.connect()
+    for name in ("benchmark", "documents"):
+        duck.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = sorted(tuple(r) for r in QUERIES["op5_benchmark_decontamination"](spark, str(tmp_path)).collect())
+    want = sorted(duck.sql(ORACLE["op5_benchmark_decontamination"]).fetchall())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and all(abs(g[2] - w[2]) < 1e-12 for g, w in zip(got, want))
+    assert (22, 3) in {g[:2] for g in got}

@@ -201,3 +201,14 @@ def test_normal_equations_are_a_ridge_fit(spark):
     penalty[-1, -1] = 1e-9
     assert model.weights == pytest.approx(np.linalg.solve(z.T @ z + penalty, z.T @ y[~late]), abs=1e-6)
     assert np.mean((model.score(x) > 0.5) == y) > 0.85
+
+
+def test_texts_without_a_letter_have_no_language(spark):
+    """Numerals and signs are no letters, whatever their shape."""
+    from mattone.llm import languages
+
+    rows = [(1, "½ ² ① Ⅷ 123 _"), (2, None), (3, ""), (4, "a"), (5, "ª"), (6, "漢")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    training = spark.createDataFrame([(9, "the cat sat on the mat", "en")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in languages.language_mixtures(docs, languages.fit_languages(training)).collect()}
+    assert [got[i] for i in (1, 2, 3)] == ["und"] * 3 and got[4] == "en"

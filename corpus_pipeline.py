@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mattone.llm import decontamination, near_duplicates, personal_data, pieces, quality
-from mattone.llm.queries import TOKENIZERS
-from mattone.llm.scratch import fold, small_side, written
+from mattone.llm.queries import PIECES
+from mattone.llm.scratch import fold, small_side, written, written_alone
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,14 +20,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` less the doc_ids of ``gone``; rows without a doc_id stay."""
-    return docs.join(small_side(written(gone.select("doc_id").distinct(), "gone")), "doc_id", "left_anti").select(COLUMNS)
+    return docs.join(small_side(written_alone(gone.select("doc_id").distinct(), "gone")), "doc_id", "left_anti").select(COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold stay; without any label nothing can be rejected and all stay."""
     docs = docs.select(COLUMNS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measured = written(quality.measure(docs), "statistics")
+    measured = written_alone(quality.measure(docs), "statistics")
     return quality.accepted(docs, quality.fit_quality(measured, labels, fold(F.col("doc_id"), 4) == 2))
 
 
@@ -51,7 +51,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens) of every document."""
-    return pieces.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.encode(docs, PIECES)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -69,5 +69,5 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written_alone(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

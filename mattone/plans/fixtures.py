@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from mattone.functions import html as H
 from mattone.functions.numbers import last_update, parse_first_int
+from mattone.sources.tables import spread
 from mattone.vocabulary import pairs
 
 
@@ -149,7 +150,7 @@ def listing_texts(spark: SparkSession, sf_dir: str, columns: list[str] | None =
         "o_orderpriority",
     )
     chosen = [F.expr(TEXTS[c].format(s="string")).alias(c) for c in (columns or TEXTS)]
-    return orders.select("k", "o_orderstatus", *chosen)
+    return spread(orders).select("k", "o_orderstatus", *chosen)
 
 
 def fetched_at() -> Column:

@@ -271,7 +271,7 @@ def unknown_terms(spark, sf_dir):
 
 @query
 def harvest_links(spark, sf_dir):
-    cards = harvest.harvest_cards(X.load(spark, sf_dir, "pages"), LINK_LIST)
+    cards = harvest.harvest_cards(tables.read_pages(spark, f"{sf_dir}/pages.parquet"), LINK_LIST)
     return cards.select("page_id", F.col("position").cast("bigint").alias("position"), "link", "title", "source_id", "skip_reason")
 
 
@@ -640,7 +640,7 @@ def stream_insert_ignore(spark, sf_dir):
     tables.insert_ignore(known, path, batch_id="before")
     arriving = _ids_layer(spark, sf_dir).drop("o_orderstatus")
     for copy in ("a", "b"):
-        arriving.withColumn("copy", F.lit(copy)).write.mode("append").parquet(landing)
+        arriving.withColumn("copy", F.lit(copy)).coalesce(1).write.mode("append").parquet(landing)
     source = (
         spark.readStream.schema(arriving.select("*", F.lit("").alias("copy")).schema)
         .option("maxFilesPerTrigger", 1)

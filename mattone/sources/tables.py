@@ -114,6 +114,23 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, out:
     _write(merged.drop(BATCH), out, key, F.lit("0"))
 
 
+# Below so many bytes a table is not worth a shuffle.
+SPREAD_BYTES = 1 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt anew if its files give fewer partitions than the session has cores.
+
+    A file of one row group is one task however many cores there are, and reading pages or texts costs far more than moving
+    their rows.  A table in enough partitions, as any large one, stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Write a result as the whole content of a table and return that table."""
     df.write.mode("overwrite").parquet(path)
@@ -122,4 +139,4 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Saved pages (page_id, url, html)."""
-    return spark.read.parquet(path).select("page_id", "url", "html")
+    return spread(spark.read.parquet(path).select("page_id", "url", "html"))

@@ -44,12 +44,13 @@ class Node:
     attr: str | None = None
     word: str | None = None
 
-    def opening(self) -> str:
-        """Pattern of the opening tag."""
+    def opening(self, whole: bool = False) -> str:
+        """Pattern of the opening tag; the word stands in the attribute's value or is all of it."""
         name = rf"<{self.tag}(?=[\s>/])"
         if self.attr is None:
             return rf"{name}[^>]*>"
-        return rf'{name}[^>]*\s{self.attr}="[^"]*{re.escape(self.word or "")}[^"]*"[^>]*>'
+        around = "" if whole else '[^"]*'
+        return rf'{name}[^>]*\s{self.attr}="{around}{re.escape(self.word or "")}{around}"[^>]*>'
 
 
 Path = tuple[Node, ...]
@@ -229,7 +230,7 @@ def with_characteristics(
     the end of its run, so a page of n pairs costs n log n, not n squared.
     """
     pairs = definition_pairs(F.col(html), container)
-    sorted_pairs = pages.withColumn("_pairs", F.array_sort(pairs))
+    sorted_pairs = pages.withColumn("_pairs", F.sort_array(pairs))
 
     def ends_run(p: Column, i: Column) -> Column:
         after = F.get(F.col("_pairs"), i + 1)

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mattone.functions import elements as E
 from mattone.functions import html as H
 from mattone.functions.numbers import last_update
 from mattone.functions.text import is_blank, listing_key, none_if_empty, normalize_text, strip
@@ -75,21 +76,64 @@ def ids_of(cards: DataFrame, as_of: Column, keep: list[str] | None = None) -> Da
 ONE_LINE = ("description", "description_title", "fee_text", "price_sqm_text")
 
 
+def with_boxes(pages: DataFrame, layout: H.PageLayout) -> DataFrame:
+    """The elements that hold the fields, each once: outer ones first, then those inside them.
+
+    Reads the columns of ``with_elements``; the two projections name finished columns, so nothing is looked up twice.
+    """
+    outer = {
+        "_title": E.first(layout.title[0]),
+        "_price_box": E.first(layout.price[0]),
+        "_update_box": E.first(layout.update[0]),
+        "_badge_outer": E.first(layout.badge_box[0]),
+        "_description": E.first(layout.description, whole=True),
+        "_costs": E.first(layout.costs, whole=True),
+        "_price_info": E.first(layout.price_info, whole=True),
+        "_features": E.select(layout.features),
+        "_boxes": E.select(layout.location_box),
+        "_heading": E.select(layout.description_title[0]),
+        "_text_box": E.select(layout.description_text[0]),
+    }
+    found = pages.withColumns(outer)
+
+    def inner(node: H.Node, box: str) -> Column:
+        return F.get(E.within(E.select(node), F.col(box)), F.lit(0))
+
+    found = found.withColumns(
+        {
+            "_price": inner(layout.price[1], "_price_box"),
+            "_update": inner(layout.update[1], "_update_box"),
+            "_badge_list": inner(layout.badge_box[1], "_badge_outer"),
+            "_heading": F.get(E.within(F.col("_heading"), F.col("_description")), F.lit(0)),
+            "_text_box": F.get(E.within(F.col("_text_box"), F.col("_description")), F.lit(0)),
+            "_places": E.within_any(E.select(layout.location[0]), F.col("_boxes")),
+        }
+    )
+    found = found.withColumns({"_text": inner(layout.description_text[1], "_text_box"), "_items": E.within(E.select(layout.badge[0]), F.col("_badge_list")), "_labels": E.select(layout.badge[1])})
+    # The first label of each item.
+    first = F.transform("_items", lambda item: F.get(E.within(F.col("_labels"), item), F.lit(0)))
+    return found.withColumn("_labels", F.filter(first, lambda e: e.isNotNull()))
+
+
 def page_fragments(html: str, layout: H.PageLayout) -> dict[str, Column]:
-    """Markup around each field; the three tracked sections are columns of their own."""
-    page = F.col(html)
+    """Markup around each field, from the columns of ``with_boxes``."""
+    icon = rf'(?s)<svg(?=[\s>]).*?<use[^>]*\shref="{re.escape(layout.luxury_icon)}"'
+    word = rf"^span(?=[\s>])[^>]*>[^<]*{H.LUXURY_WORD}"
+    spelled = F.exists("pieces", lambda p: p.contains(H.LUXURY_WORD) & p.rlike(word))
+    shown = F.exists("_features", lambda e: E.inside(e).rlike(icon))
     return {
-        "page_title": H.fragment(page, layout.title),
-        "price_text": H.fragment(page, layout.price),
-        "location_parts": H.location_fragments(page, layout),
-        "description_title": H.fragment(F.col("_description"), layout.description_title),
-        "description": H.fragment(F.col("_description"), layout.description_text),
-        "update_text": H.fragment(page, layout.update),
-        "badges": H.badge_fragments(page, layout),
-        "energy_text": H.energy_attr(page, layout.energy_attr),
-        "fee_text": H.labelled_fragment(F.col("_costs"), H.FEE_LABEL),
-        "price_sqm_text": H.labelled_fragment(F.col("_price_info"), H.SQM_LABEL),
-        "luxury": H.luxury_flag(page, layout),
+        "page_title": E.inside(F.col("_title")),
+        "price_text": E.inside(F.col("_price")),
+        "location_parts": F.transform("_places", lambda e: E.inside(e)),
+        "description_title": E.inside(F.col("_heading")),
+        "description": E.inside(F.col("_text")),
+        "update_text": E.inside(F.col("_update")),
+        "badges": F.transform("_labels", lambda e: E.inside(e)),
+        "energy_text": H.energy_attr(F.col(html), layout.energy_attr),
+        "fee_text": H.labelled_fragment(F.col("_costs_html"), H.FEE_LABEL),
+        "price_sqm_text": H.labelled_fragment(F.col("_price_html"), H.SQM_LABEL),
+        # Plain search first: few pages show the icon at all.
+        "luxury": F.when(F.col(html).contains(layout.luxury_icon), F.when(spelled & shown, True)),
     }
 
 
@@ -105,18 +149,13 @@ def page_problem() -> Column:
 def read_listing_pages(pages: DataFrame, html: str = "html", layout: H.PageLayout = H.LISTING_PAGE) -> DataFrame:
     """Listing pages to raw fields: the input of ``build_details``, in narrow steps without a shuffle.
 
-    Sections, markup, visible text and normalised text are four projections, so that
+    Elements, boxes, markup, visible text and normalised text are projections of their own, so that
     each step names a finished column instead of computing it anew.
     """
     keep = [c for c in pages.columns if c != html]
     mapped = H.with_characteristics(pages, html, "characteristics", layout.characteristic)
-    sections = mapped.withColumns(
-        {
-            "_description": H.section(F.col(html), layout.description),
-            "_costs": H.section(F.col(html), layout.costs),
-            "_price_info": H.section(F.col(html), layout.price_info),
-        }
-    )
+    boxes = with_boxes(E.with_elements(mapped, html), layout)
+    sections = boxes.withColumns({"_costs_html": none_if_empty(E.inside(F.col("_costs"))), "_price_html": none_if_empty(E.inside(F.col("_price_info")))})
     marked = page_fragments(html, layout)
     found = sections.select(*keep, "characteristics", *[c.alias(n) for n, c in marked.items()])
     plain = ("page_title", "price_text", "update_text", *ONE_LINE)

@@ -108,8 +108,12 @@ def within(inner: Column, outer: Column) -> Column:
 
 
 def within_any(inner: Column, outer: Column) -> Column:
-    """Those of the inner elements that lie in any of the outer ones."""
-    return F.filter(inner, lambda e: F.exists(outer, lambda o: holds(o, e)))
+    """Those of the inner elements that lie in any of the outer ones.
+
+    Naming the outer ones twice keeps them a finished column: Spark would move an expression named once into the inner loop.
+    """
+    found = F.filter(inner, lambda e: F.exists(outer, lambda o: holds(o, e)))
+    return F.when(F.size(outer) > 0, found).otherwise(F.slice(inner, 1, 0))
 
 
 def inside(element: Column, pieces: str = "pieces") -> Column:
@@ -133,3 +137,12 @@ def select_path(pages: DataFrame, path: Path, out: str) -> DataFrame:
         deeper = found.withColumn("_deeper", select(node))
         found = deeper.withColumn(out, within_any(F.col("_deeper"), F.col(out))).drop("_deeper")
     return found
+
+
+def listed(pages: DataFrame, columns: list[str], elements: str = "elements") -> DataFrame:
+    """One row per struct of an array column, its fields beside ``columns``.
+
+    An outer generator and a filter on its result: from a plain one Spark infers a filter on the array's size, which it would
+    push below the scan of the page and so compute every step of it again, many times over.
+    """
+    return pages.select(*columns, F.inline_outer(elements)).where(F.col("begin").isNotNull())

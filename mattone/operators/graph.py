@@ -1,8 +1,9 @@
-"""Similarity graph of at most two hops over ``nodes(id, text)`` and ``edges(src, dst, score)``.
+"""Similarity graph over ``nodes(id, text)`` and ``edges(src, dst, score)``: walks of two hops, or of any number.
 
 Edges are directed and unique per (src, dst); the path queries walk them both ways.
 A walk of two hops never uses one edge twice as long as it does not end where it
-started, so no edge bookkeeping is needed.
+started, so ``hops`` needs no edge bookkeeping; ``walks`` and ``shortest_walks`` take one round per hop, each
+written as a table, so that a lost executor repeats one round and no plan grows with the length.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mattone.operators.joins import first_per_key
+from mattone.session import work_folder
 
 STRONG = 0.7
 
@@ -101,15 +103,101 @@ def hops(edges: DataFrame, starts: DataFrame) -> DataFrame:
     return one.unionByName(two.withColumn("distance", F.lit(2)))
 
 
-def neighbourhood(nodes: DataFrame, edges: DataFrame, starts: DataFrame) -> DataFrame:
-    """Best summed score per (start, node, distance) with the node's text."""
-    total = F.when(F.col("distance") == 1, F.col("score1")).otherwise(F.col("score1") + F.col("score2"))
-    best = (
-        hops(edges, starts)
-        .select("start", "node", "distance", total.alias("total"))
-        .groupBy("start", "node", "distance")
-        .agg(F.max("total").alias("score"))
+def _round(df: DataFrame) -> DataFrame:
+    """The rows of one hop, stored for the next one."""
+    path = work_folder(df.sparkSession, "walks")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def walks(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
+    """(start, node, distance, walk, scores): every walk of 1 to ``most`` steps from the ids of ``starts`` that uses no edge twice
+    and ends elsewhere; ``walk`` lists the nodes on the way.
+
+    All walks are listed, as many as there are; for the best or the nearest ones only, ask ``neighbourhood`` or ``shortest_walks``.
+    """
+    if most < 1:
+        raise ValueError("a walk has at least one step")
+    s = steps(edges).select("a", "b", F.col("score"), F.struct("src", F.when(F.col("src") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("dst")).alias("edge"))
+    kinds = s.schema
+    at = starts.select(F.col("id").alias("start")).distinct().select(
+        "start",
+        F.col("start").alias("node"),
+        F.array("start").alias("walk"),
+        F.array().cast(T.ArrayType(kinds["score"].dataType)).alias("scores"),
+        F.array().cast(T.ArrayType(kinds["edge"].dataType)).alias("used"),
     )
+    out = None
+    for distance in range(1, most + 1):
+        moved = at.join(s, F.col("node") == F.col("a")).where(~F.array_contains("used", F.col("edge")))
+        at = _round(
+            moved.select(
+                "start",
+                F.col("b").alias("node"),
+                F.array_append("walk", F.col("b")).alias("walk"),
+                F.array_append("scores", F.col("score")).alias("scores"),
+                F.array_append("used", F.col("edge")).alias("used"),
+            )
+        )
+        ended = at.where("node <> start").select("start", "node", F.lit(distance).alias("distance"), "walk", "scores")
+        out = ended if out is None else out.unionByName(ended)
+    return out
+
+
+def shortest_walks(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
+    """(start, node, distance, walk, scores): one shortest walk of at most ``most`` steps per start and other node.
+
+    Each round moves on only from the nodes first reached in the last one; of several ways to a node the one over the smallest node before
+    it is kept, then over the smallest edge.  That choice is a minimum each task takes on its own rows first, so a hub costs as many rows
+    as it has edges, once per start.  The rounds end early when nothing new is reached.
+    """
+    if most < 1:
+        raise ValueError("a walk has at least one step")
+    s = steps(edges).withColumnRenamed("src", "via")
+    first = starts.select(F.col("id").alias("start")).distinct()
+    none = F.array().cast(T.ArrayType(s.schema["score"].dataType))
+    rounds = [_round(first.select("start", F.col("start").alias("node"), F.lit(0).alias("distance"), F.array("start").alias("walk"), none.alias("scores")))]
+    for distance in range(1, most + 1):
+        known = rounds[0].select("start", "node")
+        for earlier in rounds[1:]:
+            known = known.union(earlier.select("start", "node"))
+        moved = rounds[-1].join(s, F.col("node") == F.col("a")).select(
+            "start", F.col("b").alias("node"), F.struct(F.col("node").alias("before"), "via", "score", "walk", "scores").alias("way")
+        )
+        fresh = moved.join(known, ["start", "node"], "left_anti").groupBy("start", "node").agg(F.min("way").alias("way"))
+        reached = _round(
+            fresh.select(
+                "start",
+                "node",
+                F.lit(distance).alias("distance"),
+                F.array_append("way.walk", F.col("node")).alias("walk"),
+                F.array_append("way.scores", F.col("way.score")).alias("scores"),
+            )
+        )
+        if reached.isEmpty():
+            break
+        rounds.append(reached)
+    out = rounds[0].where("distance > 0")
+    for reached in rounds[1:]:
+        out = out.unionByName(reached)
+    return out
+
+
+def strong_walks(nodes: DataFrame, edges: DataFrame, starts: DataFrame, above: float = STRONG, most: int = 2) -> DataFrame:
+    """``shortest_walks`` over edges scored above the bound, between known nodes, with the text of the node reached."""
+    found = shortest_walks(edges.where(F.col("score") > above), starts, most)
+    return found.join(nodes.select(F.col("id").alias("node"), F.col("text").alias("node_text")), "node")
+
+
+def neighbourhood(nodes: DataFrame, edges: DataFrame, starts: DataFrame, most: int = 2) -> DataFrame:
+    """Best summed score per (start, node, distance) over walks of at most ``most`` steps, with the node's text."""
+    if most == 2:
+        total = F.when(F.col("distance") == 1, F.col("score1")).otherwise(F.col("score1") + F.col("score2"))
+        scored = hops(edges, starts).select("start", "node", "distance", total.alias("total"))
+    else:
+        total = F.aggregate("scores", F.lit(0.0), lambda sum_, x: sum_ + x)
+        scored = walks(edges, starts, most).select("start", "node", "distance", total.alias("total"))
+    best = scored.groupBy("start", "node", "distance").agg(F.max("total").alias("score"))
     texts = nodes.select(F.col("id").alias("node"), "text")
     return best.join(texts, "node").select("start", "node", "text", "distance", "score")
 

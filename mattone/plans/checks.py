@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from mattone.plans.fixtures import CHARACTERISTICS, duck_similar, duck_texts
-from mattone.plans.queries import MAPPING_SAMPLE, SEED, START
+from mattone.functions.elements import VOID
+from mattone.plans.queries import FAR, FARTHEST, MAPPING_SAMPLE, SEED, START
 from mattone.vocabulary import VOCABULARY, pairs
 
 _VOCAB = "WITH vocab(domain, label, code) AS (VALUES " + ", ".join(f"('{d}', '{t}', '{c}')" for d, t, c in VOCABULARY) + ") "
@@ -225,6 +226,43 @@ def _merged(url: str, changes: dict[str, str], added: list[tuple[str, str]]) ->
     )
 
 
+_EDGE = "concat_ws('>', s.via, CASE WHEN s.via = s.a THEN s.b ELSE s.a END)"
+_FAR = (
+    f"WITH RECURSIVE {_EDGES}, w(start, node, distance, used, total) AS (SELECT '{START}', '{START}', 0, []::VARCHAR[], 0::DOUBLE UNION ALL "
+    f"SELECT w.start, s.b, w.distance + 1, list_append(w.used, {_EDGE}), w.total + s.score FROM w JOIN walk s ON s.a = w.node "
+    f"WHERE w.distance < {FAR} AND NOT list_contains(w.used, {_EDGE})) "
+    "SELECT w.start, w.node, concat_ws(' ', d.lang, d.source) AS text, cast(w.distance AS bigint) AS distance, round(max(w.total), 6) AS score "
+    "FROM w JOIN documents d ON cast(d.doc_id AS varchar) = w.node WHERE w.node <> w.start GROUP BY ALL"
+)
+_STRONG_EDGES = _EDGES.replace("FROM edges UNION", "FROM edges WHERE score > 0.7 UNION").replace("WHERE src <> dst", "WHERE src <> dst AND score > 0.7")
+_STRONG_FAR = (
+    f"WITH RECURSIVE {_STRONG_EDGES}, r(start, node, distance) AS (SELECT DISTINCT cast(doc_id AS varchar), cast(doc_id AS varchar), 0 FROM labels UNION "
+    f"SELECT r.start, s.b, r.distance + 1 FROM r JOIN walk s ON s.a = r.node WHERE r.distance < {FARTHEST}), "
+    "d AS MATERIALIZED (SELECT start, node, min(distance) AS distance FROM r GROUP BY ALL), "
+    "b AS MATERIALIZED (SELECT start, node, distance, before, score FROM (SELECT y.start, y.node, y.distance, x.node AS before, s.score, "
+    "row_number() OVER (PARTITION BY y.start, y.node ORDER BY x.node, s.via) AS k "
+    "FROM d y JOIN walk s ON s.b = y.node JOIN d x ON x.start = y.start AND x.node = s.a AND x.distance = y.distance - 1) q WHERE k = 1), "
+    "p(start, node, distance, walk, score) AS (SELECT start, node, 0, start, 0::DOUBLE FROM d WHERE distance = 0 UNION ALL "
+    "SELECT b.start, b.node, b.distance, p.walk || '>' || b.node, p.score + b.score FROM p JOIN b ON b.start = p.start AND b.before = p.node AND b.distance = p.distance + 1) "
+    "SELECT p.start, p.node, cast(p.distance AS bigint) AS distance, p.walk, round(p.score, 6) AS score, concat_ws(' ', n.lang, n.source) AS node_text "
+    "FROM p JOIN documents n ON cast(n.doc_id AS varchar) = p.node WHERE p.distance > 0"
+)
+_VOID = ", ".join(f"'{t}'" for t in VOID)
+_ELEMENTS = rf"""
+WITH t AS (SELECT page_id, string_split(html, '<') AS w FROM pages),
+p AS (SELECT page_id, len(w) AS size, unnest(w) AS piece, unnest(range(0, len(w))) AS pos FROM t),
+g AS (SELECT page_id, size, pos, lower(regexp_extract(piece, '^/?([A-Za-z][A-Za-z0-9]*)[\s>/]', 1)) AS tag, starts_with(piece, '/') AS closing,
+      regexp_matches(piece, '^[^>]*/>') AS self FROM p WHERE pos > 0),
+e AS (SELECT page_id, size, pos, tag, closing FROM g WHERE tag <> '' UNION ALL
+      SELECT page_id, size, pos, tag, true FROM g WHERE tag <> '' AND NOT closing AND (self OR tag IN ({_VOID}))),
+r AS (SELECT *, sum(CASE WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, tag ORDER BY pos, closing ROWS UNBOUNDED PRECEDING) AS after,
+      sum(CASE WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY pos, closing ROWS UNBOUNDED PRECEDING) AS depth FROM e),
+m AS (SELECT *, lead(pos) OVER k AS next_pos, lead(closing) OVER k AS next_closing
+      FROM (SELECT *, CASE WHEN closing THEN after + 1 ELSE after END AS level FROM r) WINDOW k AS (PARTITION BY page_id, tag, level ORDER BY pos, closing)),
+x AS MATERIALIZED (SELECT page_id, size, tag, depth, pos AS "begin", CASE WHEN next_closing THEN next_pos ELSE size END AS stop FROM m WHERE NOT closing)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sqm_text, sqm = _sqm("price_sqm_text")
     not_finished = f"FROM {duck_texts()} t WHERE o_orderstatus"
@@ -393,6 +431,14 @@ def oracle_sql() -> dict[str, str]:
         "strong_paths_all": _STRONG + f"SELECT * EXCLUDE (start_text) FROM best WHERE start IN {_WANTED}",
         "neighbourhood": _NEIGHBOURS.format(where=f"WHERE h.start = '{START}'"),
         "neighbourhood_all": _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}"),
+        "neighbourhood_far": _FAR,
+        "strong_walks_far": _STRONG_FAR,
+        "page_elements": _ELEMENTS + 'SELECT page_id, tag, count(*) AS n, max(depth)::BIGINT AS deepest, count(*) FILTER (stop = size) AS unclosed, '
+        'min("begin")::BIGINT AS first, sum(stop - "begin")::BIGINT AS span FROM x GROUP BY page_id, tag',
+        "element_path": _ELEMENTS + "SELECT page_id, first::BIGINT AS \"begin\", md5(regexp_replace(w[first + 1], '^[^>]*>', '') || "
+        "CASE WHEN stop - first > 1 THEN '<' || array_to_string(w[first + 2:stop], '<') ELSE '' END) AS html_md5 "
+        "FROM (SELECT page_id, x.\"begin\" AS first, stop FROM x WHERE tag = 'p' AND EXISTS (SELECT 1 FROM x a WHERE a.page_id = x.page_id AND a.tag = 'article' "
+        "AND a.\"begin\" < x.\"begin\" AND x.stop <= a.stop)) q JOIN t USING (page_id)",
         "paths_json": _STRONG + "SELECT concat_ws('>', start, mid, node) AS walk, concat_ws('>', start_text, mid_text, node_text) AS texts, "
         f"round(score1 + coalesce(score2, 0), 6) AS score FROM best WHERE start IN {_WANTED}",
         "neighbours_csv": "SELECT start, text AS \"feedbackText\", distance, score FROM (" + _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}") + ") q",

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mattone.functions import elements as E
 from mattone.functions import html as H
 from mattone.functions import numbers as N
 from mattone.functions import text as T
@@ -26,6 +27,8 @@ QUERIES: dict[str, Query] = {}
 START = "7"
 MAPPING_SAMPLE = 3000
 SEED = "42"
+# Hops of the longer graph queries.
+FAR, FARTHEST = 4, 6
 LINK_LIST = H.CardLayout(card=H.Node("li"), href_word="")
 
 
@@ -282,6 +285,29 @@ def page_articles(spark, sf_dir):
     return pages.select("page_id", H.first_text(F.col("html"), (H.Node("h1"),)).alias("heading"), (F.size(F.split("html", "<p>")) - 1).cast("bigint").alias("n_paragraphs"))
 
 
+@query
+def page_elements(spark, sf_dir):
+    """Elements of the saved pages per tag: how many, how deep, how many never closed, and the pieces they span."""
+    table = E.with_elements(tables.read_pages(spark, f"{sf_dir}/pages.parquet"))
+    each = E.listed(table.withColumn("size", F.size("pieces")), ["page_id", "size"])
+    return each.groupBy("page_id", "tag").agg(
+        F.count("*").alias("n"),
+        F.max("depth").cast("bigint").alias("deepest"),
+        F.count_if(F.col("end") == F.col("size")).alias("unclosed"),
+        F.min("begin").cast("bigint").alias("first"),
+        F.sum(F.col("end") - F.col("begin")).alias("span"),
+    )
+
+
+@query
+def element_path(spark, sf_dir):
+    """Markup inside every paragraph of an article, by containment."""
+    table = E.with_elements(tables.read_pages(spark, f"{sf_dir}/pages.parquet"))
+    found = E.select_path(table, (H.Node("article"), H.Node("p")), "found")
+    shown = found.withColumn("found", F.transform("found", lambda e: F.struct(e["begin"].alias("begin"), E.inside(e).alias("html"))))
+    return E.listed(shown, ["page_id"], "found").select("page_id", F.col("begin").cast("bigint").alias("begin"), F.md5("html").alias("html_md5"))
+
+
 @query
 def harvest_cards(spark, sf_dir):
     cards = harvest.harvest_cards(X.result_pages(spark, sf_dir))
@@ -749,6 +775,22 @@ def neighbourhood_all(spark, sf_dir):
     return _neighbours_out(graph.neighbourhood(nodes, edges, _wanted(spark, sf_dir)))
 
 
+@query
+def neighbourhood_far(spark, sf_dir):
+    """Walks of up to four hops from one start."""
+    nodes, edges = _graph(spark, sf_dir)
+    return _neighbours_out(graph.neighbourhood(nodes, edges, _start(nodes), most=FAR))
+
+
+@query
+def strong_walks_far(spark, sf_dir):
+    """Shortest strong walks of up to six hops from every wanted start."""
+    nodes, edges = _graph(spark, sf_dir)
+    found = graph.strong_walks(nodes, edges, _wanted(spark, sf_dir), most=FARTHEST)
+    total = F.round(F.aggregate("scores", F.lit(0.0), lambda sum_, x: sum_ + x), 6)
+    return found.select("start", "node", F.col("distance").cast("bigint").alias("distance"), F.array_join("walk", ">").alias("walk"), total.alias("score"), "node_text")
+
+
 @query
 def paths_json(spark, sf_dir):
     """Strong paths of the wanted starts, written as JSON and read back."""

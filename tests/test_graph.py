@@ -116,3 +116,52 @@ def test_merge_edges(spark):
     new = spark.createDataFrame([(1, 2, 0.7, 1), (1, 2, 0.9, 2), (2, 1, 0.5, 3), (1, 9, 0.4, 4)], "src int, dst int, score double, at int")
     merged = {(r.src, r.dst): r.score for r in graph.merge_edges(old, new, nodes, ["at"]).collect()}
     assert merged == {(1, 2): 0.9, (2, 3): 0.1, (2, 1): 0.5}
+
+
+def far(edges, start, most):
+    """All walks without an edge twice, as (nodes, scores)."""
+    out, at = [], [((start,), (), frozenset())]
+    for _ in range(most):
+        moved = []
+        for nodes, scores, used in at:
+            for i, (a, b, score) in enumerate(edges):
+                if i not in used and nodes[-1] in (a, b):
+                    moved.append(((*nodes, b if nodes[-1] == a else a), (*scores, score), used | {i}))
+        at = moved
+        out += [(n, s) for n, s, _ in at if n[-1] != start]
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 5])
+def test_walks_of_any_length(spark, most):
+    rnd = random.Random(most)
+    pairs = sorted({(rnd.randrange(7), rnd.randrange(7)) for _ in range(11)})
+    edges = [(s, d, round(rnd.random(), 2)) for s, d in pairs]
+    nodes, table = make(spark, edges)
+    ids = [r.id for r in nodes.collect()]
+    want = sorted((i, n[-1], len(s), n, s) for i in ids for n, s in far(edges, i, most))
+    got = graph.walks(table, nodes, most).collect()
+    assert sorted((r.start, r.node, r.distance, tuple(r.walk), tuple(r.scores)) for r in got) == want
+    best = {}
+    for i, node, distance, _, scores in want:
+        best[i, node, distance] = max(best.get((i, node, distance), 0), sum(scores))
+    found = {(r.start, r.node, r.distance): r.score for r in graph.neighbourhood(nodes, table, nodes, most).collect()}
+    assert found.keys() == best.keys() and all(found[k] == pytest.approx(best[k]) for k in best)
+    short = {}
+    for i, node, distance, walk, _ in want:
+        short[i, node] = min(short.get((i, node), (99,)), (distance,))
+    near = {(r.start, r.node): r for r in graph.shortest_walks(table, nodes, most).collect()}
+    assert {k: (r.distance,) for k, r in near.items()} == short
+    for (i, node), r in near.items():
+        before = [w[-2] for a, b, d, w, _ in want if (a, b, d) == (i, node, r.distance)]
+        assert r.walk[0] == i and r.walk[-1] == node and r.walk[-2] == min(before) and len(r.scores) == r.distance
+
+
+def test_a_hub_is_walked_once(spark):
+    """A hub with thousands of leaves and a tail behind it: each node is reached once, none is listed per pair of leaves."""
+    edges = [(0, leaf, 0.9) for leaf in range(1, 3001)] + [(0, 5000, 0.8), (5000, 5001, 0.8), (5001, 5002, 0.8)]
+    nodes, table = make(spark, edges)
+    got = graph.shortest_walks(table, start(nodes, 1), 6).groupBy("distance").count().collect()
+    assert {r.distance: r["count"] for r in got} == {1: 1, 2: 3000, 3: 1, 4: 1}
+    with pytest.raises(ValueError):
+        graph.shortest_walks(table, start(nodes, 1), 0)

@@ -6,6 +6,8 @@ batch; one text is never cut.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,7 +59,25 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces whose texts hold about ``most`` bytes; a longer text is a piece of its own."""
+    """The rows of ``batches`` in pieces whose texts hold about ``most`` bytes; a longer text is a piece of its own.
+
+    After the last one the worker gives back what it no longer needs.
+    """
+    yield from _cut(batches, column, most)
+    give_back()
+
+
+def give_back() -> None:
+    """Return the free memory of this worker, which the next task of whatever step reuses, to the system."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue

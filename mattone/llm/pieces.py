@@ -29,8 +29,10 @@ from mattone.llm.arrays import slices
 
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-# Entries of a worker's stores; a full one is emptied, which costs time and changes no result.
-KEPT_WORDS, KEPT_PAIRS = 1_500_000, 1_000_000
+# Bytes and entries of a worker's stores; a full one is emptied, which costs time and changes no result.
+KEPT_BYTES, KEPT_PAIRS = 128 << 20, 500_000
+# Bytes of an entry besides its texts, and the longest unit that is kept at all.
+ENTRY, LONGEST = 200, 4096
 NORMAL, BYTE = 1, 6
 
 
@@ -49,6 +51,7 @@ class Machine:
     whole: bool
     prefix: bool
     paths: dict[str, bytes] = field(default_factory=dict)
+    n_bytes: int = 0
     pairs: dict[str, dict[str, bool]] = field(default_factory=dict)
     n_pairs: int = 0
     spelling: dict = field(default_factory=dict)
@@ -79,7 +82,7 @@ class Machine:
         return cls(scores, ids, byte_ids, spells, whole, spec.add_dummy_prefix)
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "paths": {}, "pairs": {}, "n_pairs": 0, "spelling": {}}
+        return {**self.__dict__, "paths": {}, "n_bytes": 0, "pairs": {}, "n_pairs": 0, "spelling": {}}
 
     def merged(self, text: str) -> list[str]:
         """``text`` merged from its characters: the best-scored pair first, of equal ones the leftmost."""
@@ -171,13 +174,18 @@ class Machine:
         kept = self.paths
         found = [kept.get(u) for u in units]
         if None in found:
-            if len(kept) >= KEPT_WORDS:
+            if self.n_bytes >= KEPT_BYTES:
                 kept.clear()
+                self.n_bytes = 0
             for i, ids in enumerate(found):
                 if ids is None:
-                    found[i] = kept.get(units[i])
+                    unit = units[i]
+                    found[i] = kept.get(unit)
                     if found[i] is None:
-                        found[i] = kept[units[i]] = self._unit_ids(units[i])
+                        found[i] = self._unit_ids(unit)
+                        if len(unit) <= LONGEST:
+                            kept[unit] = found[i]
+                            self.n_bytes += ENTRY + len(unit) + len(found[i])
         out.frombytes(b"".join(found))
         return out
 

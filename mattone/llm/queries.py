@@ -59,16 +59,17 @@ def _rules_sql() -> str:
         "dup_line_share": "n_dup_lines::DOUBLE / n_lines",
         "repeat_share": "n_repeat_words::DOUBLE / n_words",
     }
-    levels = {"g": "lang, source", "l": "lang", "a": "1"}
-    ranked, limits, tests = [], [], []
-    for rule, slack in rules.SLACK.items():
-        ranked += [f"row_number() OVER (PARTITION BY {by} ORDER BY {rule}) AS {k}_{rule}" for k, by in levels.items()]
-    for rule, slack in rules.SLACK.items():
-        q = {p: f"min({rule}) FILTER (WHERE at_{rule} >= ceil({p} * n))" for p in (0.1, 0.5, 0.9)}
-        limits.append(f"{q[0.5]} - {rules.FENCE} * greatest({q[0.5]} - {q[0.1]}, {slack}) AS low_{rule}, {q[0.5]} + {rules.FENCE} * greatest({q[0.9]} - {q[0.5]}, {slack}) AS high_{rule}")
-        tests.append(f"{rule} BETWEEN low_{rule} AND high_{rule}")
-    at = lambda k: ", ".join(f"{k}_{r} AS at_{r}" for r in rules.SLACK)
-    names = ", ".join(rules.SLACK)
+    long = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {r} AS v FROM b WHERE NOT base_failed" + (f" AND {r} > 0" if r in rules.SPARSE else "") for r in shares)
+    fence = "CASE s.rule " + " ".join(f"WHEN '{r}' THEN {f}" for r, f in rules.FENCE.items()) + " END"
+    at = lambda p: f"min(v) FILTER (WHERE place >= ceil({p} * n))"
+
+    def level(by: str) -> str:
+        ranked = f"SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY v) AS place, count(*) OVER (PARTITION BY {by}) AS n FROM u"
+        return f"(SELECT {by}, n, {at(0.25)} AS low, {at(0.5)} AS mid, {at(0.75)} AS high FROM ({ranked}) GROUP BY {by}, n)"
+
+    limits = ", ".join(f"max(low) FILTER (WHERE rule = '{r}') AS low_{r}, max(high) FILTER (WHERE rule = '{r}') AS high_{r}" for r in shares)
+    tests = [f"coalesce({r} <= high_{r}, true)" if r in rules.SPARSE else f"coalesce({r} BETWEEN low_{r} AND high_{r}, true)" for r in shares]
+    names = ", ".join(f"('{r}')" for r in shares)
     return rf"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -83,20 +84,19 @@ m AS (
   FROM d LEFT JOIN r ON r.doc_id = d.doc_id),
 b AS MATERIALIZED (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {", ".join(f"CASE WHEN n_words > 0 THEN {e} ELSE 0 END AS {r}" for r, e in shares.items())} FROM m),
-k AS MATERIALIZED (
-  SELECT *, count(*) OVER (PARTITION BY lang, source) AS gn, count(*) OVER (PARTITION BY lang) AS ln, count(*) OVER () AS an, {", ".join(ranked)}
-  FROM b WHERE NOT base_failed),
-p AS (SELECT DISTINCT lang, source, gn, ln FROM k),
-x AS (
-  SELECT p.lang, p.source, gn AS n, {names}, {at("g")} FROM p JOIN k USING (lang, source, gn, ln) WHERE p.gn >= {rules.LEAST}
-  UNION ALL
-  SELECT p.lang, p.source, p.ln AS n, {names}, {at("l")} FROM p JOIN k ON k.lang = p.lang WHERE p.gn < {rules.LEAST} AND p.ln >= {rules.LEAST}
-  UNION ALL
-  SELECT p.lang, p.source, an AS n, {names}, {at("a")} FROM p, k WHERE p.gn < {rules.LEAST} AND p.ln < {rules.LEAST}),
-t AS (SELECT lang, source, {", ".join(limits)} FROM x GROUP BY lang, source)
-SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
-       n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND {" AND ".join(tests)} AS kept
-FROM b LEFT JOIN t USING (lang, source)
+u AS MATERIALIZED ({long}),
+g3 AS {level("lang, source, rule")}, g2 AS {level("lang, rule")}, g1 AS {level("rule")},
+p AS (SELECT lang, source, rule FROM (SELECT DISTINCT lang, source FROM b WHERE NOT base_failed), (VALUES {names}) r(rule)),
+s AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, rule ORDER BY near) AS choice FROM (
+    SELECT p.*, 1 AS near, low, mid, high FROM p JOIN g3 ON g3.rule = p.rule AND g3.lang IS NOT DISTINCT FROM p.lang AND g3.source IS NOT DISTINCT FROM p.source WHERE n >= {rules.LEAST}
+    UNION ALL SELECT p.*, 2, low, mid, high FROM p JOIN g2 ON g2.rule = p.rule AND g2.lang IS NOT DISTINCT FROM p.lang WHERE n >= {rules.LEAST}
+    UNION ALL SELECT p.*, 3, low, mid, high FROM p JOIN g1 ON g1.rule = p.rule)),
+f AS (SELECT lang, source, rule, mid - {fence} * (mid - low) - {rules.EPSILON} AS low, mid + {fence} * (high - mid) + {rules.EPSILON} AS high FROM s WHERE choice = 1),
+t AS (SELECT lang, source, {limits} FROM f GROUP BY lang, source)
+SELECT b.doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, b.base_failed, NOT b.base_failed AND {" AND ".join(tests)} AS kept
+FROM b LEFT JOIN t ON t.lang IS NOT DISTINCT FROM b.lang AND t.source IS NOT DISTINCT FROM b.source
 """
 
 

@@ -1,10 +1,12 @@
 """Quality rules with thresholds learnt per language and source from mergeable quantile sketches.
 
-All of it is DataFrame expressions.  Each rule reads one share of a text.  Its median and outer deciles in the
-group (lang, source) come from a KLL sketch; a document is kept if every share lies within FENCE times the distance from the
-median to the decile, or to SLACK if that is larger.  The sketches of a language's sources
-are merged for groups of fewer than LEAST documents, and those of all languages for such languages.
+All of it is DataFrame expressions.  Each rule reads one share of a text.  Median and quartiles of that share in the group
+(lang, source) come from a KLL sketch; a document is kept if every share lies within the rule's FENCE times the distance from the median
+to the quartile on its side, and EPSILON more, so that a group without any spread has a limit too.  Quartiles hold against
+junk in up to a quarter of a group.  Most texts repeat nothing, so a median of all would be 0: the two
+rules for repeats (SPARSE) sketch the texts that repeat something at all.
 
+A rule takes the group's sketch if LEAST documents are in it, else the merged sketch of the language, else that of all languages.
 A source that holds a third of all rows is sketched in SALTS parts that are merged after.
 """
 
@@ -17,12 +19,14 @@ from mattone.llm.scratch import small_side, written
 
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
-FENCE, LEAST, SALTS = 4.0, 50, 32
+LEAST, SALTS = 50, 32
 # Items a sketch holds per level: exact up to so many rows, about 0.3 % of rank beyond.
 SKETCH = 1024
 SPACE = "[\\x20\\x09-\\x0D]+"
-# Distance to the median below which no decile counts, by rule.
-SLACK = {"word_chars_mean": 1.0, "symbol_share": 0.02, "upper_share": 0.05, "dup_line_share": 0.1, "repeat_share": 0.08}
+# Quartile distances from the median to the limit, by rule.
+FENCE = {"word_chars_mean": 8.0, "symbol_share": 8.0, "upper_share": 8.0, "dup_line_share": 4.0, "repeat_share": 4.0}
+SPARSE = {"dup_line_share", "repeat_share"}
+EPSILON = 0.01
 
 
 def words(text: Column) -> Column:
@@ -86,44 +90,58 @@ def _shares() -> dict[str, Column]:
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """(lang, source, and low_ and high_ of each rule), a row per group, learnt from the documents that pass the base rules."""
-    rules = list(SLACK)
-    learnt = measured.where("not base_failed").select("lang", "source", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"), *[c.alias(r) for r, c in _shares().items()])
-    salted = learnt.groupBy("lang", "source", "salt").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, SKETCH).alias(r) for r in rules])
+    """(lang, source, and low_ and high_ of each rule), a row per group, learnt from the documents that pass the base rules.
+
+    A rule that no document of the table informs has null limits.
+    """
+    rules = list(FENCE)
+    shares = [F.when(share > 0, share).alias(r) if r in SPARSE else share.alias(r) for r, share in _shares().items()]
+    learnt = measured.where("not base_failed").select("lang", "source", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"), *shares)
+    counts = [F.count(r).alias(f"n_{r}") for r in rules]
+    salted = learnt.groupBy("lang", "source", "salt").agg(*counts, *[F.kll_sketch_agg_double(r, SKETCH).alias(r) for r in rules])
 
     def merged(parts: DataFrame, *by: str) -> DataFrame:
-        return parts.groupBy(*by).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, SKETCH).alias(r) for r in rules])
+        return parts.groupBy(*by).agg(*[F.sum(f"n_{r}").alias(f"n_{r}") for r in rules], *[F.kll_merge_agg_double(r, SKETCH).alias(r) for r in rules])
 
     groups = written(merged(salted, "lang", "source"), "group-sketches")
     langs = written(merged(groups, "lang"), "language-sketches")
     whole = merged(langs.withColumn("one", F.lit(1)), "one")
 
     def named(level: DataFrame, prefix: str, *by: str) -> DataFrame:
-        return level.select(*by, *[F.col(c).alias(f"{prefix}_{c}") for c in ("n", *rules)])
+        return level.select(*by, *[F.col(c).alias(f"{prefix}_{c}") for r in rules for c in (f"n_{r}", r)])
 
     joined = named(groups, "g", "lang", "source").withColumn("one", F.lit(1))
     l = named(langs, "l", "lang").withColumnRenamed("lang", "l_lang")
     joined = joined.join(l, F.col("lang").eqNullSafe(F.col("l_lang"))).join(named(whole, "a", "one"), "one")
     out = []
-    for r in rules:
-        sketch = F.when(F.col("g_n") >= LEAST, F.col(f"g_{r}")).when(F.col("l_n") >= LEAST, F.col(f"l_{r}")).otherwise(F.col(f"a_{r}"))
-        low, mid, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.1, 0.5, 0.9))
-        out.append((mid - FENCE * F.greatest(mid - low, F.lit(SLACK[r]))).alias(f"low_{r}"))
-        out.append((mid + FENCE * F.greatest(high - mid, F.lit(SLACK[r]))).alias(f"high_{r}"))
+    for r, fence in FENCE.items():
+        sketch = F.when(F.col(f"g_n_{r}") >= LEAST, F.col(f"g_{r}")).when(F.col(f"l_n_{r}") >= LEAST, F.col(f"l_{r}")).when(F.col(f"a_n_{r}") > 0, F.col(f"a_{r}"))
+        low, mid, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
+        out.append((mid - fence * (mid - low) - EPSILON).alias(f"low_{r}"))
+        out.append((mid + fence * (high - mid) + EPSILON).alias(f"high_{r}"))
     return joined.select("lang", "source", *out)
 
 
+def verdicts(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """The measures with ``broken``: the names of the rules whose limits the document's share leaves, a share equal to a limit being within.
+
+    A text that repeats nothing lies within the rules for repeats.
+    """
+    named = limits.withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
+    same = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
+    found = []
+    for rule, share in _shares().items():
+        below = F.lit(False) if rule in SPARSE else share < F.col(f"low_{rule}")
+        found.append(F.when(below | (share > F.col(f"high_{rule}")), F.lit(rule)))
+    return measured.join(named, same, "left").select(*measured.columns, F.array_compact(F.array(*found)).alias("broken"))
+
+
 def judge(documents: DataFrame) -> DataFrame:
-    """The measures of every row and ``kept``: false if base_failed, else whether all shares lie within their group's thresholds.
+    """The measures of every row, ``broken`` (see ``verdicts``) and ``kept``: false if base_failed, else whether no rule is broken.
 
     A null text has no words and fails.  A null lang or source is a group of its own name.  Rows are judged each, a null or
     repeated doc_id included; an empty table gives an empty result; other columns are ignored.
     """
     measured = written(measures(documents), "measures")
-    limits = small_side(written(thresholds(measured), "thresholds")).withColumnRenamed("lang", "t_lang").withColumnRenamed("source", "t_source")
-    same = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
-    within = F.lit(True)
-    for rule, share in _shares().items():
-        within = within & F.coalesce(share.between(F.col(f"low_{rule}"), F.col(f"high_{rule}")), F.lit(True))
-    judged = measured.join(limits, same, "left").withColumn("kept", ~F.col("base_failed") & within)
-    return judged.select(*measured.columns, "kept")
+    judged = verdicts(measured, small_side(written(thresholds(measured), "thresholds")))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mattone.operators.joins import first_per_key
+from mattone.operators.joins import best_per_key, first_per_key
 from mattone.session import work_folder
 
 STRONG = 0.7
@@ -110,6 +110,12 @@ def _round(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _marked_steps(edges: DataFrame) -> DataFrame:
+    """The steps with the edge each belongs to."""
+    dst = F.when(F.col("src") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    return steps(edges).select("a", "b", "score", F.struct("src", dst.alias("dst")).alias("edge"))
+
+
 def walks(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
     """(start, node, distance, walk, scores): every walk of 1 to ``most`` steps from the ids of ``starts`` that uses no edge twice
     and ends elsewhere; ``walk`` lists the nodes on the way.
@@ -118,7 +124,7 @@ def walks(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
     """
     if most < 1:
         raise ValueError("a walk has at least one step")
-    s = steps(edges).select("a", "b", F.col("score"), F.struct("src", F.when(F.col("src") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("dst")).alias("edge"))
+    s = _marked_steps(edges)
     kinds = s.schema
     at = starts.select(F.col("id").alias("start")).distinct().select(
         "start",
@@ -204,9 +210,41 @@ def neighbourhood(nodes: DataFrame, edges: DataFrame, starts: DataFrame, most: i
 
 def rank_neighbours(found: DataFrame) -> DataFrame:
     """Nearest first, best score first; an unknown score counts as the highest, node id breaks ties."""
-    return found.orderBy(
-        F.col("start"), F.col("distance").asc(), F.col("score").desc_nulls_first(), F.col("node").asc()
+    return found.orderBy(F.col("start"), *_ranking())
+
+
+def _ranking() -> list[Column]:
+    return [F.col("distance").asc(), F.col("score").desc_nulls_first(), F.col("node").asc()]
+
+
+def best_neighbours(nodes: DataFrame, edges: DataFrame, starts: DataFrame, k: int, most: int = 2) -> DataFrame:
+    """(start, node, text, distance, score, place): the first k rows of each start in the order of ``rank_neighbours``.
+
+    Nearer rows come first, so a start that has k of them walks no further: a hub costs its own edges, not its whole reach.
+    Each hop's rows are cut to k per start inside the tasks, and texts are read for the rows that stay.  A start with fewer than k
+    rows has all of them; a node without a text of its own is walked through but is no row.
+    """
+    if most < 1 or k < 1:
+        raise ValueError("a walk has at least one step, an answer at least one row")
+    s = _marked_steps(edges)
+    ids = nodes.select(F.col("id").alias("node"))
+    at = starts.select(F.col("id").alias("start")).where(F.col("start").isNotNull()).distinct().select(
+        "start", F.col("start").alias("node"), F.lit(0.0).alias("total"), F.array().cast(T.ArrayType(s.schema["edge"].dataType)).alias("used")
     )
+    held = None
+    for distance in range(1, most + 1):
+        moved = at.join(s, F.col("node") == F.col("a")).where(~F.array_contains("used", F.col("edge")))
+        at = _round(moved.select("start", F.col("b").alias("node"), (F.col("total") + F.col("score")).alias("total"), F.array_append("used", F.col("edge")).alias("used")))
+        ended = at.where("node <> start").join(ids, "node", "left_semi")
+        scored = ended.groupBy("start", "node").agg(F.max("total").alias("score")).withColumn("distance", F.lit(distance))
+        reached = _round(best_per_key(scored, "start", _ranking(), k))
+        held = reached if held is None else held.unionByName(reached)
+        if distance < most:
+            enough = held.groupBy("start").count().where(F.col("count") >= k)
+            at = at.join(enough, "start", "left_anti")
+    texts = nodes.select(F.col("id").alias("node"), "text")
+    best = best_per_key(held, "start", _ranking(), k, "place")
+    return best.join(texts, "node").select("start", "node", "text", "distance", "score", "place")
 
 
 def strong_shortest_paths(nodes: DataFrame, edges: DataFrame, starts: DataFrame, above: float = STRONG) -> DataFrame:

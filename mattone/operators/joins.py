@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -68,6 +68,18 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[Column | str]
     return firsts.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
 
 
+def best_per_key(df: DataFrame, key: str | list[str], order: list[Column], k: int, place: str | None = None) -> DataFrame:
+    """The k first rows of each key by ``order``, which must settle every tie; ``place`` names a column for the place of each.
+
+    Spark limits the window inside each task before the shuffle and again after it, so a key that holds a third of all rows sends k rows
+    per task.  It does so for k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); the rows are the same beyond.
+    """
+    keys = [key] if isinstance(key, str) else key
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    best = df.withColumn(place or "_place", at).where(F.col(place or "_place") <= k)
+    return best if place else best.drop("_place")
+
+
 def row_digest(df: DataFrame) -> Column:
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     return F.xxhash64(*plain)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from mattone.plans.fixtures import CHARACTERISTICS, duck_similar, duck_texts
 from mattone.functions.elements import VOID
-from mattone.plans.queries import FAR, FARTHEST, MAPPING_SAMPLE, SEED, START
+from mattone.plans.queries import BEST, FAR, FARTHEST, MAPPING_SAMPLE, SEED, START
 from mattone.vocabulary import VOCABULARY, pairs
 
 _VOCAB = "WITH vocab(domain, label, code) AS (VALUES " + ", ".join(f"('{d}', '{t}', '{c}')" for d, t, c in VOCABULARY) + ") "
@@ -182,6 +182,7 @@ _NEIGHBOURS = (
     "round(max(CASE h.distance WHEN 1 THEN score1 ELSE score1 + score2 END), 6) AS score "
     "FROM hops h JOIN nodes n ON n.id = h.node {where} GROUP BY h.start, h.node, n.text, h.distance"
 )
+_EXACT = _NEIGHBOURS.replace("round(max(", "max(").replace("END), 6) AS score", "END) AS score")
 _STRONG = (
     f"WITH {_EDGES.replace('FROM edges UNION', 'FROM edges WHERE score > 0.7 UNION').replace('WHERE src <> dst', 'WHERE src <> dst AND score > 0.7')}, {_HOPS}, "
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY start, node ORDER BY distance, mid, via1, via2) AS r FROM hops), "
@@ -432,6 +433,9 @@ def oracle_sql() -> dict[str, str]:
         "neighbourhood": _NEIGHBOURS.format(where=f"WHERE h.start = '{START}'"),
         "neighbourhood_all": _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}"),
         "neighbourhood_far": _FAR,
+        "best_neighbours": "SELECT start, node, text, distance, round(score, 6) AS score, place FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY start ORDER BY distance, score DESC NULLS FIRST, node) AS place FROM ("
+        + _EXACT.format(where=f"WHERE h.start IN {_WANTED}") + f") q) r WHERE place <= {BEST}",
         "strong_walks_far": _STRONG_FAR,
         "page_elements": _ELEMENTS + 'SELECT page_id, tag, count(*) AS n, max(depth)::BIGINT AS deepest, count(*) FILTER (stop = size) AS unclosed, '
         'min("begin")::BIGINT AS first, sum(stop - "begin")::BIGINT AS span FROM x GROUP BY page_id, tag',

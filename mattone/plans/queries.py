@@ -29,6 +29,7 @@ MAPPING_SAMPLE = 3000
 SEED = "42"
 # Hops of the longer graph queries.
 FAR, FARTHEST = 4, 6
+BEST = 3
 LINK_LIST = H.CardLayout(card=H.Node("li"), href_word="")
 
 
@@ -782,6 +783,15 @@ def neighbourhood_far(spark, sf_dir):
     return _neighbours_out(graph.neighbourhood(nodes, edges, _start(nodes), most=FAR))
 
 
+@query
+def best_neighbours(spark, sf_dir):
+    """The first rows of every wanted start's ranking, walked no further than they need."""
+    nodes, edges = _graph(spark, sf_dir)
+    found = graph.best_neighbours(nodes, edges, _wanted(spark, sf_dir), BEST)
+    ranked = found.withColumns({"distance": F.col("distance").cast("bigint"), "score": F.round("score", 6), "place": F.col("place").cast("bigint")})
+    return ranked.select("start", "node", "text", "distance", "score", "place")
+
+
 @query
 def strong_walks_far(spark, sf_dir):
     """Shortest strong walks of up to six hops from every wanted start."""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mattone.operators import graph
+from mattone.operators.joins import best_per_key
 from mattone.sources import files
 from mattone.session import work_folder
 
@@ -165,3 +166,40 @@ def test_a_hub_is_walked_once(spark):
     assert {r.distance: r["count"] for r in got} == {1: 1, 2: 3000, 3: 1, 4: 1}
     with pytest.raises(ValueError):
         graph.shortest_walks(table, start(nodes, 1), 0)
+
+
+@pytest.mark.parametrize("k, most", [(1, 1), (2, 2), (3, 3), (50, 4)])
+def test_best_neighbours_are_the_head_of_the_ranking(spark, k, most):
+    rnd = random.Random(10 * k + most)
+    pairs = sorted({(rnd.randrange(9), rnd.randrange(9)) for _ in range(14)})
+    nodes, table = make(spark, [(s, d, None if n % 5 == 0 else round(rnd.random(), 1)) for n, (s, d) in enumerate(pairs)])
+    nodes = nodes.where("id <> 3")
+    want = {}
+    for r in graph.rank_neighbours(graph.neighbourhood(nodes, table, nodes, most)).collect():
+        rows = want.setdefault(r.start, [])
+        if len(rows) < k:
+            rows.append((r.node, r.text, r.distance, r.score, len(rows) + 1))
+    got = {}
+    for r in graph.best_neighbours(nodes, table, nodes, k, most).orderBy("start", "place").collect():
+        got.setdefault(r.start, []).append((r.node, r.text, r.distance, r.score, r.place))
+    plain = lambda rows: [tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in rows]
+    assert {i: plain(rows) for i, rows in got.items()} == {i: plain(rows) for i, rows in want.items()}
+
+
+def test_best_per_key_is_cut_inside_the_tasks(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS a", "id")
+    best = best_per_key(df, "a", [F.col("id").desc()], 2)
+    plan = best._jdf.queryExecution().sparkPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+    assert sorted((r.a, r.id) for r in best.collect()) == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
+
+
+def test_starts_that_have_enough_walk_no_further(spark, monkeypatch):
+    """A hub with many leaves that lead on: its first k rows are found without walking from any leaf."""
+    edges = [(0, leaf, leaf / 1000) for leaf in range(1, 501)] + [(leaf, 1000 + leaf, 0.5) for leaf in range(1, 501)]
+    nodes, table = make(spark, edges)
+    rounds, kept = [], graph._round
+    monkeypatch.setattr(graph, "_round", lambda df: rounds.append(kept(df)) or rounds[-1])
+    found = graph.best_neighbours(nodes, table, start(nodes, 0), 3, 4).orderBy("place").collect()
+    assert [(r.node, r.distance) for r in found] == [(500, 1), (499, 1), (498, 1)]
+    assert [df.count() for df in rounds] == [500, 3, 0, 0, 0, 0, 0, 0]

@@ -355,6 +355,7 @@ def oracle_sql() -> dict[str, str]:
         "crawl_gate_success": _gate(1_000_000, 80, 0.8),
         "crawl_gate_moves": _gate(1_000_000, 80, 0.1, over="page % 23 = 0", unchanged="page % 17 = 0"),
         "crawl_gate_hot": _gate(1_000_000, 1500, 0.1, "CASE WHEN event_id % 3 = 0 THEN -1 ELSE floor(event_id / 5000) END", "floor(event_id / 10)"),
+        "crawl_gate_unbounded": _gate(1_000_000, 10**9, 0.1, "CASE WHEN event_id % 3 = 0 THEN -1 ELSE floor(event_id / 5000) END", "floor(event_id / 10)"),
         "require_fields": "SELECT id, CASE WHEN address_text IS NULL THEN 'no_location' WHEN trim(description_text) = '' THEN 'no_description' END AS reason "
         + _from("id", "address_text", "description_text"),
         "build_details": _details(page=False),

@@ -11,29 +11,19 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mattone.functions.text import none_if_empty, normalize_text, strip, strip_computed
 
-# The named character references that occur in page text.
-ENTITIES = [
-    ("&nbsp;", "\xa0"),
-    ("&euro;", "€"),
-    ("&agrave;", "à"),
-    ("&egrave;", "è"),
-    ("&eacute;", "é"),
-    ("&igrave;", "ì"),
-    ("&ograve;", "ò"),
-    ("&ugrave;", "ù"),
-    ("&sup2;", "²"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&amp;", "&"),
-]
+# Code points by name of reference, and of the numbers 128 to 159, which pages mean as Windows-1252.
+NAMES = ",".join(f"{name}:{code}" for name, code in {**name2codepoint, "apos": 39}.items())
+WINDOWS = ",".join(f"{code}:{ord(bytes([code]).decode('cp1252'))}" for code in range(128, 160) if code not in (129, 141, 143, 144, 157))
+UNKNOWN = 0xFFFD
+# References that page text mostly has, the ampersand's last: a text with no others is read by plain replacement.
+COMMON = ["nbsp", "euro", "agrave", "egrave", "eacute", "igrave", "ograve", "ugrave", "sup2", "quot", "lt", "gt", "amp"]
 
 
 @dataclass(frozen=True)
@@ -117,11 +107,43 @@ DT = Node("dt")
 DD = Node("dd")
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point given in decimal digits; of none, of a surrogate and beyond Unicode the replacement character."""
+    digits = F.regexp_replace(code, "^0+", "")
+    digits = F.coalesce(F.try_element_at(F.expr(f"str_to_map('{WINDOWS}')"), digits), digits)
+    number = F.when(F.length(digits).between(1, 7), digits.cast("bigint"))
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(UNKNOWN))), 8, "0")), "UTF-32")
+
+
+def _resolved(piece: Column) -> Column:
+    """What followed an ampersand, with the reference it may begin with resolved."""
+    named = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
+    tens = F.regexp_extract(piece, "^#([0-9]+)", 1)
+    hexes = F.regexp_replace(F.regexp_extract(piece, "^#[xX]([0-9A-Fa-f]+)", 1), "^0+", "")
+    code = (
+        F.when(named != "", F.try_element_at(F.expr(f"str_to_map('{NAMES}')"), named))
+        .when(tens != "", tens)
+        .when(piece.rlike("^#[xX][0-9A-Fa-f]"), F.when(F.length(hexes).between(1, 6), F.conv(hexes, 16, 10)).otherwise(F.lit("0")))
+    )
+    rest = F.regexp_replace(piece, "^(?:#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?", "")
+    return F.when(code.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(_character(code), rest))
+
+
 def unescape(c: Column) -> Column:
-    """Character references resolved, the ampersand's last."""
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Character references resolved: those named in HTML 4 and apos, with their semicolon, and all numbers, decimal or hexadecimal, with it or without.
+
+    Each is read once, from left to right: ``&amp;lt;`` is ``&lt;``.  What is no reference stays.
+    """
+
+    def resolved(t: Column) -> Column:
+        pieces = F.transform(F.split(t, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(_resolved(piece)))
+        return F.when(t.contains("&"), F.array_join(pieces, "")).otherwise(t)
+
+    plain = c
+    for name in COMMON:
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+    return F.when(c.rlike(f"&(?!(?:{'|'.join(COMMON)});)"), F.transform(F.array(c), resolved)[0]).otherwise(plain)
 
 
 # What shows nothing, and tags that part words.

@@ -1,5 +1,6 @@
 """Edge rows of every text reading."""
 
+import html
 from datetime import datetime, timezone
 
 import pytest
@@ -123,3 +124,13 @@ def test_split(read):
 
 def test_is_auction(read):
     assert read(H.is_auction, ["Da € 100", "€ 100", None]) == [True, False, None]
+
+
+def test_character_references(spark):
+    """Named and numeric references as the standard library reads them, in one pass."""
+    texts = [
+        "5 &euro; &#8364; &#x20AC; &#X20ac; &#0008364;", "&Egrave; &deg; &hellip; &frac12;", "&amp;lt; &amp;amp;#39; &lt;b&gt;", "it&#39s &#39;", "a & b && &; &# &#; &#x; &nosuch; &",
+        "&#128; &#x9F; &#150;", "&#0; &#xD800; &#1114112; &#99999999999999999999; &#xFFFFFFFFFFFFFFFFFF;", "&#128512;&#x1F600;", "", "no reference",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", H.unescape(F.col("t")).alias("u")).collect()
+    assert [r.u for r in rows] == [html.unescape(t) for t in texts] + [None]

@@ -4,9 +4,9 @@ A text is its bytes and an end byte, each coded as eight binary decisions, high
 decision's context: some bytes before, or the word so far, and the bits already known.  Contexts are hashed to
 slots of 15 decisions per half byte; a slot keeps the log odds of its counts over the training texts,
 0 if it was never met.  The log odds are added up by weights chosen by a gate, the place of the bit in its byte, and the
-sum is the log odds of the bit.  Weights are refined online: after each BLOCK bytes
-by the gradient of the coding cost.  Every SEGMENT bytes of a text start again from START weights, so that
-segments, long texts' ones too, are scored side by side; contexts reach back over such a start.
+sum is the log odds of the bit.  Weights start from START and are refined online through the whole text, after each block
+of bytes by the gradient of the coding cost.  Blocks are BLOCK bytes long at first and grow with the place in the text
+(``blocks``), so a long text takes few rounds; they depend on that place alone, and texts are scored side by side.
 
 Counts of all training texts are gathered: each task sends its counts, which are summed by chunk of a table in two steps.
 The number of slots is fixed for each context, whatever the number of texts.
@@ -14,7 +14,6 @@ The number of slots is fixed for each context, whatever the number of texts.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,15 +35,19 @@ PRIOR = 0.3
 STEP = 1 / 14
 START = (0.10, 0.15, 0.25, 0.40, 0.35)
 RATE = 0.01
+# The gradient of a longer block counts less, by this power of its length.
+DAMPED = 0.75
 # Bits are never surer than this log odds.
 SUREST = 10.0
-BLOCK, SEGMENT = 16, 1024
+# Blocks hold BLOCK bytes, then a sixteenth of the bytes before them, LONGEST at most.
+BLOCK, LONGEST = 16, 1 << 14
 END = 0xFF
 PAD = 5
 # Token counts are broadcast for at most so many tokens, the most frequent ones; the others are joined.
 FREQUENT = 1 << 18
 SALTS = 16
 
+_CODEC = pa.Codec("zstd", 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -113,11 +116,19 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _packed(k, chunk, salt, part)
 
 
+def _squeeze(counts: np.ndarray) -> bytes:
+    return _CODEC.compress(counts.tobytes(), asbytes=True)
+
+
+def _spread(packed: bytes) -> np.ndarray:
+    return np.frombuffer(_CODEC.decompress(packed, 8 * CHUNK, asbytes=True), np.int64)
+
+
 _PACKED = "context int, chunk int, salt int, counts binary"
 
 
 def _packed(context: int, chunk: int, salt: int, counts: np.ndarray) -> pa.RecordBatch:
-    row = [pa.array([context], pa.int32()), pa.array([chunk], pa.int32()), pa.array([salt], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())]
+    row = [pa.array([context], pa.int32()), pa.array([chunk], pa.int32()), pa.array([salt], pa.int32()), pa.array([_squeeze(counts)], pa.binary())]
     return pa.RecordBatch.from_arrays(row, ["context", "chunk", "salt", "counts"])
 
 
@@ -127,7 +138,7 @@ def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             key = row["context"], row["chunk"], row["salt"]
-            counts = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+            counts = _spread(row["counts"])
             if key in total:
                 total[key] += counts
             else:
@@ -146,10 +157,19 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(out / STEP), -127, 127).astype(np.int8).reshape(-1)
 
 
+def blocks(length: int) -> Iterator[tuple[int, int]]:
+    """(begin, size) of the blocks after each of which the weights of a text move; the last may reach beyond its end."""
+    at = 0
+    while at < length:
+        size = min(max(at // (16 * BLOCK) * BLOCK, BLOCK), LONGEST)
+        yield at, size
+        at += size
+
+
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _sum_chunks(batches):
         row = batch.to_pylist()[0]
-        odds = log_odds(np.frombuffer(zlib.decompress(row["counts"]), np.int64))
+        odds = log_odds(_spread(row["counts"]))
         yield pa.RecordBatch.from_arrays([pa.array([row["context"]], pa.int32()), pa.array([row["chunk"]], pa.int32()), pa.array([odds.tobytes()], pa.binary())], ["context", "chunk", "odds"])
 
 
@@ -164,28 +184,24 @@ class Mixer:
         data, begin, end = stream(texts)
         places = [np.stack([at >> 4 for at in pair], axis=1).view(np.int64)[:, 0] for pair in slots(data)]
         rows = [table.view(np.complex128) for table in self.tables]
-        count = -(-(end - begin) // SEGMENT)
-        text = np.repeat(np.arange(len(begin)), count)
-        first = np.repeat(begin, count) + SEGMENT * (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count))
-        last = np.minimum(first + SEGMENT, end[text])
-        order = np.argsort(first - last, kind="stable")
-        text, first, last = text[order], first[order], last[order]
+        order = np.argsort(begin - end, kind="stable")
+        first, last = begin[order], end[order]
         length = last - first
-        bits = np.zeros(len(text))
+        bits = np.zeros(len(order))
         # Weights of quantised log odds, so that the odds need no scaling.
-        weights = np.repeat(np.array(START, np.float32)[:, None, None] * np.float32(STEP), 8, axis=2) * np.ones((1, len(text), 1), np.float32)
-        rate = np.float32(RATE * STEP * STEP)
-        for at in range(0, int(length[0]) if len(length) else 0, BLOCK):
+        weights = np.repeat(np.array(START, np.float32)[:, None, None] * np.float32(STEP), 8, axis=2) * np.ones((1, len(order), 1), np.float32)
+        for at, size in blocks(int(length[0]) if len(length) else 0):
+            rate = np.float32(RATE * STEP * STEP * (BLOCK / size) ** DAMPED)
             live = int(np.searchsorted(-length, -at, side="left"))
-            where = first[:live, None] + np.arange(at, at + BLOCK)
+            where = first[:live, None] + np.arange(at, at + size)
             there = where < last[:live, None]
             where = np.minimum(where, len(data) - 1)
             byte = data[where]
             sign = _SIGN.take(byte, axis=0)
             # A slot is taken as a whole, 16 bytes at once; the decisions' places in what is taken are those of all contexts.
             cell = _CELLS.take(byte, axis=0)
-            cell += np.arange(0, 32 * live * BLOCK, 32).reshape(live, BLOCK, 1)
-            odds = np.empty((ORDERS, live, BLOCK, 8), np.float32)
+            cell += np.arange(0, 32 * live * size, 32).reshape(live, size, 1)
+            odds = np.empty((ORDERS, live, size, 8), np.float32)
             for k, pair in enumerate(places):
                 taken = rows[k].take(pair.take(where).view(np.int32))
                 odds[k] = taken.view(np.int8).take(cell)
@@ -207,7 +223,9 @@ class Mixer:
                 e *= there[..., None]
             for k in range(ORDERS):
                 w[k] += rate * np.einsum("ltb,ltb->lb", e, odds[k])
-        return np.bincount(text, weights=bits, minlength=len(begin)) / np.log(2)
+        out = np.empty(len(order))
+        out[order] = bits / np.log(2)
+        return out
 
 
 def fit_mixer(documents: DataFrame) -> Mixer:

@@ -21,23 +21,22 @@ def slow_cost(mixer, text):
     padded, begin, _ = mixing.stream(pa.array([text]))
     places = list(mixing.slots(padded))
     total = 0.0
-    for seg in range(0, len(data), mixing.SEGMENT):
-        w = np.repeat(np.array(mixing.START, np.float32)[:, None], 8, axis=1)
-        for block in range(seg, min(seg + mixing.SEGMENT, len(data)), mixing.BLOCK):
-            step = np.zeros_like(w)
-            for i in range(block, min(block + mixing.BLOCK, seg + mixing.SEGMENT, len(data))):
-                at, byte = begin[0] + i, data[i]
-                for bit in range(8):
-                    half, shift = divmod(bit, 4)
-                    nibble = byte >> 4 if half == 0 else byte & 15
-                    node = (1 << shift) | (nibble >> (4 - shift))
-                    odds = np.array([mixer.tables[k][places[k][half][at] + node] * np.float32(mixing.STEP) for k in range(mixing.ORDERS)])
-                    y = byte >> (7 - bit) & 1
-                    z = float(np.clip((odds * w[:, bit]).sum(), -mixing.SUREST, mixing.SUREST))
-                    p = 1 / (1 + math.exp(-z))
-                    total -= math.log2(p if y else 1 - p)
-                    step[:, bit] += mixing.RATE * (y - p) * odds
-            w += step
+    w = np.repeat(np.array(mixing.START, np.float32)[:, None], 8, axis=1)
+    for block, size in mixing.blocks(len(data)):
+        step = np.zeros_like(w)
+        for i in range(block, min(block + size, len(data))):
+            at, byte = begin[0] + i, data[i]
+            for bit in range(8):
+                half, shift = divmod(bit, 4)
+                nibble = byte >> 4 if half == 0 else byte & 15
+                node = (1 << shift) | (nibble >> (4 - shift))
+                odds = np.array([mixer.tables[k][places[k][half][at] + node] * np.float32(mixing.STEP) for k in range(mixing.ORDERS)])
+                y = byte >> (7 - bit) & 1
+                z = float(np.clip((odds * w[:, bit]).sum(), -mixing.SUREST, mixing.SUREST))
+                p = 1 / (1 + math.exp(-z))
+                total -= math.log2(p if y else 1 - p)
+                step[:, bit] += mixing.RATE * (mixing.BLOCK / size) ** mixing.DAMPED * (y - p) * odds
+        w += step
     return total
 
 
@@ -48,12 +47,28 @@ def docs(spark):
 
 def test_mixing_against_slow_form(spark, docs):
     mixer = mixing.fit_mixer(docs)
-    texts = ["", "a", docs.first().text[:1500], "Ünï 🎉 zzzzqqqq", "x" * 1024, "the " * 700]
+    texts = ["", "a", docs.first().text[:1500], "Ünï 🎉 zzzzqqqq", "x" * 1024, "the " * 700, " ".join(r.text for r in docs.limit(5).collect())[:6000]]
     fast = mixer.cost(pa.array(texts))
     assert fast == pytest.approx([slow_cost(mixer, t) for t in texts], rel=1e-4)
     assert mixer.cost(pa.array([None, texts[2]])) == pytest.approx([fast[0], fast[2]], rel=1e-6)
 
 
+def test_mixing_blocks_cover_a_text_once():
+    for length in (0, 1, 16, 17, 512, 513, 40_000, 1_000_000):
+        cut = list(mixing.blocks(length))
+        assert all(a + n == b for (a, n), (b, _) in zip(cut, cut[1:])) and sum(n for _, n in cut) >= length
+        assert all(mixing.BLOCK <= n <= mixing.LONGEST and n % mixing.BLOCK == 0 for _, n in cut)
+    assert len(list(mixing.blocks(1_000_000))) < 250
+
+
+def test_weights_are_carried_through_a_text(spark, docs):
+    """What the weights learnt in a text's first half makes its second half cheaper than it is alone."""
+    mixer = mixing.fit_mixer(docs)
+    text = " ".join(r.text for r in docs.orderBy("doc_id").limit(12).collect())[:16_000]
+    whole, half, rest = mixer.cost(pa.array([text, text[:8000], text[8000:]]))
+    assert whole - half < rest
+
+
 def test_mixing_counts(spark, docs):
     """The gathered counts are those of a plain loop, for one context."""
     some = docs.limit(5)

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from mattone.functions.numbers import parse_surface_decimal
 from mattone.functions.text import is_blank, split_address, split_composite, strip, strip_computed
+from mattone.operators.joins import best_per_key
 from mattone.operators.validate import apply_policy, conform, failed_rules
 from mattone.schemas import OTHER_FEATURES, schema_of
+from mattone.session import work_folder
+from mattone.sources.tables import replace_table
 from mattone.vocabulary import SUN_WORD, TV_WORD, WINDOW_WORD, code_for, code_within, pairs
 
 # Layer-3 name of a layer-2 column that only changes its name.
@@ -161,7 +164,48 @@ def unknown_terms(details: DataFrame) -> DataFrame:
     The raw texts are counted first, inside each task before the shuffle, and only
     the distinct ones are then looked up.
     """
-    simple = ("type", "condition", "garden", "furnished", "kitchen")
+    counted = _met_texts(details).groupBy("field", "text").agg(F.count("*").alias("n"))
+    return _unknown(counted).groupBy("field", "term").agg(F.sum("n").alias("n"))
+
+
+# Terms that a sketch tracks per field, and the greatest share of a field's texts that a term outside the sketch's answer can have:
+# its map holds the next power of two of entries, its error is 3.5 texts in as many, and an answer leaves out what may lie within twice that.
+TRACKED = 12_000
+UNSEEN_SHARE = 7 / (1 << 14)
+
+
+def top_unknown_terms(details: DataFrame, k: int) -> DataFrame:
+    """(field, term, n, place): the k unknown terms that each field was met with most often, ties to the smaller term.
+
+    Most terms of a large corpus occur once and are not worth a shuffle.  A mergeable frequent-items sketch per field names candidates, which
+    alone are counted exactly.  The answer of a field stands if its candidates make up all its texts, or if the k-th of them occurs more often than any
+    term outside the sketch's answer can; the terms of other fields are counted as a whole, so the result is exact for any input.
+    """
+    spark = details.sparkSession
+    terms = _unknown(_met_texts(details).withColumn("n", F.lit(1).cast("bigint"))).select("field", "term")
+    sketched = terms.groupBy("field").agg(F.count("*").alias("total"), F.expr(f"approx_top_k(term, {TRACKED}, {TRACKED})").alias("items"))
+    named = replace_table(sketched, work_folder(spark, "sketches"))
+    candidates = named.select("field", F.explode(F.col("items.item")).alias("term"))
+    counts = replace_table(terms.join(candidates, ["field", "term"], "left_semi").groupBy("field", "term").agg(F.count("*").alias("n")), work_folder(spark, "candidates"))
+    order = [F.col("n").desc(), F.col("term")]
+    best = best_per_key(counts, "field", order, k, "place")
+    seen = counts.groupBy("field").agg(F.sum("n").alias("counted"))
+    least = best.where(F.col("place") == k).select("field", F.col("n").alias("kth"))
+    sure = (F.col("counted") == F.col("total")) | (F.col("kth") > F.col("total") * UNSEEN_SHARE)
+    # A row for each of the fixed fields at most.
+    judged = named.select("field", "total").join(seen, "field", "left").join(least, "field", "left")
+    unsure = [r.field for r in judged.where(~F.coalesce(sure, F.lit(False))).select("field").collect()]
+    if not unsure:
+        return best
+    whole = terms.where(F.col("field").isin(unsure)).groupBy("field", "term").agg(F.count("*").alias("n"))
+    return best.where(~F.col("field").isin(unsure)).unionByName(best_per_key(whole, "field", order, k, "place"))
+
+
+_SIMPLE = ("type", "condition", "garden", "furnished", "kitchen")
+
+
+def _met_texts(details: DataFrame) -> DataFrame:
+    """(field, text) of every text that the vocabulary is asked for, null ones left out."""
 
     def met(field: str, text: Column) -> Column:
         return F.struct(F.lit(field).alias("field"), text.alias("text"))
@@ -169,10 +213,14 @@ def unknown_terms(details: DataFrame) -> DataFrame:
     badges = F.coalesce("other_amenities", F.array().cast("array<string>"))
     texts = details.select(
         F.inline(
-            F.concat(F.array(*[met(c, F.col(c)) for c in simple]), F.transform(badges, lambda b: met("badge", b)))
+            F.concat(F.array(*[met(c, F.col(c)) for c in _SIMPLE]), F.transform(badges, lambda b: met("badge", b)))
         )
     )
-    counted = texts.where(F.col("text").isNotNull()).groupBy("field", "text").agg(F.count("*").alias("n"))
+    return texts.where(F.col("text").isNotNull())
+
+
+def _unknown(counted: DataFrame) -> DataFrame:
+    """(n, field, term): the terms of ``counted(field, text, n)`` that the vocabulary does not hold."""
     read = counted.select(
         "field",
         "n",
@@ -199,11 +247,10 @@ def unknown_terms(details: DataFrame) -> DataFrame:
         term("ownership_type", typed & (n > 2), second, _code(second, "ownership")),
         term("property_class", typed & (n == 2) & owner.isNull(), second, _code(second, "class")),
         term("property_class", typed & (n > 2), third, _code(third, "class")),
-        *[term(c, F.col("field") == c, text, _code(text, c)) for c in simple[1:]],
+        *[term(c, F.col("field") == c, text, _code(text, c)) for c in _SIMPLE[1:]],
         term("other_amenities", is_badge, text, F.when(is_recognised(text), "known")),
         term("tv_system", is_badge & is_tv & ~is_sun, text, _code(text, "tv")),
         term("window_glass_type", pane, F.get(panes, F.lit(0)), glass),
         term("window_material", pane, F.get(panes, F.lit(1)), _code(F.get(panes, F.lit(1)), "window_material")),
     ]
-    found = read.select("n", F.inline(F.array_compact(F.array(*terms))))
-    return found.groupBy("field", "term").agg(F.sum("n").alias("n"))
+    return read.select("n", F.inline(F.array_compact(F.array(*terms))))

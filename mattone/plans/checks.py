@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from mattone.plans.fixtures import CHARACTERISTICS, duck_similar, duck_texts
 from mattone.functions.elements import VOID
-from mattone.plans.queries import BEST, FAR, FARTHEST, MAPPING_SAMPLE, SEED, START
+from mattone.plans.queries import BEST, FAR, FARTHEST, MAPPING_SAMPLE, SEED, START, TOP_TERMS
 from mattone.vocabulary import VOCABULARY, pairs
 
 _VOCAB = "WITH vocab(domain, label, code) AS (VALUES " + ", ".join(f"('{d}', '{t}', '{c}')" for d, t, c in VOCABULARY) + ") "
@@ -278,7 +278,7 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT k, 2, NULL, NULL, '', url FROM t"
     )
     source_id = "nullif(regexp_extract(link, '/annunci/([0-9]+)/?$', 1), '')"
-    return {
+    sql = {
         "parse_price": f"SELECT k, price_text, {_PRICE} AS price_eur {_from('price_text')}",
         "parse_price_sqm": f"SELECT k, {sqm_text} AS text, {sqm} AS value {_from('price_sqm_text')}",
         "parse_monthly_fee": f"SELECT k, {_FEE_TEXT} AS text, {_FEE} AS value {_from('fee_text')}",
@@ -378,6 +378,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM listing l JOIN record r ON r.id = l.id "
         "WHERE l.reject_reason IS NULL AND r.property_type IS NOT NULL AND r.contract_type IS NOT NULL "
         "AND regexp_matches(l.url, '/annunci/[0-9]+/?$') AND NOT contains(lower(r.card_text), 'da €')",
+        "pending_bucketed": f"SELECT id, url {_from('id', 'url')} WHERE o_orderstatus <> 'F'",
         "pending_details": f"SELECT id, url {_from('id', 'url')} WHERE o_orderstatus <> 'F'",
         "pending_records": records_todo,
         "sample_pending": f"SELECT * FROM ({records_todo}) q ORDER BY md5('{SEED}' || id), id LIMIT {MAPPING_SAMPLE}",
@@ -448,3 +449,7 @@ def oracle_sql() -> dict[str, str]:
         f"round(score1 + coalesce(score2, 0), 6) AS score FROM best WHERE start IN {_WANTED}",
         "neighbours_csv": "SELECT start, text AS \"feedbackText\", distance, score FROM (" + _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}") + ") q",
     }
+    sql["top_unknown_terms"] = (
+        f"SELECT * FROM (SELECT field, term, n, row_number() OVER (PARTITION BY field ORDER BY n DESC, term) AS place FROM ({sql['unknown_terms']}) u) q WHERE place <= {TOP_TERMS}"
+    )
+    return sql

@@ -17,7 +17,7 @@ from mattone.plans import fixtures as X
 from mattone.plans import jobs
 from mattone.schemas import schema_of
 from mattone.session import work_folder
-from mattone.sources import files, tables
+from mattone.sources import bucketed, files, tables
 from mattone.streaming.layers import stream_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,8 @@ SEED = "42"
 # Hops of the longer graph queries.
 FAR, FARTHEST = 4, 6
 BEST = 3
+TOP_TERMS = 5
+LAYER_BUCKETS = 16
 LINK_LIST = H.CardLayout(card=H.Node("li"), href_word="")
 
 
@@ -270,6 +272,12 @@ def unknown_terms(spark, sf_dir):
     return records.unknown_terms(X.details(spark, sf_dir))
 
 
+@query
+def top_unknown_terms(spark, sf_dir):
+    """The terms that each field was met with most often, from sketches, counted exactly."""
+    return records.top_unknown_terms(X.details(spark, sf_dir), TOP_TERMS).withColumn("place", F.col("place").cast("bigint"))
+
+
 # --- pages -----------------------------------------------------------------------------------
 
 
@@ -528,6 +536,19 @@ def pending_details(spark, sf_dir):
     return joins.pending(ids.select("id", "url"), ids.where("o_orderstatus = 'F'"))
 
 
+@query
+def pending_bucketed(spark, sf_dir):
+    """The same from two stored layers that Spark knows as bucketed alike: neither is shuffled."""
+    ids = _ids(spark, sf_dir).select("id", "url", "o_orderstatus")
+    layers = []
+    for layer, rows in (("ids", ids.select("id", "url")), ("listings", ids.where("o_orderstatus = 'F'").select("id", "url"))):
+        path = work_folder(spark, layer)
+        table = bucketed.open_bucketed(spark, path.rsplit("/", 1)[1].replace("-", "_"), path, rows.schema, buckets=LAYER_BUCKETS)
+        bucketed.insert_ignore_bucketed(rows, table)
+        layers.append(table.read())
+    return joins.pending(*layers)
+
+
 @query
 def pending_records(spark, sf_dir):
     done = X.listing_texts(spark, sf_dir, ["id"]).where("o_orderstatus <> 'P'")

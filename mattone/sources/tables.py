@@ -22,6 +22,8 @@ from mattone.session import work_folder
 
 # Part of a table's layout: the same for as long as the table lives.
 BUCKETS = 32
+# A task writes about so many bytes of a bucket; a larger batch has several tasks and files per bucket.
+PIECE_BYTES = 1 << 27
 
 BUCKET = "bucket"
 BATCH = "batch_id"
@@ -84,23 +86,35 @@ def insert_ignore(
     total, rejected, touched = rows.agg(F.count("*"), F.count_if(F.col(key).isNull()), F.collect_set(F.when(F.col(key).isNotNull(), bucket_of(key)))).first()
     if total == rejected:
         return InsertCounts(0, 0, rejected)
-    own = batch_id or _new_batch_id()
+    own = batch_id or new_batch_id()
     stored = rows.select(*(columns or batch.columns))
     known = read_table(spark, path, stored.schema, touched).where(F.col(BATCH) != own).select(key)
     new = first_per_key(rows.where(F.col(key).isNotNull()), key, order or []).join(known, key, "left_anti").select(*stored.columns)
-    _write(new, path, key, F.lit(own))
+    _write(new, path, key, F.lit(own), pieces_of(rows))
     # Counted from what was written, not from the plan, which would now see its own rows.
     inserted = read_table(spark, path, stored.schema, touched).where(F.col(BATCH) == own).count()
     return InsertCounts(inserted, total - rejected - inserted, rejected)
 
 
-def _write(rows: DataFrame, path: str, key: str, batch: Column) -> None:
-    """Replace the folders of these buckets and this batch; each gets one file or few."""
-    placed = rows.withColumns({BUCKET: bucket_of(key), BATCH: batch}).repartition(BUCKET)
+def pieces_of(rows: DataFrame) -> int:
+    """In how many tasks each bucket of these rows, read from files, is to be written."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return -(-size // (BUCKETS * PIECE_BYTES)) or 1
+
+
+def _write(rows: DataFrame, path: str, key: str, batch: Column, pieces: int = 1) -> None:
+    """Replace the folders of these buckets and this batch; each gets one file per piece, which a range of the key's hash makes up."""
+    placed = rows.withColumns({BUCKET: bucket_of(key), BATCH: batch})
+    if pieces == 1:
+        placed = placed.repartition(BUCKET)
+    else:
+        # The hash's part that the bucket does not use.
+        piece = F.pmod(F.floor(F.xxhash64(key) / BUCKETS), F.lit(pieces))
+        placed = placed.repartition(BUCKETS * pieces, BUCKET, piece)
     placed.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(BUCKET, BATCH).parquet(path)
 
 
-def _new_batch_id() -> str:
+def new_batch_id() -> str:
     """Unique, and later ones sort after earlier ones."""
     return f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
@@ -110,8 +124,8 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, out:
 
     It ends the small files of many batches, and repairs a table that had two writers.
     """
-    merged = first_per_key(read_table(spark, path, schema, buckets), key, [F.col(BATCH)])
-    _write(merged.drop(BATCH), out, key, F.lit("0"))
+    stored = read_table(spark, path, schema, buckets)
+    _write(first_per_key(stored, key, [F.col(BATCH)]).drop(BATCH), out, key, F.lit("0"), pieces_of(stored))
 
 
 # Below so many bytes a table is not worth a shuffle.

@@ -142,3 +142,26 @@ def test_unknown_terms_count_every_badge(spark):
         ("tv_system", "Impianto tv boh"): 1,
         ("property_class", "boh"): 1,
     }
+
+
+def badges_of(spark, many):
+    rows = X.details(spark, SMALL).limit(1).select([c for c in X.details(spark, SMALL).columns if c != "other_amenities"])
+    return rows.crossJoin(spark.createDataFrame([(list(b),) for b in many], "other_amenities array<string>"))
+
+
+@pytest.mark.parametrize("seen", [records.UNSEEN_SHARE, 1.0])
+def test_top_terms_are_exact_whether_the_sketch_suffices_or_not(spark, monkeypatch, seen):
+    """With a share of 1 no sketch can prove an answer unless it holds all texts."""
+    monkeypatch.setattr(records, "UNSEEN_SHARE", seen)
+    monkeypatch.setattr(records, "TRACKED", 50)
+    often = [("common %d" % (i % 7), "rare %d" % i) for i in range(3000)]
+    rows = badges_of(spark, often)
+    whole = records.unknown_terms(rows).collect()
+    expected = sorted((r.field, p + 1, r.term, r.n) for f in {r.field for r in whole} for p, r in enumerate(sorted((r for r in whole if r.field == f), key=lambda r: (-r.n, r.term))[:9]))
+    found = sorted((r.field, r.place, r.term, r.n) for r in records.top_unknown_terms(rows, 9).collect())
+    assert found == expected
+    assert sum(f == "other_amenities" for f, *_ in found) == 9
+
+
+def test_top_terms_of_nothing(spark):
+    assert records.top_unknown_terms(X.details(spark, SMALL).limit(0), 3).collect() == []

@@ -7,7 +7,7 @@ from mattone.operators import dedupe, docquery, joins
 from mattone.plans import fixtures as X
 from mattone.plans import jobs
 from mattone.session import work_folder
-from mattone.sources import files, tables
+from mattone.sources import bucketed, files, tables
 from mattone.sources.tables import InsertCounts
 from mattone.streaming.layers import stream_layer
 from conftest import SMALL
@@ -226,3 +226,76 @@ def test_three_jobs_chain_and_run_again(spark):
     assert stored.count() == stored.select("id").distinct().count() == drawn.inserted + rest.inserted
     bad = spark.read.parquet(f"{root}/rejected/listings")
     assert listings.inserted + bad.count() == first.inserted
+
+
+def test_a_large_batch_is_written_by_more_tasks_than_buckets(spark, monkeypatch):
+    path = work_folder(spark, "t")
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("n"), F.md5(F.col("id").cast("string")).alias("v")).repartition(64)
+    monkeypatch.setattr(tables, "PIECE_BYTES", 4096)
+    assert tables.insert_ignore(rows, path) == InsertCounts(20_000, 0)
+    stored = tables.read_table(spark, path, rows.schema)
+    assert len(stored.inputFiles()) > 2 * tables.BUCKETS
+    assert stored.select("id").distinct().count() == 20_000
+    assert tables.insert_ignore(rows, path) == InsertCounts(0, 20_000)
+    out = work_folder(spark, "t2")
+    tables.compact(spark, path, rows.schema, "id", out)
+    assert len(tables.read_table(spark, out, rows.schema).inputFiles()) > 2 * tables.BUCKETS
+    assert tables.read_table(spark, out, rows.schema).count() == 20_000
+
+
+@pytest.fixture
+def layers(spark):
+    """Two bucketed layer tables, opened by any number of buckets."""
+
+    def opened(layer, buckets=8):
+        table = bucketed.open_bucketed(spark, f"{layer}_{tag}", f"{root}/{layer}", batch(spark).schema, buckets=buckets)
+        names.append(table.name)
+        return table
+
+    root, names = work_folder(spark, "bucketed"), []
+    tag = root.rsplit("-", 1)[1]
+    yield opened
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def held(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+def test_bucketed_insert_ignore(spark, layers):
+    table, put = layers("ids"), bucketed.insert_ignore_bucketed
+    assert put(batch(spark), table) == InsertCounts(0, 0)
+    assert put(batch(spark, ("a", 0, "old"), (None, 1, "x")), table, ["n"], "1") == InsertCounts(1, 0, 1)
+    new = batch(spark, ("a", 1, "new"), ("b", 2, "b2"), ("b", 1, "b1"), ("c", 1, "c"))
+    assert put(new, table, ["n"], "2") == InsertCounts(2, 2)
+    assert held(table) == [("a", 0, "old"), ("b", 1, "b1"), ("c", 1, "c")]
+    assert put(new, table, ["n"], "2") == InsertCounts(2, 2)
+    assert put(new, table, ["n"], "3") == InsertCounts(0, 4)
+    assert held(table) == [("a", 0, "old"), ("b", 1, "b1"), ("c", 1, "c")]
+
+
+def test_a_bucketed_table_keeps_its_number_of_buckets(spark, layers):
+    table = layers("ids", 8)
+    bucketed.insert_ignore_bucketed(batch(spark, ("a", 0, "x")), table)
+    spark.sql(f"DROP TABLE {table.name}")
+    again = layers("ids", 16)
+    assert again.buckets == 8 and held(again) == [("a", 0, "x")]
+    with pytest.raises(ValueError):
+        bucketed.open_bucketed(spark, table.name, work_folder(spark, "other"), batch(spark).schema)
+
+
+def test_pending_of_bucketed_layers_shuffles_nothing(spark, layers):
+    ids, listings = layers("ids"), layers("listings")
+    for start in (0, 300):
+        bucketed.insert_ignore_bucketed(batch(spark, *[(str(i), i, "x") for i in range(start, start + 300)]), ids)
+        bucketed.insert_ignore_bucketed(batch(spark, *[(str(i), i, "y") for i in range(start, start + 300, 3)]), listings)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        todo = joins.pending(ids.read(), listings.read())
+        assert todo.count() == 400
+        plan = todo._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

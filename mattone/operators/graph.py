@@ -60,16 +60,22 @@ def merge_nodes(existing: DataFrame, new: DataFrame, order: list[str]) -> DataFr
 
 def merge_edges(existing: DataFrame, new: DataFrame, nodes: DataFrame, order: list[str]) -> DataFrame:
     """Existing edges with the last written score of each; an edge needs both its nodes."""
-    latest = new.groupBy("src", "dst").agg(F.max_by("score", F.struct(*order)).alias("score"))
-    ids = nodes.select("id")
-    for end in ("src", "dst"):
-        latest = latest.join(ids.withColumnRenamed("id", end), end, "left_semi")
+    latest = latest_edges(new, nodes, order)
     versions = existing.select("src", "dst", "score", F.lit(0).alias("_v")).unionByName(
         latest.select("src", "dst", "score", F.lit(1).alias("_v"))
     )
     return versions.groupBy("src", "dst").agg(F.max_by("score", "_v").alias("score"))
 
 
+def latest_edges(new: DataFrame, nodes: DataFrame, order: list[str]) -> DataFrame:
+    """The last written score of each edge whose two nodes exist."""
+    latest = new.groupBy("src", "dst").agg(F.max_by("score", F.struct(*order)).alias("score"))
+    ids = nodes.select("id")
+    for end in ("src", "dst"):
+        latest = latest.join(ids.withColumnRenamed("id", end), end, "left_semi")
+    return latest.select("src", "dst", "score")
+
+
 def steps(edges: DataFrame) -> DataFrame:
     """Every edge as a step (a, b) in both directions, a loop once; one pass over the edges."""
     there = F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "score", "src")

@@ -449,6 +449,7 @@ def oracle_sql() -> dict[str, str]:
         f"round(score1 + coalesce(score2, 0), 6) AS score FROM best WHERE start IN {_WANTED}",
         "neighbours_csv": "SELECT start, text AS \"feedbackText\", distance, score FROM (" + _NEIGHBOURS.format(where=f"WHERE h.start IN {_WANTED}") + ") q",
     }
+    sql["upsert_edges"] = sql["merge_edges"]
     sql["top_unknown_terms"] = (
         f"SELECT * FROM (SELECT field, term, n, row_number() OVER (PARTITION BY field ORDER BY n DESC, term) AS place FROM ({sql['unknown_terms']}) u) q WHERE place <= {TOP_TERMS}"
     )

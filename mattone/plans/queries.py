@@ -17,7 +17,7 @@ from mattone.plans import fixtures as X
 from mattone.plans import jobs
 from mattone.schemas import schema_of
 from mattone.session import work_folder
-from mattone.sources import bucketed, files, tables
+from mattone.sources import bucketed, files, merged, tables
 from mattone.streaming.layers import stream_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -757,9 +757,8 @@ def merge_nodes(spark, sf_dir):
     return graph.merge_nodes(labelled, new, ["doc_id", "slot"])
 
 
-@query
-def merge_edges(spark, sf_dir):
-    """English documents' edges are there already; all are written, then some again with the reverse score."""
+def _written_edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """(existing edges, written ones, nodes, the order of writing): English documents' edges are there already; all are written, then some again with the reverse score."""
     wide = X.similar_wide(spark, sf_dir)
     languages = X.load(spark, sf_dir, "documents").select("doc_id", "lang")
     nodes = X.load(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
@@ -768,8 +767,24 @@ def merge_edges(spark, sf_dir):
     written = graph.wide_to_edges(wide, ["doc_id"]).withColumn("pass", F.lit(1))
     french = wide.join(languages.where("lang = 'fr'"), "doc_id", "left_semi")
     again = graph.wide_to_edges(french, ["doc_id"]).withColumns({"pass": F.lit(2), "score": 1 - F.col("score")})
-    merged = graph.merge_edges(existing, written.unionByName(again), nodes, ["pass", "doc_id", "slot"])
-    return merged.select("src", "dst", F.round("score", 6).alias("score"))
+    return existing, written.unionByName(again), nodes, ["pass", "doc_id", "slot"]
+
+
+@query
+def merge_edges(spark, sf_dir):
+    return graph.merge_edges(*_written_edges(spark, sf_dir)).select("src", "dst", F.round("score", 6).alias("score"))
+
+
+@query
+def upsert_edges(spark, sf_dir):
+    """The same in a stored table: a folded base, two batches after it, merged when read."""
+    existing, written, nodes, order = _written_edges(spark, sf_dir)
+    path, keys, schema = work_folder(spark, "edges"), ["src", "dst"], existing.schema
+    merged.upsert(existing, path, keys, batch_id="0")
+    merged.fold(spark, path, schema, keys)
+    for number in (1, 2):
+        merged.upsert(graph.latest_edges(written.where(F.col("pass") == number), nodes, order), path, keys, batch_id=str(number))
+    return merged.read_merged(spark, path, schema, keys).select("src", "dst", F.round("score", 6).alias("score"))
 
 
 def _paths_out(paths: DataFrame) -> DataFrame:

@@ -38,20 +38,26 @@ class InsertCounts:
     rejected: int = 0
 
 
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def bucket_of(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
     """A table written by ``insert_ignore``, or only some of its buckets; a missing one has no rows."""
-    laid_out = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.StringType())])
+    rows = laid_out(spark, path, schema)
+    return (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
+
+
+def laid_out(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table's rows with their bucket and batch."""
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.StringType())])
     try:
-        rows = spark.read.schema(laid_out).parquet(path)
+        rows = spark.read.schema(full).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], laid_out)
-    return (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
+        rows = spark.createDataFrame([], full)
+    return rows
 
 
 def read_layer_table(spark: SparkSession, path: str, layer: str, errors: str | None = None) -> DataFrame:
@@ -90,7 +96,7 @@ def insert_ignore(
     stored = rows.select(*(columns or batch.columns))
     known = read_table(spark, path, stored.schema, touched).where(F.col(BATCH) != own).select(key)
     new = first_per_key(rows.where(F.col(key).isNotNull()), key, order or []).join(known, key, "left_anti").select(*stored.columns)
-    _write(new, path, key, F.lit(own), pieces_of(rows))
+    write_batch(new, path, key, F.lit(own), pieces_of(rows))
     # Counted from what was written, not from the plan, which would now see its own rows.
     inserted = read_table(spark, path, stored.schema, touched).where(F.col(BATCH) == own).count()
     return InsertCounts(inserted, total - rejected - inserted, rejected)
@@ -102,14 +108,15 @@ def pieces_of(rows: DataFrame) -> int:
     return -(-size // (BUCKETS * PIECE_BYTES)) or 1
 
 
-def _write(rows: DataFrame, path: str, key: str, batch: Column, pieces: int = 1) -> None:
+def write_batch(rows: DataFrame, path: str, key: str | list[str], batch: Column, pieces: int = 1, drop: list[str] | None = None) -> None:
     """Replace the folders of these buckets and this batch; each gets one file per piece, which a range of the key's hash makes up."""
-    placed = rows.withColumns({BUCKET: bucket_of(key), BATCH: batch})
+    keys = [key] if isinstance(key, str) else key
+    placed = rows.withColumns({BUCKET: bucket_of(*keys), BATCH: batch}).drop(*(drop or []))
     if pieces == 1:
         placed = placed.repartition(BUCKET)
     else:
-        # The hash's part that the bucket does not use.
-        piece = F.pmod(F.floor(F.xxhash64(key) / BUCKETS), F.lit(pieces))
+        # Of the hash, what the bucket does not use (BUCKETS is 2^5).
+        piece = F.pmod(F.shiftright(F.xxhash64(*keys), 5), F.lit(pieces))
         placed = placed.repartition(BUCKETS * pieces, BUCKET, piece)
     placed.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(BUCKET, BATCH).parquet(path)
 
@@ -125,7 +132,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, out:
     It ends the small files of many batches, and repairs a table that had two writers.
     """
     stored = read_table(spark, path, schema, buckets)
-    _write(first_per_key(stored, key, [F.col(BATCH)]).drop(BATCH), out, key, F.lit("0"), pieces_of(stored))
+    write_batch(first_per_key(stored, key, [F.col(BATCH)]).drop(BATCH), out, key, F.lit("0"), pieces_of(stored))
 
 
 # Below so many bytes a table is not worth a shuffle.

@@ -7,7 +7,7 @@ from mattone.operators import dedupe, docquery, joins
 from mattone.plans import fixtures as X
 from mattone.plans import jobs
 from mattone.session import work_folder
-from mattone.sources import bucketed, files, tables
+from mattone.sources import bucketed, files, merged, tables
 from mattone.sources.tables import InsertCounts
 from mattone.streaming.layers import stream_layer
 from conftest import SMALL
@@ -72,7 +72,7 @@ def test_equal_order_is_settled_the_same_way_however_the_rows_lie(spark):
 def test_compact(spark):
     path, out = work_folder(spark, "t"), work_folder(spark, "t2")
     for writer in ("1", "2"):
-        tables._write(batch(spark, ("a", int(writer), "x")), path, "id", F.lit(writer))
+        tables.write_batch(batch(spark, ("a", int(writer), "x")), path, "id", F.lit(writer))
     tables.compact(spark, path, batch(spark).schema, "id", out)
     assert content(spark, out) == [("a", 1, "x")]
 
@@ -299,3 +299,64 @@ def test_pending_of_bucketed_layers_shuffles_nothing(spark, layers):
         assert "LeftAnti" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+EDGE = "src string, dst string, score double"
+
+
+def edges_in(spark, path, **some):
+    rows = merged.read_merged(spark, path, spark.createDataFrame([], EDGE).schema, ["src", "dst"], **some)
+    return {(r.src, r.dst): r.score for r in rows.collect()}
+
+
+def test_upserts_are_merged_when_read(spark):
+    path, keys = work_folder(spark, "edges"), ["src", "dst"]
+    schema = spark.createDataFrame([], EDGE).schema
+    assert edges_in(spark, path) == {}
+    put = lambda rows, name: merged.upsert(spark.createDataFrame(rows, EDGE), path, keys, ["score"], name)
+    put([("a", "b", 1.0), ("a", "c", 1.0), ("a", "c", 2.0), (None, "c", 3.0), ("a", None, 3.0)], "1")
+    assert edges_in(spark, path) == {("a", "b"): 1.0, ("a", "c"): 2.0}
+    for _ in range(2):
+        put([("a", "b", None), ("d", "e", 5.0)], "2")
+        assert edges_in(spark, path) == {("a", "b"): None, ("a", "c"): 2.0, ("d", "e"): 5.0}
+    whole = edges_in(spark, path)
+    assert merged.fold(spark, path, schema, keys) and edges_in(spark, path) == whole
+    assert merged.fold(spark, path, schema, keys) == [] and edges_in(spark, path) == whole
+    # A batch that the base holds, run again late, does not come back to life.
+    put([("a", "b", 9.0)], "1")
+    assert edges_in(spark, path) == whole
+    put([("a", "b", 7.0)], "3")
+    put([], "4")
+    assert edges_in(spark, path) == {**whole, ("a", "b"): 7.0}
+    with pytest.raises(ValueError):
+        put([], "~1")
+
+
+def test_a_fold_cut_short_changes_nothing(spark, monkeypatch):
+    """New bases are written, the older folders are still there."""
+    path, keys, schema = work_folder(spark, "edges"), ["src", "dst"], spark.createDataFrame([], EDGE).schema
+    for name, score in (("1", 1.0), ("2", 2.0)):
+        merged.upsert(spark.createDataFrame([(str(i), "x", score) for i in range(int(name) * 20)], EDGE), path, keys, batch_id=name)
+    whole = edges_in(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(merged, "_remove_older", lambda *_: None)
+        merged.fold(spark, path, schema, keys)
+    assert edges_in(spark, path) == whole and set(whole.values()) == {2.0} and len(whole) == 40
+    merged.upsert(spark.createDataFrame([("3", "x", 5.0)], EDGE), path, keys, batch_id="3")
+    assert len(merged.fold(spark, path, schema, keys)) == 1
+    assert edges_in(spark, path) == {**whole, ("3", "x"): 5.0}
+
+
+def test_a_small_upsert_touches_its_buckets_alone(spark):
+    path, keys, schema = work_folder(spark, "edges"), ["src", "dst"], spark.createDataFrame([], EDGE).schema
+    merged.upsert(spark.range(2000).selectExpr("cast(id as string) src", "'x' dst", "0.5D score"), path, keys, batch_id="1")
+    assert len(merged.fold(spark, path, schema, keys)) == tables.BUCKETS
+    before = set(tables.read_table(spark, path, schema).inputFiles())
+    merged.upsert(spark.createDataFrame([("7", "x", 1.0)], EDGE), path, keys, batch_id="2")
+    rows = merged.read_merged(spark, path, schema, keys)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and rows.where("score = 1").count() == 1 and rows.count() == 2000
+    touched = merged.fold(spark, path, schema, keys)
+    after = set(tables.read_table(spark, path, schema).inputFiles())
+    assert len(touched) == 1 and len(before - after) == 1 and len(after - before) == 1
+    assert len(edges_in(spark, path, buckets=touched)) < 200

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mattone.functions.html import Node, Path, visible_text
+from mattone.functions.text import bound
 
 # Elements that have no closing tag.
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "use", "wbr"]
@@ -23,12 +24,13 @@ VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 _NAME = r"^/?([A-Za-z][A-Za-z0-9]*)(?=[\s>/])"
 
 
-def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
+def with_elements(pages: DataFrame, html: str = "html", only: list[str] | None = None) -> DataFrame:
     """Add ``pieces``, the page cut at every ``<``, and ``elements``, structs (begin, end, tag, depth) in page order.
 
     ``begin`` and ``end`` number the pieces of the opening and the closing tag; piece 0 is what stands before the first ``<``.  An element that is never closed ends behind the last
     piece; void and self-closed ones end where they begin.  ``depth`` is 1 for an element in no other, counting tags opened
     and not yet closed.  Closing tags that close nothing are passed over.  A null or empty page has no elements.
+    With ``only`` these tags alone are listed, and ``depth`` counts them alone; elements of other tags change neither where one begins nor where it ends.
     """
     keep = pages.columns
     cut = pages.withColumn("pieces", F.coalesce(F.split(html, "<"), F.array().cast("array<string>")))
@@ -36,7 +38,13 @@ def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
     def tag(name: Column, at: Column, closing: bool) -> Column:
         return F.struct(name.alias("tag"), at.alias("at"), F.lit(closing).alias("closing"))
 
-    named = cut.withColumn("_names", F.transform("pieces", lambda p, i: F.when(i > 0, F.lower(F.regexp_extract(p, _NAME, 1))).otherwise("")))
+    def name(p: Column, i: Column) -> Column:
+        # Most pieces of a page are tags that are not asked for: their first characters tell, without a pattern.
+        asked = i > 0 if only is None else (i > 0) & F.lower(F.left(p, F.lit(2))).isin(_beginnings(only))
+        found = F.when(asked, F.lower(F.regexp_extract(p, _NAME, 1))).otherwise("")
+        return found if only is None else bound(found, lambda n: F.when(n.isin(only), n).otherwise(""))
+
+    named = cut.withColumn("_names", F.transform("pieces", name))
 
     def tags(name: Column, at: Column) -> Column:
         piece = F.get(F.col("pieces"), at)
@@ -44,7 +52,8 @@ def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
         both = F.array(tag(name, at, False), tag(name, at, True))
         return F.when(name == "", F.slice(both, 1, 0)).when(F.startswith(piece, F.lit("/")), F.slice(both, 2, 1)).when(alone, both).otherwise(F.slice(both, 1, 1))
 
-    listed = named.withColumn("_tags", F.flatten(F.transform("_names", tags)))
+    every = F.transform("_names", tags)
+    listed = named.withColumn("_tags", F.flatten(every if only is None else F.filter(every, lambda t: F.size(t) > 0)))
     # In page order: how many elements are open around each opening tag.
     placed = listed.withColumn("_tags", F.transform("_tags", lambda t, i: F.struct(t["tag"].alias("tag"), t["at"].alias("at"), t["closing"].alias("closing"), i.alias("i"))))
 
@@ -78,6 +87,12 @@ def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
     return paired.select(*keep, "pieces", F.sort_array(plain).alias("elements"))
 
 
+def _beginnings(tags: list[str]) -> list[str]:
+    """The first two characters, in lower case, of what follows ``<`` in opening and closing tags of these names."""
+    opening = {t[:2] for t in tags if len(t) > 1} | {t + after for t in tags if len(t) == 1 for after in " \t\n\x0b\f\r>/"}
+    return sorted(opening | {"/" + t[0] for t in tags})
+
+
 def _opens(element: Column, node: Node, whole: bool, pieces: str) -> Column:
     """Whether the element's opening tag has the node's word in its attribute, or as all of its value."""
     piece = F.get(F.col(pieces), element["begin"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,14 @@ UNCLEAN_CLASS = r"\x00-\x1f\x7f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2
 CONTROL_CLASS = r"\x00-\x08\x0b\x0c\x0e-\x1f\x7f"
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)`` with ``c`` computed once, however often ``f`` names it.
+
+    A function that names its argument n times, applied to another such function, computes the inner one n times over.
+    """
+    return F.get(F.transform(F.array(c), lambda value: f(value)), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Blanks removed at both ends.
 

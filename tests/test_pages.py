@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from mattone.functions import elements as E
 from mattone.functions import html as H
 from mattone.operators import crawl, details, harvest
 from mattone.plans import fixtures as X
@@ -180,3 +181,24 @@ def test_crawl_gate_moves(spark):
     rows = [(1, 1, 1, 1, 2), (1, 2, 1, 1, 2), (1, 3, 1, 1, 4), (2, 1, 1, 1, None), (2, 2, 1, 1, 3)]
     found = crawl.crawl_gate(spark.createDataFrame(rows, shape), next_page="to").orderBy("crawl_id", "page").collect()
     assert [(r.crawl_id, r.page, r.stop_reason) for r in found] == [(1, 1, None), (1, 2, "page_unchanged"), (2, 1, "no_next_page")]
+
+
+def test_a_visible_text_stays_a_short_expression(spark):
+    """Its steps are bound: unbound, one such text was a hundred thousand characters of every plan that holds it."""
+    shown = spark.range(1).select(F.lit("<b>a&amp;b &#8364; &eacute;</b>").alias("html")).hint("merge").repartition(1).select(H.visible_text(F.col("html")).alias("r"))
+    assert shown.first().r == "a&b € é"
+    assert shown._jdf.queryExecution().analyzed().toString().count("regexp_") < 30
+
+
+def test_each_argument_is_computed_once(spark):
+    html = F.concat(F.col("html"), F.lit(""))
+    page = spark.createDataFrame([("",)], "html string")
+    plan = page.select(H.labelled_value(html, H.FEE_LABEL, H.LISTING_PAGE.costs).alias("r"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("data-tracking-key") == 1
+
+
+def test_elements_of_some_tags_are_those_of_the_whole_table(spark):
+    html = '<p>a<div class="x"><dt>k</dt><p/><P class="y">b<div>c</div></p><pre>d</pre></div><br><p\n>e'
+    page = spark.createDataFrame([(html,)], "html string")
+    every, some = (E.with_elements(page, only=only).first().elements for only in (None, ["div", "p"]))
+    assert [(e.begin, e.end, e.tag) for e in some] == [(e.begin, e.end, e.tag) for e in every if e.tag in ("div", "p")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +56,21 @@ def characteristic(label: str) -> Column:
     return F.try_element_at("characteristics", F.lit(label))
 
 
-def require_fields(url_prefix: str = LISTING_PREFIX) -> Column:
-    """The first missing input of a raw row, or null."""
+# Every label that is read, and the column that holds its value while a row is built.
+READ_LABELS = (*REQUIRED_LABELS, *TEXT_LABELS.values(), *NUMBER_LABELS.values(), *YES_NO_LABELS.values(), CONCIERGE_LABEL)
+
+
+def _value(label: str) -> Column:
+    return F.col(f"_value_{READ_LABELS.index(label)}")
+
+
+def _with_values(raw: DataFrame) -> DataFrame:
+    """The labels' values as columns: what reads one names it several times, and would search the map each time."""
+    return raw.withColumns({f"_value_{i}": characteristic(label) for i, label in enumerate(READ_LABELS)})
+
+
+def require_fields(url_prefix: str = LISTING_PREFIX, value: Callable[[str], Column] = characteristic) -> Column:
+    """The first missing input of a raw row, or null; ``value`` gives the text of a label."""
     reason = (
         F.when(~F.startswith("url", F.lit(url_prefix)), "url_prefix")
         .when(is_blank(F.col("price_text")), "no_price")
@@ -64,17 +79,17 @@ def require_fields(url_prefix: str = LISTING_PREFIX) -> Column:
         .when(F.coalesce(F.size("characteristics"), F.lit(-1)) < 1, "no_characteristics")
     )
     for label in REQUIRED_LABELS:
-        missing = none_if_empty(characteristic(label)).isNull()
+        missing = none_if_empty(value(label)).isNull()
         reason = reason.when(missing, f"no_{label.lower()}")
     return reason
 
 
-def project_characteristics() -> dict[str, Column]:
-    """``listings`` columns read from the characteristics map."""
-    columns = {c: characteristic(label) for c, label in TEXT_LABELS.items()}
-    columns |= {c: N.parse_first_int(characteristic(label)) for c, label in NUMBER_LABELS.items()}
-    columns |= {c: N.parse_yes_no(characteristic(label)) for c, label in YES_NO_LABELS.items()}
-    columns["concierge"] = N.parse_concierge(characteristic(CONCIERGE_LABEL))
+def project_characteristics(value: Callable[[str], Column] = characteristic) -> dict[str, Column]:
+    """``listings`` columns read from the characteristics map, or from ``value`` of each label."""
+    columns = {c: value(label) for c, label in TEXT_LABELS.items()}
+    columns |= {c: N.parse_first_int(value(label)) for c, label in NUMBER_LABELS.items()}
+    columns |= {c: N.parse_yes_no(value(label)) for c, label in YES_NO_LABELS.items()}
+    columns["concierge"] = N.parse_concierge(value(CONCIERGE_LABEL))
     return columns
 
 
@@ -85,10 +100,11 @@ def build_details(
 
     One narrow pass: every column is an expression over its own row.
     """
+    raw = _with_values(raw)
     price = N.parse_price(F.col("price_text"))
     fee = N.parse_monthly_fee(none_if_empty(F.col("fee_text")))
     sqm = N.parse_price_sqm(none_if_empty(F.col("price_sqm_text")))
-    surface = N.parse_surface_int(characteristic("Superficie"))
+    surface = N.parse_surface_int(_value("Superficie"))
     place = location_fields(F.col("location_parts"))
     columns = {
         "id": F.col("id"),
@@ -103,8 +119,8 @@ def build_details(
         "maintenance_fee": fee["value"],
         "formatted_price_sqm": sqm["text"],
         "price_sqm": sqm["value"],
-        "type": characteristic("Tipologia"),
-        "contract": characteristic("Contratto"),
+        "type": _value("Tipologia"),
+        "contract": _value("Contratto"),
         "is_luxury": F.col("luxury"),
         "surface_formatted": surface["text"],
         "surface": surface["value"],
@@ -116,11 +132,11 @@ def build_details(
         "description_title": F.col("description_title"),
         "description": F.col("description"),
         "other_amenities": F.when(F.size("badges") > 0, F.col("badges")),
-        **project_characteristics(),
+        **project_characteristics(_value),
     }
     order = schema_of("listings").names
     upstream = [F.col("page_problem")] if "page_problem" in raw.columns else []
-    first = F.coalesce(*upstream, require_fields(url_prefix))
+    first = F.coalesce(*upstream, require_fields(url_prefix, _value))
     built = raw.select(*[columns[n].alias(n) for n in order], first.alias("_missing"))
     judged = conform(built, "listings", DERIVED)
     reason = F.coalesce(

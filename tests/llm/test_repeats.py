@@ -1,14 +1,17 @@
 """Periodic runs, repeated passages and vector codes against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from mattone.llm import substrings
+from mattone.llm import scratch, substrings
 from mattone.llm.fm_index import FMIndex
 from mattone.llm.periodic_runs import find_runs, word_runs
 from mattone.llm.queries import QUERIES
@@ -197,3 +200,20 @@ def test_whole_subtrees_and_ambiguous_vectors():
     for a, b, e in zip(begin, end, entry):
         assert (squares(points[tree.order[a:b]], centres).argmin(axis=1) == e).all()
     assert (squares(points[tree.order[at]], centres).argmin(axis=1) == chosen).all()
+
+
+def test_a_finished_step_leaves_no_shuffle_files(spark):
+    """What a step shuffled goes at its end, not when the driver's garbage is next collected; the session's settings stay."""
+
+    def shuffled():
+        folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+        return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(scratch.SHUFFLE_CLEANUP)
+    counts = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).agg(F.collect_set("id").alias("ids"))
+    table = scratch.written_alone(counts.join(spark.range(100).withColumnRenamed("id", "k").hint("merge"), "k"), "alone")
+    end = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert table.count() == 100 and spark.conf.get(scratch.SHUFFLE_CLEANUP) == setting

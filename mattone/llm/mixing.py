@@ -49,11 +49,14 @@ SALTS = 16
 
 _CODEC = pa.Codec("zstd", 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_C12 = np.uint64(0x9E3779B97F4A7C15 * 0xC2B2AE3D27D4EB4F % (1 << 64))
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.arange(256)
 _BITS = (_BYTE[:, None] >> np.arange(7, -1, -1) & 1).astype(np.float32)
-_SIGN = 2 * _BITS - 1
+# The last row is for places behind the end of a text.
+_SIGN = np.concatenate([2 * _BITS - 1, np.zeros((1, 8), np.float32)])
+_BEHIND = len(_BITS)
 _half = lambda h: np.stack([np.ones_like(h), 2 + (h >> 3), 4 + (h >> 2), 8 + (h >> 1)], axis=1)
 _NODES = np.concatenate([_half(_BYTE >> 4), _half(_BYTE & 15)], axis=1).astype(np.int32)
 # The same in two slots of 16 cells, one after the other.
@@ -72,42 +75,64 @@ def stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, begin, end + 1
 
 
-def slots(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each context, the slots of the high and the low half of every byte, as first cells of 16."""
+def _rows(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each context, the slots of the high and the low half of every byte."""
     n = len(data)
-    wide = data.astype(np.uint64)
-    past = [np.concatenate([np.zeros(j, np.uint64), wide[: n - j]]) if j <= n else np.zeros(n, np.uint64) for j in range(1, PAD + 1)]
-    high = (wide >> np.uint64(4)) + np.uint64(1)
+    wide = np.zeros(PAD + n, np.uint64)
+    wide[PAD:] = data
+    past = wide[PAD - 1 : PAD - 1 + n].copy()
+    for j in range(2, PAD + 1):
+        past |= wide[PAD - j : PAD - j + n] << np.uint64(8 * (j - 1))
+    wide = wide[PAD:]
+    # (c + h * C1) * C2 is c * C2 + h * (C1 * C2), so one product serves both halves.
+    turn = ((wide >> np.uint64(4)) + np.uint64(1)) * _C12
     for number, (context, size) in enumerate(CONTEXTS):
         shift = np.uint64(64 - size)
         if context == "word":
-            before = past[0]
+            before = np.zeros(n, np.uint8)
+            before[1:] = data[:-1]
             fresh = (before == 0x20) | (before == 0x0A) | (before == 0)
             start = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
             prefix = np.zeros(n + 1, np.uint64)
-            np.cumsum((wide + np.uint64(1)) * _power(_BASE, n)[:n], out=prefix[1:])
-            code = (prefix[:n] - prefix[start]) * _power(_INVERSE, n)[start]
+            wide += np.uint64(1)
+            wide *= _power(_BASE, n)[:n]
+            np.cumsum(wide, out=prefix[1:])
+            code = prefix[:n] - prefix.take(start)
+            code *= _power(_INVERSE, n).take(start)
         else:
-            code = past[0].copy()
-            for j in range(1, context):
-                code |= past[j] << np.uint64(8 * j)
-        code = (code + np.uint64(number + 1)) * _C1
+            code = past & np.uint64((1 << 8 * context) - 1)
+        code += np.uint64(number + 1)
+        code *= _C1
         code ^= code >> np.uint64(32)
-        yield tuple(((c * _C2) >> shift).astype(np.int32) << 4 for c in (code, code + high * _C1))
+        code *= _C2
+        first = (code >> shift).astype(np.int32)
+        code += turn
+        code >>= shift
+        yield first, code.astype(np.int32)
+
+
+def slots(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As ``_rows``, each slot by the first of its 16 cells."""
+    for pair in _rows(data):
+        yield tuple(at << 4 for at in pair)
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(context, chunk, salt, cells, counts) of a task's texts; only chunks and cells that it met."""
     total = [np.zeros(16 << bits, np.uint32) for _, bits in CONTEXTS]
-    for piece in slices(batches, most=1 << 20):
-        data, begin, end = stream(piece.column("text"))
-        real = np.zeros(len(data), bool)
-        for b, e in zip(begin, end):
-            real[b:e] = True
-        low, high = (data & 15).astype(np.int32)[real], (data >> 4).astype(np.int32)[real]
-        for k, (first, second) in enumerate(slots(data)):
-            np.add.at(total[k], first[real] + high, np.uint32(1))
-            np.add.at(total[k], second[real] + low, np.uint32(1))
+    one = np.uint32(1)
+    for piece in slices(batches, most=1 << 17):
+        data, begin, _ = stream(piece.column("text"))
+        halves = (data >> 4).astype(np.int64), (data & 15).astype(np.int64)
+        # The zeros before each text are counted with the others and taken off again.
+        pads = (begin[:, None] + np.arange(-PAD, 0)).reshape(-1)
+        for k, pair in enumerate(_rows(data)):
+            for at, half in zip(pair, halves):
+                cell = at.astype(np.int64)
+                cell <<= 4
+                cell += half
+                np.add.at(total[k], cell, one)
+                np.subtract.at(total[k], cell[pads], one)
     salt = TaskContext.get().partitionId() % SALTS
     for k in range(ORDERS):
         for chunk in range(len(total[k]) // CHUNK):
@@ -182,47 +207,53 @@ class Mixer:
     def cost(self, texts: pa.Array) -> np.ndarray:
         """The bits that each text and its end cost: minus the log2 of their probability."""
         data, begin, end = stream(texts)
-        places = [np.stack([at >> 4 for at in pair], axis=1).view(np.int64)[:, 0] for pair in slots(data)]
-        rows = [table.view(np.complex128) for table in self.tables]
+        places = [np.stack(pair, axis=1).view(np.int64)[:, 0] for pair in _rows(data)]
+        tables = [table.view(np.complex128) for table in self.tables]
         order = np.argsort(begin - end, kind="stable")
         first, last = begin[order], end[order]
         length = last - first
         bits = np.zeros(len(order))
-        # Weights of quantised log odds, so that the odds need no scaling.
-        weights = np.repeat(np.array(START, np.float32)[:, None, None] * np.float32(STEP), 8, axis=2) * np.ones((1, len(order), 1), np.float32)
+        # Weights of quantised log odds, so that the odds need no scaling; of a text's eight bits, text by text.
+        weights = np.tile(np.repeat(np.array(START, np.float32)[:, None] * np.float32(STEP), 8, axis=1), len(order))
+        lead = np.zeros(0, np.int64)
         for at, size in blocks(int(length[0]) if len(length) else 0):
             rate = np.float32(RATE * STEP * STEP * (BLOCK / size) ** DAMPED)
             live = int(np.searchsorted(-length, -at, side="left"))
-            where = first[:live, None] + np.arange(at, at + size)
-            there = where < last[:live, None]
-            where = np.minimum(where, len(data) - 1)
-            byte = data[where]
-            sign = _SIGN.take(byte, axis=0)
+            n, wide = live * size, live * 8
+            # A row for each place of the block, in it the texts side by side: what is done with weights runs along rows.
+            where = np.arange(at, at + size)[:, None] + first[:live]
+            there = where < last[:live]
+            np.minimum(where, len(data) - 1, out=where)
+            byte = data.take(where)
+            sign = _SIGN.take(np.where(there, byte, _BEHIND), axis=0).reshape(size, wide)
             # A slot is taken as a whole, 16 bytes at once; the decisions' places in what is taken are those of all contexts.
-            cell = _CELLS.take(byte, axis=0)
-            cell += np.arange(0, 32 * live * size, 32).reshape(live, size, 1)
-            odds = np.empty((ORDERS, live, size, 8), np.float32)
+            if len(lead) < 8 * n:
+                lead = np.repeat(np.arange(0, 32 * n, 32), 8)
+            cell = _CELLS.take(byte, axis=0).reshape(-1)
+            cell += lead[: 8 * n]
+            odds = np.empty((ORDERS, size, wide), np.float32)
             for k, pair in enumerate(places):
-                taken = rows[k].take(pair.take(where).view(np.int32))
-                odds[k] = taken.view(np.int8).take(cell)
-            w = weights[:, :live]
-            z = odds[0] * w[0][:, None, :]
+                taken = tables[k].take(pair.take(where).view(np.int32))
+                odds[k] = taken.view(np.int8).reshape(-1).take(cell).reshape(size, wide)
+            w = weights[:, :wide]
+            z = odds[0] * w[0]
+            term = np.empty_like(z)
             for k in range(1, ORDERS):
-                z += odds[k] * w[k][:, None, :]
+                z += np.multiply(odds[k], w[k], out=term)
             z *= sign
             np.clip(z, -SUREST, SUREST, out=z)
             np.negative(z, out=z)
             e = np.exp(z, out=z)
-            inverse = e + 1
+            inverse = np.add(e, 1, out=term)
             # The eight bits' inverse probabilities, multiplied, and one logarithm per byte.
-            pairs = inverse[..., 0::2] * inverse[..., 1::2]
-            bits[:live] += (np.log(pairs[..., 0] * pairs[..., 1] * pairs[..., 2] * pairs[..., 3]) * there).sum(axis=1, dtype=np.float64)
+            pairs = (inverse[:, 0::2] * inverse[:, 1::2]).reshape(size, live, 4)
+            costs = np.log(pairs[..., 0] * pairs[..., 1] * pairs[..., 2] * pairs[..., 3])
+            costs *= there
+            bits[:live] += np.ascontiguousarray(costs.T).sum(axis=1, dtype=np.float64)
             e /= inverse
             e *= sign
-            if not there.all():
-                e *= there[..., None]
             for k in range(ORDERS):
-                w[k] += rate * np.einsum("ltb,ltb->lb", e, odds[k])
+                w[k] += rate * np.einsum("tx,tx->x", e, odds[k])
         out = np.empty(len(order))
         out[order] = bits / np.log(2)
         return out

@@ -1,7 +1,9 @@
 """Scores against slow forms of the same models, and against held-out labels."""
 
 import math
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +87,22 @@ def test_mixing_counts(spark, docs):
     assert (mixing.log_odds(counts) == tables[1]).all()
 
 
+def test_tally_holds_little_beside_its_tables(monkeypatch):
+    """Hashing works on pieces that fit a cache; arrays over a whole megabyte of text at once cost twice the time."""
+    monkeypatch.setattr(mixing.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    texts = ["".join(chr(97 + (i * j) % 26) for j in range(2000)) for i in range(500)]
+    tables = sum(4 * (16 << bits) for _, bits in mixing.CONTEXTS)
+    tracemalloc.start()
+    try:
+        packed = pa.Table.from_batches(mixing._tally(iter([pa.record_batch({"text": texts})])))
+        beside = tracemalloc.get_traced_memory()[1] - tables
+    finally:
+        tracemalloc.stop()
+    assert beside < 64 << 20
+    total = {k: sum(int(mixing._spread(r["counts"]).sum()) for r in packed.to_pylist() if r["context"] == k) for k in range(mixing.ORDERS)}
+    assert set(total.values()) == {2 * sum(len(t) + 1 for t in texts)}
+
+
 def test_unmet_contexts_fall_back_on_lower_orders(spark):
     """Random letters: no longer context of the text was met in training, but every byte and most pairs were."""
     assert [c for c, _ in mixing.CONTEXTS] == [1, 2, 3, 5, "word"] and mixing.CONTEXTS[2][1] == 20 and mixing.BLOCK == 16

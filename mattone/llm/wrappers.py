@@ -5,6 +5,7 @@ simple tree matching: two nodes match if their tags are equal, and matched child
 reference text that the same words fill on most aligned pages is template, a slot whose words vary is content;
 a block with one varying slot is content as a whole.
 Only counts per reference text travel, so a host of any size is induced from all its pages, in parallel.
+A matching depends on the tags alone and is kept per pair of shapes, which pages of a host mostly share.
 
 Elements whose tag, or a whole word of whose class, id or role, names a role that is no main text (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, comments) are template by that role: such a slot may vary as well.
@@ -24,12 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mattone.llm.arrays import slices
-from mattone.llm.scratch import written
+from mattone.llm.scratch import small_side, written
 
 # A text is template if at least this share of three pages or more, aligned with it, have the same words there.
 CONSTANT, LEAST_PAGES = 0.8, 3
 # References are broadcast if together they hold at most this many characters; else both sides are shuffled by host.
 BROADCAST_CHARS = 16 << 20
+# A task forgets its shapes, matchings and references beyond so many children of shapes and pairs of matchings, or so many references.
+KEPT_PAIRS, KEPT_REFERENCES = 1 << 18, 256
 
 # Names of elements, by how HTML treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,91 +58,108 @@ CLOSES = {
 P_ENDS = frozenset(
     "address article aside blockquote details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split()
 )
+P_WALLS = frozenset({"div", "section", "article", "main", "td", "th", "li", "body", "table", "button", "blockquote", "aside", "nav", "header", "footer", "form"})
 
-_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*+)(?:>|$)|<!--.*?(?:-->|$)|<[!?/][^>]*+(?:>|$)", re.S)
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*+)(?:>|$)|<!--.*?(?:-->|$)|<[!?/][^>]*+(?:>|$)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_SPACES = re.compile(r"[\x20\x09-\x0D\xa0]+")
+_RAW_ENDS = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
+_SPACES = "\x20\x09\x0a\x0b\x0c\x0d\xa0"
+
+
+def _spaced(text: str) -> str:
+    """``text`` trimmed, each run of white space in it one space."""
+    for space in _SPACES[1:]:
+        if space in text:
+            text = text.replace(space, " ")
+    while "  " in text:
+        text = text.replace("  ", " ")
+    return text.strip(" ")
 
 
 class Page:
-    """Nodes of a page in document order: tag ('#text' for texts), parent, children, text, and whether it is template by role."""
+    """Nodes of a page in document order: tag ('#text' for texts), parent, text, and whether it is template by role."""
 
-    __slots__ = ("tag", "parent", "children", "text", "role", "article")
+    __slots__ = ("tag", "parent", "text", "role", "article")
 
     def __init__(self, html: str) -> None:
-        self.tag, self.parent, self.children, self.text, self.role, self.article = ["#page"], [-1], [[]], [""], [False], [False]
+        self.tag, self.parent, self.text, self.role, self.article = ["#page"], [-1], [""], [False], [False]
         open_ = [0]
         at = 0
         size = len(html)
         while at < size:
-            found = _TAG.search(html, at)
-            if found is None:
-                self._add_text(open_[-1], html[at:])
-                break
-            if found.start() > at:
-                self._add_text(open_[-1], html[at : found.start()])
-            at = found.end()
-            name = found.group(2) or found.group(5)
-            if not name:
-                continue
-            name = name.lower()
-            if found.group(1) or found.group(4):
-                self._close(open_, name)
-                continue
-            if name in P_ENDS:
-                self._close_within(open_, {"p"}, {"div", "section", "article", "main", "td", "th", "li", "body", "table", "button", "blockquote", "aside", "nav", "header", "footer", "form"})
-            if name in CLOSES:
-                self._close_within(open_, *CLOSES[name])
-            node = self._add(open_[-1], name, found.group(3) or found.group(6) or "")
-            if name in VOID:
-                continue
-            if name in RAW:
-                end = re.compile(f"</{name}(?=[\\s/>])|$(?!\\n)", re.I).search(html, at)
-                self._add_text(node, html[at : end.start()])
-                gone = html.find(">", end.start())
-                at = size if gone < 0 else gone + 1
-            else:
+            for found in _TAG.finditer(html, at):
+                start = found.start()
+                if start > at:
+                    self._add_text(open_[-1], html[at:start])
+                at = found.end()
+                closes, name, attributes, cut_closes, cut_name, cut_attributes = found.groups()
+                name = name or cut_name
+                if not name:
+                    continue
+                name = name.lower()
+                if closes or cut_closes:
+                    self._close(open_, name)
+                    continue
+                if name in P_ENDS:
+                    self._close_within(open_, {"p"}, P_WALLS)
+                if name in CLOSES:
+                    self._close_within(open_, *CLOSES[name])
+                node = self._add(open_[-1], name, attributes or cut_attributes)
+                if name in VOID:
+                    continue
+                if name in RAW:
+                    end = _RAW_ENDS[name].search(html, at)
+                    stop = end.start() if end else size
+                    self._add_text(node, html[at:stop])
+                    gone = html.find(">", stop)
+                    at = size if gone < 0 else gone + 1
+                    break
                 open_.append(node)
+            else:
+                if at < size:
+                    self._add_text(open_[-1], html[at:])
+                at = size
         self._settle()
 
     def _settle(self) -> None:
         """From the elements that a role is named for to all below them, wrappers of the main text apart."""
+        own = self.role
+        if True not in own:
+            return
 
         def reached() -> list[bool]:
-            out = list(self.role)
-            for node in range(1, len(out)):
-                out[node] = out[node] or out[self.parent[node]]
+            out: list[bool] = []
+            for named, parent in zip(own, self.parent):
+                out.append(named or parent >= 0 and out[parent])
             return out
 
-        own, role = self.role, reached()
-        fixed = [tag in ROLE_TAGS and tag not in WRAPPERS for tag in self.tag]
-        if not any(tag in ARTICLE and not role[node] for node, tag in enumerate(self.tag)) and any(r and not f for r, f in zip(own, fixed)):
-            words, articles = [len(text.split()) for text in self.text], [int(tag in ARTICLE) for tag in self.tag]
-            for node in range(len(own) - 1, 0, -1):
-                if not fixed[node]:
-                    words[self.parent[node]] += words[node]
-                    articles[self.parent[node]] += articles[node]
-            for node in range(1, len(own)):
-                if not fixed[node] and (articles[node] if articles[0] else 2 * words[node] > words[0]):
-                    own[node] = False
-            role = reached()
+        role = reached()
+        if not any(tag in ARTICLE and not r for tag, r in zip(self.tag, role)):
+            fixed = [tag in ROLE_TAGS and tag not in WRAPPERS for tag in self.tag]
+            if any(r and not f for r, f in zip(own, fixed)):
+                words, articles = [len(text.split()) for text in self.text], [int(tag in ARTICLE) for tag in self.tag]
+                for node in range(len(own) - 1, 0, -1):
+                    if not fixed[node]:
+                        words[self.parent[node]] += words[node]
+                        articles[self.parent[node]] += articles[node]
+                for node in range(1, len(own)):
+                    if not fixed[node] and (articles[node] if articles[0] else 2 * words[node] > words[0]):
+                        own[node] = False
+                role = reached()
         self.role = role
 
     def _add(self, parent: int, tag: str, attributes: str) -> int:
         node = len(self.tag)
+        main = tag in ARTICLE
         role = tag in ROLE_TAGS
-        if not role and attributes:
-            names = (a or b or c for a, b, c in _NAMES.findall(attributes))
-            role = any(word.lower() in ROLE_WORDS for value in names for word in value.split())
-        if tag in ("html", "body") or tag in ARTICLE:
-            role = False
+        if attributes and not role and not main and tag not in ("html", "body"):
+            for a, b, c in _NAMES.findall(attributes):
+                role = role or any(word.lower() in ROLE_WORDS for word in (a or b or c).split())
         self.tag.append(tag)
         self.parent.append(parent)
-        self.children.append([])
         self.text.append("")
         self.role.append(role)
-        self.article.append(self.article[parent] or tag in ARTICLE)
-        self.children[parent].append(node)
+        self.article.append(main or self.article[parent])
         return node
 
     def _add_text(self, parent: int, text: str) -> None:
@@ -165,22 +185,11 @@ class Page:
             if tag in walls:
                 return
 
-    def outline(self) -> tuple[list[list[int]], list[int], list[int]]:
-        """(slots, shape, size) of each node; two subtrees of one shape match node by node."""
-        slots = self.slots()
-        shape, size = [0] * len(self.tag), [1] * len(self.tag)
-        for node in range(len(self.tag) - 1, -1, -1):
-            kids = slots[node]
-            shape[node] = hash((self.tag[node], *[shape[k] for k in kids]))
-            size[node] = 1 + sum([size[k] for k in kids])
-        return slots, shape, size
-
     def words(self, node: int) -> str:
-        return _SPACES.sub(" ", self.text[node]).strip(" ")
+        return _spaced(self.text[node])
 
-    def slots(self) -> list[list[int]]:
-        """Children that take part in the alignment: those that are no template by role, blank texts left out."""
-        return [[c for c in kids if not self.role[c] and (self.tag[c] != "#text" or self.words(c))] for kids in self.children]
+    def blank(self, node: int) -> bool:
+        return not self.text[node].lstrip(_SPACES)
 
     def main_text(self, template: frozenset[int] = frozenset()) -> str:
         """Blocks in page order, joined by a line feed; those are left out whose texts are all in ``template``."""
@@ -190,68 +199,122 @@ class Page:
 
         def flush() -> None:
             nonlocal own
-            block = _SPACES.sub(" ", "".join(parts)).strip(" ")
-            if block and own:
+            if own and (block := _spaced("".join(parts))):
                 blocks.append(block)
             parts.clear()
             own = False
 
         open_: list[int] = []
-        for node, tag in enumerate(self.tag):
-            while open_ and self.parent[node] != open_[-1]:
-                if self.tag[open_.pop()] not in INLINE:
+        for node, (tag, parent) in enumerate(zip(self.tag, self.parent)):
+            while open_ and parent != open_[-1]:
+                if self.tag[open_.pop()] not in INLINE and parts:
                     flush()
             if tag == "#text":
                 if not self.role[node]:
                     parts.append(self.text[node])
-                    own = own or node not in template and bool(self.words(node))
+                    own = own or node not in template and not self.blank(node)
                 continue
             if tag == "br":
                 parts.append(" ")
-            elif tag not in INLINE:
+            elif parts and tag not in INLINE:
                 flush()
             open_.append(node)
         flush()
         return "\n".join(blocks)
 
 
-def align(page: Page, reference: Page) -> list[tuple[int, int]]:
-    """Pairs (text of page, text of reference) of the largest simple tree matching."""
-    (a, shape_a, size_a), (b, shape_b, _) = page.outline(), reference.outline()
-    # Pairs that can match at all, parents before children: equal tags below matching parents.
-    # Equal shapes match as a whole, so what lies below them need not be compared.
-    pairs, seen, i = [(0, 0)], {(0, 0)}, 0
-    while i < len(pairs):
-        x, y = pairs[i]
-        i += 1
-        if shape_a[x] == shape_b[y]:
-            continue
-        for u in a[x]:
-            tag, shape = page.tag[u], shape_a[u]
-            for v in b[y]:
-                if shape != shape_b[v] and tag == reference.tag[v] and (u, v) not in seen:
-                    seen.add((u, v))
-                    pairs.append((u, v))
-    weight: dict[tuple[int, int], int] = {}
-    choice: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for x, y in reversed(pairs):
-        if shape_a[x] == shape_b[y]:
-            continue
-        kids, others = a[x], b[y]
+class Shapes:
+    """Shapes of subtrees, and how two shapes match.
+
+    A shape is a number for a tag and the shapes of the children that take part in the alignment: those that are no template by role, blank
+    texts left out.  Two subtrees of one shape match node by node, and a matching depends on the two shapes alone, so that pages laid out
+    alike share it.  A child's number is less than its parent's.
+    """
+
+    def __init__(self) -> None:
+        self.number: dict[tuple, int] = {}
+        self.tag: list[str] = []
+        self.children: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        # Of two different shapes of one tag: the weight of their matching, and its pairs of children by place, the last ones first.
+        self.matched: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+        self.outlines: dict[Page, tuple[list[list[int]], list[int]]] = {}
+        self.held = 0
+
+    def outline(self, page: Page) -> tuple[list[list[int]], list[int]]:
+        """(children that take part in the alignment, shape) of each node."""
+        slots: list[list[int]] = [[] for _ in page.tag]
+        shape = [0] * len(slots)
+        for node in range(len(slots) - 1, -1, -1):
+            tag = page.tag[node]
+            if page.role[node] or tag == "#text" and page.blank(node):
+                continue
+            kids = slots[node]
+            kids.reverse()
+            key = (tag, *[shape[k] for k in kids])
+            found = self.number.get(key)
+            if found is None:
+                found = self.number[key] = len(self.tag)
+                self.tag.append(tag)
+                self.children.append(key[1:])
+                self.size.append(1 + sum([self.size[k] for k in key[1:]]))
+                self.held += len(key)
+            shape[node] = found
+            if node:
+                slots[page.parent[node]].append(node)
+        return slots, shape
+
+    def kept_outline(self, page: Page) -> tuple[list[list[int]], list[int]]:
+        """``outline`` of a page that many are aligned with, computed once."""
+        if page not in self.outlines:
+            self.outlines[page] = self.outline(page)
+        return self.outlines[page]
+
+    def _equal_start(self, x: int, y: int) -> int:
+        """How many first children have equal shapes: no matching outweighs their pairs, nor is one of equal weight preferred."""
+        n = 0
+        for u, v in zip(self.children[x], self.children[y]):
+            if u != v:
+                break
+            n += 1
+        return n
+
+    def match(self, x: int, y: int) -> None:
+        """Weighs the largest matching of two different shapes of one tag, and of all below them that it takes."""
+        # Pairs that can match at all: equal tags below matching parents. Equal shapes match as a whole, so what lies below them need not be compared.
+        todo, i = [(x, y)], 0
+        seen = {(x, y)}
+        while i < len(todo):
+            x, y = todo[i]
+            i += 1
+            start = self._equal_start(x, y)
+            others = set(self.children[y][start:])
+            for u in set(self.children[x][start:]):
+                for v in others:
+                    if u != v and self.tag[u] == self.tag[v] and (u, v) not in self.matched and (u, v) not in seen:
+                        seen.add((u, v))
+                        todo.append((u, v))
+        for x, y in sorted(todo):
+            self.matched[x, y] = found = self._matching(x, y)
+            self.held += 1 + len(found[1])
+
+    def _matching(self, x: int, y: int) -> tuple[int, list[tuple[int, int]]]:
+        start = self._equal_start(x, y)
+        kids, others = self.children[x][start:], self.children[y][start:]
+        weights: dict[int, list[int]] = {}
         rows = [[0] * (len(others) + 1)]
         for u in kids:
-            above, row, last, shape, whole = rows[-1], [0], 0, shape_a[u], size_a[u]
-            for j, v in enumerate(others):
-                own = whole if shape == shape_b[v] else weight.get((u, v), 0)
-                best = above[j] + own if own else 0
-                if above[j + 1] > best:
-                    best = above[j + 1]
+            if u not in weights:
+                weights[u] = [self.size[u] if u == v else self.matched[u, v][0] if self.tag[u] == self.tag[v] else 0 for v in others]
+            above, row, last = rows[-1], [0], 0
+            for own, before, best in zip(weights[u], above, above[1:]):
+                if own and before + own > best:
+                    best = before + own
                 if last > best:
                     best = last
                 row.append(best)
                 last = best
             rows.append(row)
-        weight[x, y] = rows[-1][-1] + 1
         chosen, i, j = [], len(kids), len(others)
         while i and j:
             if rows[i][j] == rows[i - 1][j]:
@@ -260,17 +323,28 @@ def align(page: Page, reference: Page) -> list[tuple[int, int]]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                chosen.append((kids[i], others[j]))
-        choice[x, y] = chosen
+                chosen.append((start + i, start + j))
+        chosen += [(k, k) for k in range(start - 1, -1, -1)]
+        return 1 + sum([self.size[k] for k in self.children[x][:start]]) + rows[-1][-1], chosen
+
+
+def align(page: Page, reference: Page, shapes: Shapes | None = None) -> list[tuple[int, int]]:
+    """Pairs (text of page, text of reference) of the largest simple tree matching."""
+    shapes = shapes or Shapes()
+    (a, shape_a), (b, shape_b) = shapes.outline(page), shapes.kept_outline(reference)
     out, todo = [], [(0, 0)]
     while todo:
         x, y = todo.pop()
         if page.tag[x] == "#text":
             out.append((x, y))
-        elif shape_a[x] == shape_b[y]:
-            todo += zip(a[x], b[y])
-        else:
-            todo += choice[x, y]
+            continue
+        kids, others, pair = a[x], b[y], (shape_a[x], shape_b[y])
+        if pair[0] == pair[1]:
+            todo += zip(kids, others)
+            continue
+        if pair not in shapes.matched:
+            shapes.match(*pair)
+        todo += [(kids[i], others[j]) for i, j in shapes.matched[pair][1]]
     return out
 
 
@@ -279,18 +353,24 @@ def host_of(url: Column) -> Column:
 
 
 class _References:
-    """The last few parsed references; rows of a host mostly come with the same one."""
+    """The last few parsed references, as rows of a host mostly come with the same one, and the shapes met beside them."""
 
     def __init__(self) -> None:
         self.kept: dict[str, Page] = {}
+        self.shapes = Shapes()
 
     def get(self, html: str) -> Page:
+        if self.shapes.held > KEPT_PAIRS or len(self.kept) >= KEPT_REFERENCES and html not in self.kept:
+            self.kept, self.shapes = {}, Shapes()
         if html not in self.kept:
-            if len(self.kept) >= 256:
-                self.kept.clear()
             self.kept[html] = Page(html)
         return self.kept[html]
 
+    def align(self, page: Page, reference: Page) -> Iterator[tuple[int, int, bool]]:
+        """Pairs of ``align``, and whether both have the same words."""
+        for u, v in align(page, reference, self.shapes):
+            yield u, v, page.text[u] == reference.text[v] or page.words(u) == reference.words(v)
+
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     references, met, same = _References(), Counter(), Counter()
@@ -298,9 +378,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, html, ref in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "reference"))):
             reference = references.get(ref)
             page = Page(html)
-            for u, v in align(page, reference):
+            for _, v, equal in references.align(page, reference):
                 met[host, v] += 1
-                same[host, v] += page.words(u) == reference.words(v)
+                same[host, v] += equal
     rows = list(met)
     yield pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([met[r] for r in rows], pa.int64()), pa.array([same[r] for r in rows], pa.int64())],
@@ -317,8 +397,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             template: frozenset[int] = frozenset()
             if nodes:
                 reference, constant = references.get(ref), set(nodes)
-                matched = [(u, v) for u, v in align(page, reference) if v in constant]
-                template = frozenset(u for u, v in matched if not page.article[u] and not reference.article[v] and page.words(u) == reference.words(v))
+                template = frozenset(
+                    u for u, v, equal in references.align(page, reference) if equal and v in constant and not page.article[u] and not reference.article[v]
+                )
             texts.append(page.main_text(template))
         yield pa.RecordBatch.from_arrays([piece.column("page_id"), piece.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
@@ -332,7 +413,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     filled = rows.where("page_id is not null and length(html) > 0")
-    first = filled.groupBy("host").agg(F.min("page_id").alias("page_id"))
+    first = small_side(written(filled.groupBy("host").agg(F.min("page_id").alias("page_id")), "first-pages"))
     references = written(filled.join(first, ["host", "page_id"]).groupBy("host").agg(F.min("html").alias("reference")), "references")
     chars = references.agg(F.coalesce(F.sum(F.length("reference")), F.lit(0))).first()[0]
 

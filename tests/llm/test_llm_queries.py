@@ -5,6 +5,7 @@ import random
 import re
 import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,90 @@ def test_wrapper_induction(spark):
     assert got[200] == "alone"
 
 
+def plain_matching(page, reference):
+    """Simple tree matching by its definition: every pair of children weighed anew, pairs of text nodes given."""
+
+    def kids(p, node):
+        return [c for c in range(len(p.tag)) if p.parent[c] == node and not p.role[c] and (p.tag[c] != "#text" or p.words(c))]
+
+    def match(x, y):
+        if page.tag[x] != reference.tag[y]:
+            return 0, []
+        a, b = kids(page, x), kids(reference, y)
+        own = [[match(u, v) for v in b] for u in a]
+        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                rows[i + 1][j + 1] = max(rows[i][j + 1], rows[i + 1][j], rows[i][j] + own[i][j][0])
+        i, j, texts = len(a), len(b), [(x, y)] if page.tag[x] == "#text" else []
+        while i and j:
+            if rows[i][j] == rows[i - 1][j]:
+                i -= 1
+            elif rows[i][j] == rows[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                texts = texts + own[i][j][1]
+        return rows[-1][-1] + 1, texts
+
+    return match(0, 0)[1]
+
+
+def test_matchings_are_shared_by_pages_laid_out_alike(monkeypatch):
+    """Pairs are those of plain tree matching; pages that differ in their words alone are weighed once for all, and each reference outlined once."""
+    rng = random.Random(5)
+    weighed, outlined = [], []
+    monkeypatch.setattr(wrappers.Shapes, "_matching", lambda self, x, y, run=wrappers.Shapes._matching: weighed.append((x, y)) or run(self, x, y))
+    monkeypatch.setattr(wrappers.Shapes, "outline", lambda self, page, run=wrappers.Shapes.outline: outlined.append(page) or run(self, page))
+    shapes = wrappers.Shapes()
+    for _ in range(60):
+        layouts = []
+        for _ in range(2):
+            parts = [rng.choice(["<div>", "<p>", "<ul><li>", "</div>", "</ul>", "<b>", "</b>", " {} ", "<nav>{}</nav>", "<p>{}</p>"]) for _ in range(rng.randint(0, 14))]
+            layouts.append("".join(parts))
+        reference = wrappers.Page(layouts[0].replace("{}", "same"))
+        before = len(weighed), len(outlined)
+        for n in range(4):
+            page = wrappers.Page(layouts[1].replace("{}", f"words {n}"))
+            assert sorted(wrappers.align(page, reference, shapes)) == sorted(plain_matching(page, reference))
+            if n == 0:
+                first = len(weighed)
+        assert len(weighed) == first and len(outlined) == before[1] + 5
+    assert len(set(weighed)) == len(weighed) > 50
+
+
+def test_shapes_forgotten_between_pages_change_nothing(monkeypatch):
+    rows = [f"<div><h2>T {i}</h2>" + "<p>x</p>" * (i % 7) + f"<ul><li>{i}</ul><p>All rights</p></div>" for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"host": ["h"] * 40, "html": rows, "reference": [rows[i % 3] for i in range(40)]})
+    kept = next(wrappers._counts(iter([batch]))).to_pylist()
+    monkeypatch.setattr(wrappers, "KEPT_PAIRS", 0)
+    monkeypatch.setattr(wrappers, "KEPT_REFERENCES", 1)
+    assert next(wrappers._counts(iter([batch]))).to_pylist() == kept != []
+
+
+def test_white_space_of_blocks():
+    pieces = ["a", "b\u3000c", " ", "  ", "\t", "\n", "\x0b\x0c\r", "\xa0", "\x1c", "\u2003"]
+    rng = random.Random(3)
+    for _ in range(500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))
+        page = wrappers.Page(f"<p>{text}</p>")
+        spaced = re.sub(r"[\x20\x09-\x0D\xa0]+", " ", text).strip(" ")
+        assert page.main_text() == spaced
+        assert [page.blank(n) for n, t in enumerate(page.tag) if t == "#text"] == [not spaced] * bool(text)
+
+
+def test_references_are_found_without_shuffling_pages(spark, tmp_path, monkeypatch):
+    """The smallest page_ids of the hosts are joined to the pages by broadcast; of repeated ones the least html is the reference."""
+    rows = [page(i, "a.example", f"<div><p>Title {i}</p><p>All rights</p></div>") for i in range(6)] + [page(0, "a.example", "<p>another first page</p>")]
+    joins = []
+    run = wrappers.written
+    monkeypatch.setattr(wrappers, "written", lambda df, purpose: joins.append((purpose, df._jdf.queryExecution().executedPlan().toString())) or run(df, purpose))
+    got = wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    plans = dict(joins)
+    assert "BroadcastHashJoin" in plans["references"] and "SortMergeJoin" not in plans["references"]
+    assert sorted(r.text for r in got if r.page_id) == [f"Title {i}" for i in range(1, 6)]
+
+
 def test_pages_of_the_table(spark):
     """On the given pages the main text is the article's blocks."""
     rows = QUERIES["op7_wrapper_induction"](spark, SMALL).join(spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "html"), "page_id").collect()

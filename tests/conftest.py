@@ -2,11 +2,15 @@ import os
 import sys
 
 import pytest
+from py4j import clientserver
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from mattone.session import build_session  # noqa: E402
 
+# Py4J drops what Python has released on a thread that sleeps a second at a time; a warm session writes a step in less.
+clientserver.DEFAULT_WORKER_SLEEP_TIME = 0.01
+
 SMALL = "/root/testdata/sf0.001"
 
 

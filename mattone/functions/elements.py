@@ -8,10 +8,15 @@ Pairing needs no stack.  In the order of (tag, place), an opening tag that is th
 (both from 0) leaves ``2 * o + 1 - i`` more tags opened than closed, and the c-th closing one closes level ``i - 2 * c``.  Of one
 tag and level, opening and closing tags take turns, so in the order of (tag, level, place) each opening tag stands right before its own closing
 one.  All of this is sorting and numbering of arrays: a page of n tags costs n log n, and no Python worker or shuffle.
+
+``insides`` reads the elements of one node without the table, by one pattern.  It follows elements of the node's tag inside one another
+``NESTED`` deep; what it can not follow, or what is never closed, it gives up to the end of the text, which ``open_ended`` tells.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +145,64 @@ def inside(element: Column, pieces: str = "pieces") -> Column:
     return F.when(element["end"] > element["begin"], more).otherwise("")
 
 
+# How deep ``insides`` follows elements of one tag inside one another, and how far from a tag's beginning it looks for its word.
+NESTED = 12
+TAG_LENGTH = 1024
+
+
+def _content(tag: str) -> str:
+    """Pattern of what stands in an element behind its opening tag: up to its own closing tag, the end, or what is nested too deep.
+
+    Its outer loops are possessive, which Java runs without recursion and never goes back into.
+    """
+    name = rf"(?i:{tag})(?=[\s>/])"
+    other = rf"[^<]+|<(?!/?{name})|<{name}[^<>]*(?<=/)>"
+    content = rf"(?:{other})*+"
+    for _ in range(NESTED):
+        content = rf"(?:{other}|<{name}{content}</{name})*+"
+    return content
+
+
+def _opening(node: Node, whole: bool) -> str:
+    """Pattern of the opening tags that ``select`` finds, up to where ``inside`` begins; a tag ends before the next ``<``.
+
+    A node's word comes first, as Java skips to a literal text; what must stand before it is looked up from there.  Group 1 takes part
+    in the match where the tag is too long to tell, or its attribute holds ``>``.
+    """
+    if node.attr is None:
+        return rf"()?+<(?=(?i:{node.tag})[\s>/])(?:[^<>]*>)?+"
+    word, tag = re.escape(node.word or ""), rf"<{node.tag}(?=[\s>/])[^<>]{{0,{TAG_LENGTH}}}\s{node.attr}="
+    if whole:
+        word, before, doubtful, after = rf'{node.attr}="{word}"', rf'{tag}"{word}"', "", ""
+    else:
+        before, doubtful, after = rf'{tag}"[^"<>]{{0,{TAG_LENGTH}}}', rf'{tag}"[^"<]{{0,{TAG_LENGTH}}}|', '[^"<]*"'
+    return rf'{word}(?:(?<={before})(?={after}[^<>]*>)[^<>]*>|(?<={doubtful}[^<]{{{TAG_LENGTH}}})())'
+
+
+def _reading(node: Node, whole: bool, overlapping: bool) -> str:
+    """Pattern of an element, its inside being group 2; to the end where it is doubtful."""
+    doubt = r"(?!)" if node.attr is None else r"\1.+"
+    # An element that opens where the text ends is not closed in it, and holds nothing that would tell.
+    inside = rf"({doubt}|(?!\z){_content(node.tag)}(?:(?=</(?i:{node.tag})[\s>/])|.*))"
+    # A tag that closes itself holds nothing.
+    return rf"(?s){_opening(node, whole)}(?:(?<=/>)|{f'(?={inside})' if overlapping else inside})"
+
+
+def first_inside(text: Column, node: Node, whole: bool = False) -> Column:
+    """Inside of the first element of a node, as ``inside(first(node))``; empty without one. Holds unless ``open_ended``."""
+    return F.regexp_extract(text, _reading(node, whole, False), 2)
+
+
+def insides(text: Column, node: Node, nested: bool = True) -> Column:
+    """Insides of all elements of a node in page order, those in others of the node too if ``nested``. Holds unless one is ``open_ended``."""
+    return F.regexp_extract_all(text, F.lit(_reading(node, False, nested)), F.lit(2))
+
+
+def open_ended(text: Column, found: Column) -> Column:
+    """Whether an inside reaches to the end of the text it was read from, so that the element is not closed there, or could not be followed."""
+    return (found != "") & F.endswith(text, found)
+
+
 def text_of(element: Column, pieces: str = "pieces") -> Column:
     """Visible text of an element; empty without the element."""
     return visible_text(inside(element, pieces))

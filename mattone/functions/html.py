@@ -10,13 +10,14 @@ its own tag may stand inside it.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mattone.functions.text import bound, none_if_empty, normalize_text, strip, strip_computed
+from mattone.functions.text import BLANK_CLASS, UNCLEAN_CLASS, bound, none_if_empty, normalize_text, strip, strip_computed
 
 # Code points by name of reference, and of the numbers 128 to 159, which pages mean as Windows-1252.
 NAMES = ",".join(f"{name}:{code}" for name, code in {**name2codepoint, "apos": 39}.items())
@@ -289,28 +290,59 @@ def definition_pairs(html: Column, container: Node | None = None) -> Column:
     ``dt`` directly followed by a ``dd`` counts.
     """
     if container:
-        found = F.transform(
-            chunks(html, container),
-            lambda c: F.struct(
-                F.regexp_extract(c, _element((DT,)), 1).alias("k"), F.regexp_extract(c, _element((DD,)), 1).alias("v")
-            ),
-        )
+        # Words are looked for from the left: greedily, each class would be read to its end and back.
+        pair = _pair_behind(container.opening().replace("[^>]*\\s", "[^>]*?\\s").replace('="[^"]*', '="[^"]*?'))
     else:
         # Atomic groups end each part at its first closing tag.
         pair = rf"(?s){DT.opening()}(?>(.*?)</dt>)\s*{DD.opening()}(?>(.*?)</dd>)"
-        found = F.arrays_zip(
-            F.regexp_extract_all(html, F.lit(pair), F.lit(1)).alias("k"),
-            F.regexp_extract_all(html, F.lit(pair), F.lit(2)).alias("v"),
-        )
+
+    def both(html: Column) -> Column:
+        return F.arrays_zip(*[F.regexp_extract_all(html, F.lit(pair), F.lit(i)).alias(n) for i, n in ((1, "k"), (2, "v"))])
+
+    found = bound(html, both)
+    if container:
+        # Some element holds no key, or not before its value: all are read one by one.
+        found = bound(found, lambda found: F.when(F.exists(found, lambda e: e["k"] == ""), _pairs_one_by_one(html, container)).otherwise(found))
     # One step per transform: a lambda computes what it names as often as it names it.
-    shown = F.transform(
-        found,
-        lambda e, i: F.struct(visible_text(e["k"]).alias("k"), i.alias("i"), visible_text(e["v"]).alias("v")),
-    )
-    read = F.transform(shown, lambda e: F.struct(e["k"].alias("k"), e["i"].alias("i"), normalize_text(e["v"]).alias("v")))
+    trimmed = F.transform(found, lambda e, i: F.struct(_clean(e["k"], visible_text, UNSHOWN).alias("k"), i.alias("i"), F.btrim(e["v"]).alias("v")))
+    read = F.transform(trimmed, lambda e: F.struct(e["k"].alias("k"), e["i"].alias("i"), _clean(e["v"], lambda v: bound(visible_text(v), normalize_text), UNREAD).alias("v")))
     return F.filter(read, lambda e: (e["k"] != "") & (e["v"] != ""))
 
 
+# What a text holds that is not just itself when shown, and when shown and normalised.
+UNSHOWN = rf"[<&]|^[{BLANK_CLASS}]|[{BLANK_CLASS}]\z"
+UNREAD = rf"[<&,;{UNCLEAN_CLASS}]|\x20\x20|^\x20|\x20\z"
+
+
+def _clean(text: Column, reading: Callable[[Column], Column], unclean: str) -> Column:
+    """``reading(text)``; one look spares it those texts, most of them, that it would leave as they are."""
+    return F.when(text.rlike(unclean), reading(text)).otherwise(text)
+
+
+def _pair_behind(opening: str) -> str:
+    """Pattern of a container's opening tag and, captured, the insides of the ``dt`` and the ``dd`` behind it.
+
+    Nothing but the opening tag is matched where either is missing before the next container, the ``dd`` comes first or begins in the ``dt``.
+    Possessive loops need no recursion; blanks before the value are left out, as it is stripped anyway.
+    """
+
+    def up_to(tag: str) -> str:
+        return rf"(?:[^<]+|<(?!{tag}|{opening.removeprefix('<')}))*+"
+
+    dd = r"dd(?=[\s>/])"
+    key = rf"<dt(?=[\s>/])[^<>]*>({up_to(f'/dt>|{dd}')})</dt>"
+    value = rf"<{dd}[^<>]*>\s*({up_to('/dd>')})</dd>"
+    return rf"(?s){opening}(?:{up_to(r'd[dt](?=[\s>/])')}{key}{up_to(dd)}{value})?+"
+
+
+def _pairs_one_by_one(html: Column, container: Node) -> Column:
+    """Insides of the first ``dt`` and the first ``dd`` of each container, wherever they stand."""
+    return F.transform(
+        chunks(html, container),
+        lambda c: F.struct(F.regexp_extract(c, _element((DT,)), 1).alias("k"), F.regexp_extract(c, _element((DD,)), 1).alias("v")),
+    )
+
+
 def badge_fragments(html: Column, layout: PageLayout = LISTING_PAGE) -> Column:
     """Insides of the badges in the first list of badges."""
     return fragments(fragment(html, layout.badge_box), layout.badge)

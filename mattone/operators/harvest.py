@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,12 +117,8 @@ def with_boxes(pages: DataFrame, layout: H.PageLayout) -> DataFrame:
     return found.withColumn("_labels", F.filter(first, lambda e: e.isNotNull()))
 
 
-def page_fragments(html: str, layout: H.PageLayout) -> dict[str, Column]:
-    """Markup around each field, from the columns of ``with_boxes``."""
-    icon = rf'(?s)<svg(?=[\s>]).*?<use[^>]*\shref="{re.escape(layout.luxury_icon)}"'
-    word = rf"^span(?=[\s>])[^>]*>[^<]*{H.LUXURY_WORD}"
-    spelled = F.exists("pieces", lambda p: p.contains(H.LUXURY_WORD) & p.rlike(word))
-    shown = F.exists("_features", lambda e: E.inside(e).rlike(icon))
+def page_fragments(layout: H.PageLayout) -> dict[str, Column]:
+    """Markup around each field that stands in a box, from the columns of ``with_boxes``."""
     return {
         "page_title": E.inside(F.col("_title")),
         "price_text": E.inside(F.col("_price")),
@@ -129,12 +127,72 @@ def page_fragments(html: str, layout: H.PageLayout) -> dict[str, Column]:
         "description": E.inside(F.col("_text")),
         "update_text": E.inside(F.col("_update")),
         "badges": F.transform("_labels", lambda e: E.inside(e)),
-        "energy_text": H.energy_attr(F.col(html), layout.energy_attr),
-        "fee_text": H.labelled_fragment(F.col("_costs_html"), H.FEE_LABEL),
-        "price_sqm_text": H.labelled_fragment(F.col("_price_html"), H.SQM_LABEL),
-        # Plain search first: few pages show the icon at all.
-        "luxury": F.when(F.col(html).contains(layout.luxury_icon), F.when(spelled & shown, True)),
+        "_costs_html": E.inside(F.col("_costs")),
+        "_price_html": E.inside(F.col("_price_info")),
+        "_shown": F.exists("_features", lambda e: E.inside(e).rlike(_icon(layout))),
+    }
+
+
+def _icon(layout: H.PageLayout) -> str:
+    return rf'(?s)<svg(?=[\s>]).*?<use[^>]*\shref="{re.escape(layout.luxury_icon)}"'
+
+
+# Columns of ``with_insides`` that hold a field's markup, and those that hold the boxes around them; lists of either.
+IN_BOXES = {"price_text": "_price_box", "update_text": "_update_box", "_badge_list": "_badge_outer", "description_title": "_description", "_text_box": "_description", "description": "_text_box"}
+ON_PAGES = ("page_title", "_price_box", "_update_box", "_badge_outer", "_description", "_costs_html", "_price_html")
+
+
+def with_insides(pages: DataFrame, html: str, layout: H.PageLayout) -> DataFrame:
+    """The columns of ``page_fragments``, read by patterns, and ``_odd``: whether a box of the page is not closed where it should be.
+
+    Each box is searched in the one around it, so only the outer ones cost a look at the whole page.  What was read of an odd page does not hold.
+    """
+    whole = F.coalesce(html, F.lit(""))
+    # Plain search first: few pages show the icon at all.
+    outer = {
+        "page_title": E.first_inside(whole, layout.title[0]),
+        "_price_box": E.first_inside(whole, layout.price[0]),
+        "_update_box": E.first_inside(whole, layout.update[0]),
+        "_badge_outer": E.first_inside(whole, layout.badge_box[0]),
+        "_description": E.first_inside(whole, layout.description, whole=True),
+        "_costs_html": E.first_inside(whole, layout.costs, whole=True),
+        "_price_html": E.first_inside(whole, layout.price_info, whole=True),
+        "_features": F.when(whole.contains(layout.luxury_icon), E.insides(whole, layout.features, nested=False)),
+        "_boxes": E.insides(whole, layout.location_box, nested=False),
     }
+    found = pages.withColumns(outer)
+
+    def inner(node: H.Node, name: str) -> Column:
+        return E.first_inside(F.col(IN_BOXES[name]), node)
+
+    found = found.withColumns(
+        {
+            "price_text": inner(layout.price[1], "price_text"),
+            "update_text": inner(layout.update[1], "update_text"),
+            "_badge_list": inner(layout.badge_box[1], "_badge_list"),
+            "description_title": inner(layout.description_title[0], "description_title"),
+            "_text_box": inner(layout.description_text[0], "_text_box"),
+            "_places": F.transform("_boxes", lambda box: E.insides(box, layout.location[0])),
+        }
+    )
+    found = found.withColumns({"description": inner(layout.description_text[1], "description"), "_items": E.insides(F.col("_badge_list"), layout.badge[0])})
+    found = found.withColumn("badges", F.transform("_items", lambda item: E.first_inside(item, layout.badge[1])))
+    places = F.exists(F.arrays_zip(F.col("_boxes").alias("box"), F.col("_places").alias("places")), lambda b: F.exists(b["places"], lambda place: E.open_ended(b["box"], place)))
+    odd = [
+        *[E.open_ended(whole, F.col(c)) for c in ON_PAGES],
+        *[F.exists(c, lambda box: E.open_ended(whole, box)) for c in ("_features", "_boxes")],
+        *[E.open_ended(F.col(box), F.col(c)) for c, box in IN_BOXES.items()],
+        places,
+        F.exists("_items", lambda item: E.open_ended(F.col("_badge_list"), item)),
+        F.exists(F.arrays_zip(F.col("_items").alias("item"), F.col("badges").alias("label")), lambda i: E.open_ended(i["item"], i["label"])),
+    ]
+    return found.withColumns(
+        {
+            "location_parts": F.flatten("_places"),
+            "_shown": F.exists("_features", lambda item: item.rlike(_icon(layout))),
+            "_odd": reduce(or_, [F.coalesce(o, F.lit(False)) for o in odd]),
+        }
+    )
 
 
 def page_problem() -> Column:
@@ -154,10 +212,22 @@ def read_listing_pages(pages: DataFrame, html: str = "html", layout: H.PageLayou
     """
     keep = [c for c in pages.columns if c != html]
     mapped = H.with_characteristics(pages, html, "characteristics", layout.characteristic)
-    boxes = with_boxes(E.with_elements(mapped, html, layout.box_tags()), layout)
-    sections = boxes.withColumns({"_costs_html": bound(E.inside(F.col("_costs")), none_if_empty), "_price_html": bound(E.inside(F.col("_price_info")), none_if_empty)})
-    marked = page_fragments(html, layout)
-    found = sections.select(*keep, "characteristics", *[c.alias(n) for n, c in marked.items()])
+    read = with_insides(mapped, html, layout)
+    # The table of an odd page's elements settles what patterns can not; it is empty for all others.
+    fields = [*page_fragments(layout)]
+    patterned = read.select(*keep, html, "characteristics", "_odd", *[F.col(c).alias(f"_read_{c}") for c in fields]).withColumn("_odd_html", F.when(F.col("_odd"), F.col(html)))
+    boxes = with_boxes(E.with_elements(patterned, "_odd_html", layout.box_tags()), layout)
+    marked = {c: F.when(F.col("_odd"), of_table).otherwise(F.col(f"_read_{c}")) for c, of_table in page_fragments(layout).items()}
+    sections = boxes.select(*keep, html, "characteristics", *[c.alias(n) for n, c in marked.items()])
+    word = rf"(?:\A|<)span(?=[\s>])[^<>]*>[^<]*{H.LUXURY_WORD}"
+    # Plain search first: few pages show the icon at all.
+    rest = {
+        "energy_text": H.energy_attr(F.col(html), layout.energy_attr),
+        "fee_text": H.labelled_fragment(none_if_empty(F.col("_costs_html")), H.FEE_LABEL),
+        "price_sqm_text": H.labelled_fragment(none_if_empty(F.col("_price_html")), H.SQM_LABEL),
+        "luxury": F.when(F.col(html).contains(layout.luxury_icon), F.when(F.col("_shown") & F.col(html).rlike(word), True)),
+    }
+    found = sections.select(*keep, "characteristics", *[c for c in fields if not c.startswith("_")], *[c.alias(n) for n, c in rest.items()])
     plain = ("page_title", "price_text", "update_text", *ONE_LINE)
     shown = found.withColumns(
         {c: H.visible_text(F.col(c)) for c in plain}
